@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.numeric import pct_change, round_to
-from .operators import aggregates
-from .plans import dims, facts, marts, staging
+from .operators import aggregates, quality
+from .plans import checks, control, dims, facts, marts, report, staging
 from .session import prepare
-from .sources import tables
+from .sources import links, sinks, stations, tables
 from .sources.tables import AS_OF, START_YEAR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,3 +234,202 @@ def _(spark, folder):
 def _(spark, folder):
     board = marts.mart_dashboard(fact_predictions(spark, folder), price_weather(spark, folder), AS_OF, START_YEAR)
     return rounded(board, ["confidence_interval", "data_quality_score"])
+
+
+# -- data tests -----------------------------------------------------------------------
+
+
+@query("dq_unique")
+def _(spark, folder):
+    """Pages of observations loaded twice: station and time that occur more than once."""
+    stamped = tables.weather_hourly(spark, folder).select(
+        F.concat_ws("@", "station_id", F.date_format("observation_datetime", "yyyy-MM-dd HH")).alias("observation")
+    )
+    return quality.unique(stamped, "observation")
+
+
+@query("dq_not_null")
+def _(spark, folder):
+    return quality.not_null(stg_trades(spark, folder), "amount_yen")
+
+
+@query("dq_accepted_values")
+def _(spark, folder):
+    return quality.accepted_values(
+        tables.trades(spark, folder).select("year", "month", "item_name", "major_category", "quantity_kg"),
+        "major_category", ["野菜", "野 菜", "野　菜"],
+    )
+
+
+@query("dq_accepted_range")
+def _(spark, folder):
+    return quality.accepted_range(stg_weather(spark, folder), "humidity", 0, 100)
+
+
+@query("dq_relationships")
+def _(spark, folder):
+    """Origins of trades that the location table lacks."""
+    staged = stg_trades(spark, folder)
+    return quality.relationships(staged, "origin", dims.dim_location(staged), "origin_name")
+
+
+@query("dq_summary")
+def _(spark, folder):
+    """All declared checks of the staging views, two dimensions and the weather fact."""
+    staged, observed = stg_trades(spark, folder), stg_weather(spark, folder)
+    stations = dims.dim_station(observed)
+    suite = {
+        "stg_trades": staged,
+        "stg_weather": observed,
+        "stg_predictions": stg_predictions(spark, folder),
+        "dim_market": dims.dim_market(staged),
+        "dim_station": stations,
+        "fact_weather_daily": facts.fact_weather_daily(observed, stations),
+    }
+    return checks.run_suite(suite, checks.declared(1996, 2002, stations))
+
+
+@query("content_score")
+def _(spark, folder):
+    return rounded(quality.content_score(stg_trades(spark, folder)), ["score"])
+
+
+# -- reports and control --------------------------------------------------------------
+
+REPORT_MONTH = report.target_month(dt.date.fromisoformat(AS_OF))
+USAGE_DATE = "2024-01-31"
+
+
+def cheapest(spark, folder):
+    return report.cheapest(fact_predictions(spark, folder), *REPORT_MONTH)
+
+
+@query("cheapest_top10")
+def _(spark, folder):
+    return cheapest(spark, folder).drop("sort_price", "sort_confidence", "sort_r2")
+
+
+@query("volatile_items")
+def _(spark, folder):
+    return report.volatile_items(seasonal(spark, folder), REPORT_MONTH[1])
+
+
+@query("report_message")
+def _(spark, folder):
+    return report.message(
+        cheapest(spark, folder),
+        report.volatile_items(seasonal(spark, folder), REPORT_MONTH[1]),
+        sinks.latest_metadata(tables.model_records(spark, folder)),
+        REPORT_MONTH[1],
+    )
+
+
+@query("coverage_diagnosis")
+def _(spark, folder):
+    return report.coverage(tables.predictions(spark, folder), fact_predictions(spark, folder), 1996)
+
+
+@query("batch_counts")
+def _(spark, folder):
+    return report.batch_counts(fact_predictions(spark, folder))
+
+
+@query("usage_month")
+def _(spark, folder):
+    return rounded(control.usage_month(tables.job_log(spark, folder), USAGE_DATE, "market"), ["current_usage"])
+
+
+def usage(spark, folder):
+    return control.all_usage(tables.job_log(spark, folder), tables.stored_objects(spark, folder), USAGE_DATE, "market")
+
+
+query("usage_rows")(usage)
+
+
+@query("usage_alerts")
+def _(spark, folder):
+    """Alerts against a small quota, so that some level is passed."""
+    jobs = control.usage_month(tables.job_log(spark, folder), USAGE_DATE, "market")
+    rows = [control.usage_rows(jobs, "warehouse", f"quota_{limit}", float(limit), USAGE_DATE) for limit in (20, 60, 90, 110, 1024)]
+    return control.alerts(reduce(DataFrame.unionByName, rows))
+
+
+@query("safety_gate")
+def _(spark, folder):
+    jobs = control.usage_month(tables.job_log(spark, folder), USAGE_DATE, "market")
+    gates = [control.safety_gate(jobs, need, 1024.0).withColumn("required_gb", F.lit(need)) for need in (0.01, 800.0, 1000.0)]
+    return reduce(DataFrame.unionByName, gates)
+
+
+@query("run_report")
+def _(spark, folder):
+    return control.run_report(tables.ingest_results(spark, folder))
+
+
+# -- sources --------------------------------------------------------------------------
+
+
+def file_links(spark, folder):
+    return links.extract_links(tables.link_pages(spark, folder), keep=("page_id",))
+
+
+query("file_links")(file_links)
+
+
+def distinct_files(spark, folder):
+    return file_links(spark, folder).select("year", "month", "kind", "url").distinct()
+
+
+@query("files_superseded")
+def _(spark, folder):
+    return links.drop_superseded(distinct_files(spark, folder))
+
+
+@query("files_select")
+def _(spark, folder):
+    files = distinct_files(spark, folder)
+    latest = links.select_files(files, "latest-only").withColumn("mode", F.lit("latest-only"))
+    return latest.unionByName(links.select_files(files, "backfill", as_of_year=2001).withColumn("mode", F.lit("backfill")))
+
+
+@query("files_pending")
+def _(spark, folder):
+    """Files whose month has no trades yet."""
+    loaded = tables.trades(spark, folder).select("year", "month").distinct()
+    manifest = loaded.withColumn("filename", links.period_file())
+    return links.pending(distinct_files(spark, folder), manifest)
+
+
+@query("month_slices")
+def _(spark, folder):
+    """Month slices of the observed time of each station, as load tasks."""
+    spans = stg_weather(spark, folder).groupBy("station_id").agg(
+        F.min("observation_date").alias("start_date"), F.max("observation_date").alias("end_date")
+    )
+    return links.month_slices(spans)
+
+
+@query("station_catalogue")
+def _(spark, folder):
+    """Observations per catalogue station, by coverage."""
+    counts = stg_weather(spark, folder).groupBy("station_id").agg(F.count(F.lit(1)).alias("observations"))
+    lists = [
+        stations.stations(spark, name).withColumn("coverage", F.lit(name)) for name in ("all", "agriculture", "current")
+    ]
+    return reduce(DataFrame.unionByName, lists).join(counts, "station_id", "left")
+
+
+@query("object_sizes")
+def _(spark, folder):
+    return rounded(sinks.object_sizes(tables.stored_objects(spark, folder)), ["size_gb"])
+
+
+@query("latest_metadata")
+def _(spark, folder):
+    return sinks.latest_metadata(tables.model_records(spark, folder))
+
+
+@query("target_items")
+def _(spark, folder):
+    monthly = aggregates.monthly_trades(stg_trades(spark, folder))
+    return aggregates.frequent_items(monthly, "item_name", START_YEAR, 24, 20)

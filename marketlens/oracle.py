@@ -581,3 +581,245 @@ FROM t_summary s LEFT JOIN t_actual a ON a.item_name = s.item_name AND a.month =
         ("prediction_generated_at", "dashboard_updated_at"), ("confidence_interval", "data_quality_score"),
     ),
 }
+
+# -- data tests -----------------------------------------------------------------------
+
+
+def checks_sql() -> str:
+    """Every declared check of the suite as its own counting query."""
+    from .plans.checks import declared
+
+    names = {
+        "stg_trades": "t_stg", "stg_weather": "t_stg_weather", "stg_predictions": "t_stg_predictions",
+        "dim_market": "t_dim_market", "dim_station": "t_dim_station", "fact_weather_daily": "t_daily",
+    }
+    rows = []
+    for table, checks in declared(1996, 2002).items():
+        if table not in names:
+            continue
+
+        def count(kind: str, column: str, condition: str) -> None:
+            rows.append(
+                f"SELECT '{table}' AS table_name, '{kind}' AS \"check\", '{column}' AS column_name,"
+                f" count(*) AS failures FROM {names[table]} WHERE {condition}"
+            )
+
+        for c in checks.not_null:
+            count("not_null", c, f"{c} IS NULL")
+        for c, allowed in checks.values.items():
+            count("accepted_values", c, f"{c} NOT IN ({', '.join(q(v) for v in allowed)})")
+        for c, (low, high) in checks.ranges.items():
+            parts = [f"{c} < {low}"] if low is not None else []
+            parts += [f"{c} > {high}"] if high is not None else []
+            count("accepted_range", c, " OR ".join(parts))
+        for c in checks.unique:
+            rows.append(
+                f"SELECT '{table}', 'unique', '{c}', count(*) FROM"
+                f" (SELECT {c} FROM {names[table]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+            )
+    rows.append(
+        "SELECT 'fact_weather_daily', 'relationships', 'station_key', count(*) FROM t_daily"
+        " WHERE station_key NOT IN (SELECT station_key FROM t_dim_station)"
+    )
+    return sql("\nUNION ALL ".join(rows))
+
+
+_stg_columns = ["year", "month", "market", "major_category", "sub_category", "item_name", "origin", "quantity_kg", "amount_yen"]
+ORACLE |= {
+    "dq_unique": sql("""
+SELECT observation, count(*) AS copies
+FROM (SELECT station_id || '@' || strftime(observation_datetime, '%Y-%m-%d %H') AS observation FROM t_weather)
+GROUP BY observation HAVING count(*) > 1
+"""),
+    "dq_not_null": sql("SELECT * EXCLUDE (item_code) FROM t_stg WHERE amount_yen IS NULL"),
+    "dq_accepted_values": sql("""
+SELECT year, month, item_name, major_category, quantity_kg FROM t_trades WHERE major_category NOT IN ('野菜', '野 菜', '野　菜')
+"""),
+    "dq_accepted_range": show("t_stg_weather", ("observation_date",), ("observation_datetime",), where="WHERE humidity < 0 OR humidity > 100"),
+    "dq_relationships": sql(
+        "SELECT * EXCLUDE (item_code) FROM t_stg WHERE contains(origin, 'その他') OR contains(origin, '計')"
+    ),
+    "dq_summary": checks_sql(),
+    "content_score": sql(f"""
+SELECT rows, null_cells, repeated_rows, {r(f'100 - null_cells::DOUBLE / (rows * {len(_stg_columns)}) * 50 - repeated_rows::DOUBLE / rows * 30', 6)} AS score
+FROM (SELECT count(*) AS rows, sum({' + '.join(f'({c} IS NULL)::INT' for c in _stg_columns)})::BIGINT AS null_cells,
+             (count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_stg_columns)} FROM t_stg)))::BIGINT AS repeated_rows
+      FROM t_stg)
+"""),
+}
+
+# -- reports and control --------------------------------------------------------------
+
+_mae_band = steps_case("model_mae", V.MAE_CONFIDENCE, 40, "<")
+step("t_cheapest", f"""
+SELECT *, row_number() OVER (ORDER BY raw_price, confidence_interval DESC, r2 DESC, item_name) AS place FROM (
+SELECT item_name, model_type, predicted_price AS raw_price, {r('predicted_price', 0)} AS predicted_price,
+       {r('last_actual_price', 0)} AS current_price, NULL::DOUBLE AS price_change_pct,
+       {r(f'CASE WHEN model_mae > 0 THEN {_mae_band}::DOUBLE WHEN model_r2 >= 0 THEN model_r2 * 100 ELSE 0 END', 0)} AS confidence_pct,
+       prediction_reliability, {r('model_mae', 1)} AS model_mae, training_data_points,
+       strftime(prediction_date, '%Y-%m-%d') AS prediction_date, strftime(prediction_generated_at, '%Y-%m-%d') AS generated_date,
+       confidence_interval, model_r2 AS r2
+FROM t_fact_predictions
+WHERE prediction_year = 2002 AND prediction_month = 1 AND confidence_interval >= 0.7::DOUBLE
+  AND prediction_reliability IN ('HIGH', 'MEDIUM') AND training_data_points >= 24 AND predicted_price > 0
+  AND NOT contains(item_name, 'その他') AND model_type IN ('PROPHET', 'LSTM', 'ARIMA')
+QUALIFY row_number() OVER (PARTITION BY item_name ORDER BY CASE WHEN model_mae > 0 THEN model_mae ELSE 999 END, model_r2 DESC,
+        CASE model_type WHEN 'LSTM' THEN 1 WHEN 'PROPHET' THEN 2 WHEN 'ARIMA' THEN 3 ELSE 4 END,
+        prediction_generated_at DESC, prediction_key) = 1)
+QUALIFY place <= 10
+""")
+step("t_month_spread", f"""
+SELECT item_name, {r('avg(avg_monthly_price)', 0)} AS historical_avg_price, count(*) AS data_points,
+       {r('stddev_samp(avg_monthly_price)', 0)} AS price_volatility
+FROM t_seasonal WHERE month = 1 GROUP BY item_name HAVING count(*) >= 1
+""")
+step("t_movers", """
+(SELECT *, 'volatile' AS kind FROM t_month_spread ORDER BY price_volatility DESC NULLS LAST, item_name LIMIT 5)
+UNION ALL (SELECT *, 'stable' AS kind FROM t_month_spread ORDER BY price_volatility NULLS FIRST, item_name DESC LIMIT 5)
+""")
+step("t_records", """
+SELECT '2001-' || lpad((k % 12 + 1)::VARCHAR, 2, '0') || '-01T00:00:00' AS created_at, lpad(k::VARCHAR, 6, '0') AS version, *
+FROM (SELECT floor(n_chars / 200)::BIGINT AS k, count(*) AS total_predictions,
+             array_to_string(list_sort(list(DISTINCT lang)), ',') AS model_types, count(DISTINCT source) AS items_covered
+      FROM documents GROUP BY 1)
+""")
+step("t_newest_record", """
+SELECT version, created_at, total_predictions, model_types, items_covered FROM t_records ORDER BY created_at DESC, version DESC LIMIT 1
+""")
+_line = (
+    "'**' || place || '位: ' || item_name || '** - ' || predicted_price::BIGINT || '円/kg' || chr(10) || '　予測精度: ' ||"
+    " confidence_pct::BIGINT || '% | ' || model_type || CASE WHEN model_mae <> 999 THEN ' | 予測誤差 ' || model_mae || '円' ||"
+    " CASE WHEN model_mae < 50 THEN ' (良好)' ELSE '' END ELSE '' END || chr(10) || chr(10)"
+)
+step("t_usage", f"""
+SELECT coalesce(sum(floor(value * 1e7)::BIGINT) FILTER (event_id % 19 <> 0), 0)::DOUBLE / 1073741824 AS gb FROM events
+WHERE ts::DATE >= DATE '2024-01-01' AND event_type IN ('view', 'click', 'purchase') AND event_id % 17 <> 0 AND user_id % 5 <> 0
+""")
+step("t_objects", """
+SELECT 'bucket-' || page_id % 4 AS bucket, CASE WHEN page_id % 29 <> 0 THEN length(html) * 1024 END AS length FROM pages
+""")
+_level = lambda x: steps_case(x, V.ALERT_LEVEL, "NORMAL", ">=")
+
+
+def _usage_row(gb: str, service: str, resource: str, limit: float, source: str) -> str:
+    p = f"({gb} / {limit}::DOUBLE * 100)"
+    return (
+        f"SELECT '{service}' AS service, '{resource}' AS resource_type, {r(gb, 6)} AS current_usage, {limit}::DOUBLE AS limit_gb,"
+        f" 'GB' AS unit, {r(f'least(100::DOUBLE, {p})', 6)} AS usage_percentage, {_level(p)} AS alert_level,"
+        f" {r(f'greatest(0::DOUBLE, {limit}::DOUBLE - {gb})', 6)} AS remaining, '2024-01-31' AS check_date FROM {source}"
+    )
+
+
+_storage = "(SELECT coalesce(sum(length), 0)::DOUBLE / 1073741824 AS gb FROM t_objects)"
+_gate = lambda need: (
+    f"SELECT {r('p', 6)} AS projected_percentage, p < 95 AS safe, CASE WHEN p >= 95 THEN 'Processing would exceed 95% of free tier limit (' ||"
+    f" {r('p', 1)} || '%)' WHEN p >= 80 THEN 'Proceeding with caution - ' || {r('p', 1)} || '% usage projected'"
+    f" ELSE 'Safe to proceed - ' || {r('p', 1)} || '% usage projected' END AS reason, {need}::DOUBLE AS required_gb"
+    f" FROM (SELECT (gb + {need}::DOUBLE) / 1024 * 100 AS p FROM t_usage)"
+)
+step("t_results", """
+SELECT o_orderkey % 11 <> 0 AS success, strftime(o_orderdate, '%Y%m') || '_' || o_orderkey || '.csv' AS filename,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'load error' WHEN o_orderstatus = 'F' THEN 'skipped' ELSE 'processed' END AS message,
+       CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE o_custkey END AS records_processed,
+       CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey % 1000) / 10::DOUBLE ELSE 0 END AS score
+FROM orders
+""")
+
+# -- files ----------------------------------------------------------------------------
+
+step("t_links", """
+SELECT page_id, try_cast(substr(href, 22, 4) AS BIGINT) AS year, try_cast(nullif(m, '') AS BIGINT) AS month, 'y' AS kind,
+       'https://www.shijou.metro.tokyo.lg.jp' || href AS url, trim(regexp_replace(body, '<[^>]*>', '', 'g')) AS link_text
+FROM (SELECT page_id, CASE WHEN page_id % 13 = 0 THEN '' ELSE lpad((page_id % 13)::VARCHAR, 2, '0') END AS m,
+             '/documents/d/shijou/y' || (1995 + page_id % 40) || CASE WHEN page_id % 13 = 0 THEN '' ELSE lpad((page_id % 13)::VARCHAR, 2, '0') END
+             || CASE WHEN page_id % 2 = 0 THEN 'meisai.xlsx' ELSE 'meisai_20240131' END AS href,
+             unnest(regexp_extract_all(html, '<a href="/t[^"]*">([^<]*)</a>', 1)) AS body
+      FROM pages)
+""")
+step("t_files", "SELECT DISTINCT year, month, kind, url FROM t_links")
+step("t_named_files", """
+SELECT *, year || coalesce(lpad(month::VARCHAR, 2, '0'), '') || '.csv' AS filename FROM t_files
+""")
+
+ORACLE |= {
+    "cheapest_top10": sql("SELECT * EXCLUDE (place, raw_price, confidence_interval, r2) FROM t_cheapest"),
+    "volatile_items": sql("SELECT * FROM t_movers"),
+    "report_message": sql(f"""
+SELECT '01月の安い野菜TOP10' AS title, count(*) AS items,
+       'AI予測による01月の野菜価格ランキング（安い順）' || chr(10) || chr(10) || string_agg({_line}, '' ORDER BY place) AS ranking_text,
+       (SELECT '*01月によく変動する野菜*: ' || string_agg(item_name, '、' ORDER BY price_volatility DESC, item_name)
+        FROM (SELECT * FROM t_movers WHERE kind = 'volatile' ORDER BY price_volatility DESC NULLS LAST, item_name LIMIT 3)) AS seasonal_text,
+       (SELECT chr(10) || '*予測モデル情報*' || chr(10) || 'バージョン: ' || version || ' | 対象品目: ' || items_covered || '品目 | 更新: ' || left(created_at, 10)
+        FROM t_newest_record) AS model_text
+FROM t_cheapest
+"""),
+    "coverage_diagnosis": sql("""
+SELECT prediction_year, prediction_month, raw_rows, mart_rows,
+       CASE WHEN mart_rows IS NULL THEN 'missing in mart' WHEN raw_rows IS NULL THEN 'missing in raw'
+            WHEN mart_rows < raw_rows THEN 'partly filtered' ELSE 'complete' END AS state
+FROM (SELECT prediction_year, prediction_month, count(*) AS raw_rows FROM t_predictions WHERE prediction_year >= 1996 GROUP BY 1, 2)
+FULL JOIN (SELECT prediction_year, prediction_month, count(*) AS mart_rows FROM t_fact_predictions WHERE prediction_year >= 1996 GROUP BY 1, 2)
+USING (prediction_year, prediction_month)
+"""),
+    "batch_counts": sql("""
+SELECT model_type AS label, count(*) AS predictions, 'model' AS kind FROM t_fact_predictions GROUP BY 1
+UNION ALL SELECT strftime(prediction_date, '%Y年%m月'), count(*), 'month' FROM t_fact_predictions GROUP BY 1
+"""),
+    "usage_month": sql(f"SELECT {r('gb', 6)} AS current_usage FROM t_usage"),
+    "usage_rows": sql(
+        _usage_row("gb", "warehouse", "query_processing", 1024.0, "t_usage")
+        + " UNION ALL " + _usage_row("gb", "storage", "total_storage", 5.0, _storage)
+    ),
+    "usage_alerts": sql(
+        "SELECT alert_level AS level, service, resource_type AS resource, usage_percentage, service || ' ' || resource_type || ' usage is ' || "
+        + r("usage_percentage", 1) + " || '% of free tier limit' AS message FROM ("
+        + " UNION ALL ".join(_usage_row("gb", "warehouse", f"quota_{n}", float(n), "t_usage") for n in (20, 60, 90, 110, 1024))
+        + ") WHERE alert_level <> 'NORMAL'"
+    ),
+    "safety_gate": sql(" UNION ALL ".join(_gate(need) for need in (0.01, 800.0, 1000.0))),
+    "run_report": sql(f"""
+SELECT count(*) AS total, count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed,
+       count(*) FILTER (success AND message = 'skipped') AS skipped, count(*) FILTER (success AND message = 'processed') AS processed,
+       coalesce(sum(records_processed) FILTER (success), 0)::BIGINT AS records, {r('avg(score) FILTER (success)', 6)} AS mean_quality,
+       (SELECT string_agg(line, '; ' ORDER BY line) FROM
+          (SELECT filename || ': ' || message AS line FROM t_results WHERE NOT success ORDER BY 1 LIMIT 5)) AS first_failures
+FROM t_results
+"""),
+    "file_links": sql("SELECT * FROM t_links"),
+    "files_superseded": sql("""
+SELECT * FROM t_files f WHERE month IS NULL OR NOT EXISTS (SELECT 1 FROM t_files y WHERE y.month IS NULL AND y.year = f.year)
+"""),
+    "files_select": sql("""
+(SELECT *, 'latest-only' AS mode FROM t_files ORDER BY year DESC, coalesce(month, 0) DESC, url LIMIT 1)
+UNION ALL SELECT *, 'backfill' FROM t_files WHERE year BETWEEN 1996 AND 2001
+"""),
+    "files_pending": sql("""
+SELECT * FROM t_named_files WHERE filename NOT IN (SELECT DISTINCT year || lpad(month::VARCHAR, 2, '0') || '.csv' FROM t_trades)
+"""),
+    "month_slices": sql("""
+SELECT station_id, strftime(lo, '%Y-%m-%d') AS start_date, strftime(hi, '%Y-%m-%d') AS end_date,
+       strftime(greatest(m, lo), '%Y-%m-%d') AS slice_start, strftime(least(last_day(m), hi), '%Y-%m-%d') AS slice_end
+FROM (SELECT *, unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH))::DATE AS m
+      FROM (SELECT station_id, min(observation_date) AS lo, max(observation_date) AS hi FROM t_stg_weather GROUP BY 1))
+"""),
+    "station_catalogue": sql(
+        "SELECT station_id, station_name, region, priority, coverage, observations FROM (VALUES "
+        + ", ".join(
+            f"({q(code)}, {q(name)}, {q(block)}, {rank}, {q(coverage)})"
+            for coverage, codes in (("all", [s[0] for s in V.STATIONS]), ("agriculture", V.AGRICULTURE_STATIONS), ("current", V.CURRENT_STATIONS))
+            for rank, code in enumerate(codes, 1)
+            for known, name, block in V.STATIONS
+            if known == code
+        )
+        + ") AS s(station_id, station_name, region, priority, coverage)"
+        " LEFT JOIN (SELECT station_id, count(*) AS observations FROM t_stg_weather GROUP BY 1) USING (station_id)"
+    ),
+    "object_sizes": sql(f"""
+SELECT bucket, count(*) AS objects, {r('coalesce(sum(length), 0)::DOUBLE / 1073741824', 6)} AS size_gb FROM t_objects GROUP BY bucket
+"""),
+    "latest_metadata": sql("SELECT * FROM t_newest_record"),
+    "target_items": sql("""
+SELECT item_name, count(*) AS data_points, min(year) AS start_year, max(year) AS end_year FROM t_monthly WHERE year >= 1997
+GROUP BY 1 HAVING count(*) >= 24 ORDER BY data_points DESC, item_name LIMIT 20
+"""),
+}
