@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.numeric import pct_change, round_to
-from .operators import aggregates, quality
-from .plans import checks, control, dims, facts, marts, report, staging
-from .session import prepare
+from .operators import accuracy, aggregates, features, forecast, models, quality, ranking
+from .operators import series as ts
+from .plans import batch, checks, control, dims, facts, marts, report, staging
+from .session import cut_lineage, prepare
 from .sources import links, sinks, stations, tables
 from .sources.tables import AS_OF, START_YEAR
 
@@ -68,9 +69,13 @@ def weather(spark, folder):
     return facts.fact_weather_daily(observed, stations), stations
 
 
-def price_weather(spark, folder):
+def cube(spark, folder):
+    return cut_lineage(aggregates.price_cube(stg_trades(spark, folder)))
+
+
+def price_weather(spark, folder, sums=None):
     daily, stations = weather(spark, folder)
-    return marts.mart_price_weather(stg_trades(spark, folder), daily, stations)
+    return marts.mart_price_weather(sums if sums is not None else cube(spark, folder), daily, stations)
 
 
 def fact_predictions(spark, folder):
@@ -148,7 +153,7 @@ def _(spark, folder):
     return facts.weather_monthly(daily, stations, marts.WEATHER_STATIONS)
 
 
-query("mart_price_weather")(price_weather)
+query("mart_price_weather")(lambda spark, folder: price_weather(spark, folder))
 
 
 @query("monthly_prices")
@@ -174,21 +179,21 @@ def _(spark, folder):
 
 @query("seasonal_month_profile")
 def _(spark, folder):
-    return aggregates.month_profile(marts.seasonal_base(stg_trades(spark, folder)), marts.ITEM_KEYS)
+    return aggregates.month_profile(marts.seasonal_base(aggregates.price_cube(stg_trades(spark, folder))), marts.ITEM_KEYS)
 
 
 @query("seasonal_annual_profile")
 def _(spark, folder):
-    return aggregates.annual_profile(marts.seasonal_base(stg_trades(spark, folder)), marts.ITEM_KEYS)
+    return aggregates.annual_profile(marts.seasonal_base(aggregates.price_cube(stg_trades(spark, folder))), marts.ITEM_KEYS)
 
 
 @query("seasonal_peaks")
 def _(spark, folder):
-    return marts.seasonal_peaks(marts.seasonal_index(marts.seasonal_base(stg_trades(spark, folder))))
+    return marts.seasonal_peaks(marts.seasonal_index(marts.seasonal_base(aggregates.price_cube(stg_trades(spark, folder)))))
 
 
-def seasonal(spark, folder):
-    return marts.mart_seasonal(stg_trades(spark, folder))
+def seasonal(spark, folder, sums=None):
+    return marts.mart_seasonal(sums if sums is not None else cube(spark, folder))
 
 
 query("mart_seasonal")(seasonal)
@@ -433,3 +438,323 @@ def _(spark, folder):
 def _(spark, folder):
     monthly = aggregates.monthly_trades(stg_trades(spark, folder))
     return aggregates.frequent_items(monthly, "item_name", START_YEAR, 24, 20)
+
+
+# -- series ---------------------------------------------------------------------------
+
+ITEM = ["item_name"]
+ORDER = list(batch.ROW_ORDER)
+ROW_KEYS = ["item_name", "market", "origin", "sub_category", "profile_category", "year", "month"]
+GAPS = ["avg_temperature", "yoy_price_growth_rate"]
+
+
+def series_frame(spark, folder):
+    sums = cube(spark, folder)
+    return features.series_frame(price_weather(spark, folder, sums), seasonal(spark, folder, sums))
+
+
+def item_series(spark, folder):
+    """All rows of an item in time order, as one series."""
+    return batch.prepared(series_frame(spark, folder), ITEM)
+
+
+def market_series(spark, folder):
+    """One series per item, market and origin."""
+    return batch.prepared(series_frame(spark, folder), features.SERIES)
+
+
+def shown(series, *columns):
+    return rounded(series.df.select(*ROW_KEYS, "pos", *columns), [c for c in columns if c != "n"])
+
+
+query("series_extract")(series_frame)
+
+
+@query("lag_matrix")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    offsets = {"y_lag_1": 1, "y_lag_3": 3, "y_lag_6": 6, "y_lag_12": 12}
+    return shown(ts.lag_columns(series, "y", offsets), "y", *offsets)
+
+
+@query("moving_stats")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    moved = ts.moving_columns(series, "y", {"y_ma_3": 3, "y_ma_6": 6, "y_ma_12": 12}, {"y_sd_12": 12})
+    return shown(moved, "y", "y_ma_3", "y_ma_6", "y_ma_12", "y_sd_12")
+
+
+@query("quartiles")
+def _(spark, folder):
+    series, fits = item_series(spark, folder)
+    found = ts.quantiles(series.df, ITEM, "y", (0.25, 0.5, 0.75), ("q1", "median", "q3"), ["pos"], fits)
+    return rounded(found, ["q1", "median", "q3"])
+
+
+@query("outlier_filter")
+def _(spark, folder):
+    series, fits = item_series(spark, folder)
+    return shown(ts.outlier_filter(series, ORDER, fits=fits), "y", "n")
+
+
+@query("outlier_repair")
+def _(spark, folder):
+    series, fits = item_series(spark, folder)
+    return shown(ts.outlier_repair(series, fits=fits), "y")
+
+
+@query("interpolate_gaps")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    return shown(ts.interpolate_gaps(series, GAPS), *GAPS)
+
+
+@query("fill_gaps")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    return shown(ts.fill_gaps(series, GAPS), *GAPS)
+
+
+@query("smooth_series")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    return shown(ts.smooth_centred(series), "y")
+
+
+@query("shape_features")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    return shown(ts.shape_features(series), "y", "y_lag1", "y_lag3", "y_ma3", "y_ma6", "y_pct_change")
+
+
+@query("detrend")
+def _(spark, folder):
+    series, _ = item_series(spark, folder)
+    return shown(ts.detrend(series), "y", "trend", "y_detrended")
+
+
+@query("sequences")
+def _(spark, folder):
+    series, _ = market_series(spark, folder)
+    windows = ts.sequences(series, ["y", "total_quantity_kg"], "y", 12)
+    text = lambda c: F.array_join(F.transform("window", lambda s: s[c].cast("string")), ",")
+    return windows.select(*ROW_KEYS, "pos", "target", text("y").alias("prices"), text("total_quantity_kg").alias("quantities"))
+
+
+@query("last_rows")
+def _(spark, folder):
+    series, _ = market_series(spark, folder)
+    return ts.last_rows(series, 12).select(*ROW_KEYS, "pos", "y")
+
+
+def item_split(spark, folder):
+    series, fits = item_series(spark, folder)
+    return ts.holdout(series), fits
+
+
+@query("holdout_split")
+def _(spark, folder):
+    split, _ = item_split(spark, folder)
+    return split.df.select(*ROW_KEYS, "pos", "train_n", "test_n", "is_train")
+
+
+@query("naive_baseline")
+def _(spark, folder):
+    series, _ = market_series(spark, folder)
+    return ts.naive_baseline(ts.holdout(series)).select(*ROW_KEYS, "pos", "y", "y_naive")
+
+
+@query("minmax_scale")
+def _(spark, folder):
+    split, _ = item_split(spark, folder)
+    return shown(ts.minmax_scale(split, ["y", "total_quantity_kg"]), "y_scaled", "total_quantity_kg_scaled")
+
+
+@query("train_median_fill")
+def _(spark, folder):
+    split, fits = item_split(spark, folder)
+    return shown(ts.fill_with_train_median(split, ["yoy_price_growth_rate"], fits), "yoy_price_growth_rate")
+
+
+def mean_forecast(split):
+    """The mean of the training rows as forecast, to have values to judge."""
+    means = split.df.filter("is_train").groupBy(*split.keys).agg(F.avg("y").alias("y_pred"))
+    return split.with_df(ranking.join_groups(split.df, means, split.keys))
+
+
+MEASURES = ["mae", "mse", "rmse", "mape", "smape", "mase", "r2"]
+
+
+def naive_metrics(spark, folder):
+    split, _ = item_split(spark, folder)
+    return accuracy.metrics(ts.naive_baseline(mean_forecast(split)), ITEM)
+
+
+@query("accuracy_metrics")
+def _(spark, folder):
+    return rounded(naive_metrics(spark, folder), MEASURES)
+
+
+@query("accuracy_metrics_diff")
+def _(spark, folder):
+    split, _ = item_split(spark, folder)
+    return rounded(accuracy.metrics_by_steps(mean_forecast(split)), MEASURES)
+
+
+@query("grade")
+def _(spark, folder):
+    graded = naive_metrics(spark, folder)
+    return graded.select("item_name", round_to("mase", 6).alias("mase"), accuracy.grade("mase").alias("grade"))
+
+
+# -- forecasts ------------------------------------------------------------------------
+
+
+def seasonal_trend(mode):
+    def build(spark, folder):
+        series, _ = item_series(spark, folder)
+        fit = forecast.fit_trend_season(series.df, ITEM, mode)
+        ahead = forecast.future_months(series.df, ITEM, 6).withColumn("year", F.year("ds").cast("bigint"))
+        out = fit.predict(ahead).select("item_name", "ds", "y_pred", "lower", "upper")
+        return rounded(out, ["y_pred", "lower", "upper"], 4)
+
+    return build
+
+
+query("forecast_trend_seasonal")(seasonal_trend("additive"))
+query("forecast_trend_multiplicative")(seasonal_trend("multiplicative"))
+
+
+@query("forecast_projection")
+def _(spark, folder):
+    latest = batch.latest_prices(price_weather(spark, folder))
+    return forecast.projection(latest, 6).select(
+        "item_name", "step", "prediction_date", "predicted_price", "lower_bound", "upper_bound"
+    )
+
+
+@query("future_months")
+def _(spark, folder):
+    months = forecast.future_months(series_frame(spark, folder), features.SERIES, 6)
+    return months.select(*features.SERIES, "last_ds", "step", "ds", "month")
+
+
+@query("climatology")
+def _(spark, folder):
+    out = forecast.future_regressors(
+        series_frame(spark, folder), ITEM, 6, ["avg_temperature", "total_precipitation"], ["total_quantity_kg"]
+    )
+    return rounded(out, ["avg_temperature", "total_precipitation", "total_quantity_kg"])
+
+
+@query("event_calendar")
+def _(spark, folder):
+    """Event flags of every observed day."""
+    return forecast.event_flags(stg_weather(spark, folder).select(F.col("observation_date").alias("ds")).distinct())
+
+
+@query("forecast_autoregressive")
+def _(spark, folder):
+    series, _ = market_series(spark, folder)
+    return forecast.forecast_autoregression(series, 6)
+
+
+@query("forecast_recursive")
+def _(spark, folder):
+    series, _ = market_series(spark, folder)
+    return batch.forecasts(series, 6, ["pooled"])
+
+
+@query("backtest")
+def _(spark, folder):
+    return batch.backtest(series_frame(spark, folder))
+
+
+@query("prediction_batch")
+def _(spark, folder):
+    """Time-series prediction rows of all items with three models."""
+    return batch.run_time_series(series_frame(spark, folder), f"{AS_OF} 00:00:00")
+
+
+# -- regression -----------------------------------------------------------------------
+
+
+def training_rows(spark, folder):
+    staged = stg_trades(spark, folder)
+    sums = cube(spark, folder)
+    prices, seasons = price_weather(spark, folder, sums), seasonal(spark, folder, sums)
+    return features.training_rows(prices, seasons, dims.dim_item(staged))
+
+
+TRAINING_KEYS = [*features.SERIES, *features.ROW_ORDER]
+
+
+@query("training_features")
+def _(spark, folder):
+    return training_rows(spark, folder)
+
+
+@query("encode_categories")
+def _(spark, folder):
+    columns = ["item_name", "market", "origin", "sub_category"]
+    encoded = features.encode_ordinal(stg_trades(spark, folder).select(*columns).distinct(), columns)
+    return encoded
+
+
+@query("feature_deviation")
+def _(spark, folder):
+    rows = features.month_deviation(
+        training_rows(spark, folder).withColumn("price_volatility", features.price_volatility()),
+        {"avg_temperature": "temperature_deviation", "total_precipitation": "precipitation_deviation"},
+    ).withColumn("price_trend", features.trend_sign())
+    names = ["price_volatility", "temperature_deviation", "precipitation_deviation"]
+    return rounded(rows.select(*TRAINING_KEYS, *names, "price_trend"), names)
+
+
+@query("quarter_dummies")
+def _(spark, folder):
+    rows = features.quarter_dummies(training_rows(spark, folder))
+    return rows.select(*TRAINING_KEYS, "quarter", "quarter_1", "quarter_2", "quarter_3", "quarter_4")
+
+
+def regression(spark, folder, trees=20, depth=8, rounds=10, boost_depth=4):
+    """Split and fitted models. The model sizes are below the defaults (100 trees of depth
+    15, 100 rounds of depth 6), which take minutes on one machine."""
+    built = features.build_features(training_rows(spark, folder))
+    names = features.available_features(built)
+    whole = features.complete_rows(built, [*names, features.TARGET])
+    split = cut_lineage(features.chronological_split(whole))
+    plans = models.pipelines(names, trees=trees, depth=depth, rounds=rounds, boost_depth=boost_depth)
+    return split, names, models.fit_all(split, plans, [*names, features.TARGET])
+
+
+@query("train_regressors")
+def _(spark, folder):
+    split, _, fitted = regression(spark, folder)
+    return models.evaluate_all(split, fitted)
+
+
+@query("feature_importance")
+def _(spark, folder):
+    _, names, fitted = regression(spark, folder)
+    return models.importance(spark, fitted, names)
+
+
+@query("best_model")
+def _(spark, folder):
+    split, _, fitted = regression(spark, folder)
+    return models.best_model(models.evaluate_all(split, fitted))
+
+
+@query("regression_batch")
+def _(spark, folder):
+    split, _, fitted = regression(spark, folder)
+    best = models.best_model(models.evaluate_all(split, fitted))
+    projected = forecast.projection(batch.latest_prices(price_weather(spark, folder)), 6)
+    return batch.regression_rows(projected, best, split.count(), f"{AS_OF} 00:00:00")
+
+
+@query("chronological_split")
+def _(spark, folder):
+    split = features.chronological_split(training_rows(spark, folder))
+    return split.select(*TRAINING_KEYS, "avg_unit_price_yen", "is_train")

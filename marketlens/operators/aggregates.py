@@ -19,16 +19,31 @@ def valid_trades(trades: DataFrame, low: float | None = None, high: float | None
     return rows if low is None else rows.filter(F.col("unit_price").between(low, high))
 
 
-def monthly_trades(trades: DataFrame, keys: Sequence[str] = TRADE_KEYS) -> DataFrame:
-    """Sums, mean of the row unit prices, and number of trades per key."""
+def price_cube(trades: DataFrame, keys: Sequence[str] = TRADE_KEYS) -> DataFrame:
+    """Additive sums per key; coarser tables are built from it without a second raw scan."""
     return valid_trades(trades).groupBy(*keys).agg(
         F.sum("quantity_kg").alias("total_quantity_kg"),
         F.sum("amount_yen").alias("total_amount_yen"),
-        round_to(F.avg("unit_price"), 2).alias("avg_unit_price_yen"),
+        F.sum("unit_price").alias("sum_unit_price"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
 
 
+def from_cube(cube: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Sums, mean of the row unit prices and number of trades, per row of the cube or per
+    coarser ``keys``."""
+    sums = ("total_quantity_kg", "total_amount_yen", "sum_unit_price", "transaction_count")
+    if keys is not None:
+        cube = cube.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    mean = round_to(ratio("sum_unit_price", "transaction_count"), 2)
+    return cube.withColumn("avg_unit_price_yen", mean).drop("sum_unit_price")
+
+
+def monthly_trades(trades: DataFrame, keys: Sequence[str] = TRADE_KEYS) -> DataFrame:
+    """Sums, mean of the row unit prices, and number of trades per key."""
+    return from_cube(price_cube(trades, keys))
+
+
 def monthly_prices(trades: DataFrame, low: float = 1, high: float = 10000, keys: Sequence[str] = TRADE_KEYS) -> DataFrame:
     """Price statistics per key over trades with a plausible unit price."""
     price = F.col("unit_price")

@@ -43,7 +43,7 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def groups_fit(df: DataFrame, keys: Sequence[str], limit: int = MAX_GROUP_ROWS) -> bool:
     """True when no group of ``keys`` (or the whole frame, if none) exceeds ``limit`` rows.
 
-    Only one number reaches the driver. Call it on a table or a checkpoint, not on a long plan.
+    Only one number reaches the driver. Call it on a saved table, not on a long plan.
     """
     if not keys:
         return df.limit(limit + 1).count() <= limit
@@ -55,7 +55,7 @@ def global_index(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame
     """Dense 0-based position in a total order, without a single-task window.
 
     ``order`` must be unique per row. Rows are range-partitioned and sorted; the sorted
-    partitions are checkpointed, so the counts and the positions come from one result.
+    partitions are saved with their ids, so the counts and the positions come from one result.
     The offsets have one row per shuffle partition, hence the broadcast.
     """
     # Row number inside a sorted partition: the low bits of the built-in id.

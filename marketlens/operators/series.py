@@ -34,6 +34,10 @@ class Series:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, "chunk").orderBy("pos")
 
+    @property
+    def backward(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys, "chunk").orderBy(F.desc("pos"))
+
     def with_df(self, df: DataFrame) -> "Series":
         return replace(self, df=df)
 
@@ -79,7 +83,7 @@ def index_series(
     chunk_rows: int = CHUNK_ROWS,
     fits: bool | None = None,
 ) -> Series:
-    """Number the rows of every series. ``df`` should be a table or a checkpoint."""
+    """Number the rows of every series. ``df`` should be a saved table."""
     keys = tuple(keys)
     by = [F.col(c).asc_nulls_first() for c in order]
     if fits is None:
@@ -141,29 +145,23 @@ def _edge_values(series: Series, source: str) -> Series:
     """Add the nearest known (pos, value) at or before and at or after every row."""
     known = F.when(F.col(source).isNotNull(), F.struct("pos", F.col(source).alias("v")))
     df = series.df.withColumn("_known", known)
-    w = series.window
-    df = df.withColumns(
-        {
-            "_prev": F.last("_known", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "_next": F.first("_known", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-        }
-    )
+    # Looking ahead is done over the reversed order: a frame that grows by one row per row
+    # costs one pass, one that shrinks would be summed up anew for every row.
+    upto = lambda w: F.last("_known", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumns({"_prev": upto(series.window), "_next": upto(series.backward)})
     if series.chunk_rows is not None:
         # One row per chunk: what the chunks before and after it can hand over.
         keys = list(series.keys)
         ends = df.groupBy(*keys, "chunk").agg(
             F.max("_known").alias("_last_known"), F.min("_known").alias("_first_known")
         )
-        chunks = Window.partitionBy(*keys).orderBy("chunk")
+        chunks = Window.partitionBy(*keys)
+        before = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
         carry = ends.select(
             *keys,
             "chunk",
-            F.last("_last_known", ignorenulls=True)
-            .over(chunks.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_carry_prev"),
-            F.first("_first_known", ignorenulls=True)
-            .over(chunks.rowsBetween(1, Window.unboundedFollowing))
-            .alias("_carry_next"),
+            before("_last_known", chunks.orderBy("chunk")).alias("_carry_prev"),
+            before("_first_known", chunks.orderBy(F.desc("chunk"))).alias("_carry_next"),
         )
         df = (
             ranking.join_groups(df, carry, [*keys, "chunk"])

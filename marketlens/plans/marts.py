@@ -12,7 +12,7 @@ from ..functions.dates import day, month_start
 from ..functions.numeric import pct_change, ratio, round_to
 from ..functions.rules import above, at_least, classify, contains_any, one_of, relative
 from ..operators import ranking
-from ..operators.aggregates import annual_profile, month_profile, monthly_trades
+from ..operators.aggregates import annual_profile, from_cube, month_profile
 from ..session import cut_lineage
 from .facts import CATEGORIES, SERIES, series_window, weather_monthly
 
@@ -52,14 +52,17 @@ def price_trend(monthly: DataFrame) -> DataFrame:
 
 
 def mart_price_weather(
-    trades: DataFrame,
+    cube: DataFrame,
     weather_daily: DataFrame,
     stations: DataFrame,
     station_names: Sequence[str] = WEATHER_STATIONS,
     max_group_rows: int = ranking.MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Monthly series with growth, moving means, rank in the month, and the month's weather."""
-    base = cut_lineage(monthly_trades(trades))
+    """Monthly series with growth, moving means, rank in the month, and the month's weather.
+
+    ``cube`` is a saved ``price_cube``.
+    """
+    base = from_cube(cube)
     fits = ranking.groups_fit(base, ["year", "month"], max_group_rows)
     ranked = ranking.row_number_over(
         price_trend(base), "monthly_price_rank", ["year", "month"],
@@ -106,8 +109,9 @@ def mart_price_weather(
     )
 
 
-def seasonal_base(trades: DataFrame) -> DataFrame:
-    return monthly_trades(trades, ("item_name", *CATEGORIES, "year", "month", "origin"))
+def seasonal_base(cube: DataFrame) -> DataFrame:
+    """Markets summed up."""
+    return from_cube(cube, ("item_name", *CATEGORIES, "year", "month", "origin"))
 
 
 def seasonal_index(base: DataFrame) -> DataFrame:
@@ -167,9 +171,12 @@ def season_pattern(months_text: str, mode: str = "text") -> Column:
     return classify([(F.arrays_overlap(listed, wanted(months)), label) for label, months in groups], "通年野菜")
 
 
-def mart_seasonal(trades: DataFrame, pattern_mode: str = "text") -> DataFrame:
-    """Seasonal profile per item, category and month, with peaks and levels."""
-    index = seasonal_index(cut_lineage(seasonal_base(trades)))
+def mart_seasonal(cube: DataFrame, pattern_mode: str = "text") -> DataFrame:
+    """Seasonal profile per item, category and month, with peaks and levels.
+
+    ``cube`` is a saved ``price_cube``; the profile is small, and saved because it is read twice.
+    """
+    index = cut_lineage(seasonal_index(seasonal_base(cube)))
     peaks = seasonal_peaks(index).withColumns(
         {
             "vegetable_category": contains_any("item_name", V.ITEM_CATEGORY_SEASONAL, V.ITEM_CATEGORY_DEFAULT),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.legacy.javaCharsets": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -34,24 +34,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session may do without, and gets a folder of its own.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="marketlens-ckpt-"))
-    else:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    made = tempfile.mkdtemp(prefix="marketlens-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read on from there.
+    """Write ``df`` once as a table in the shared folder and read on from there.
 
-    Used where several later steps read the same rows, so that they all see one
-    result and an executor loss does not recompute the raw scan.
+    Used where several later steps read the same rows: they all see one result, the raw
+    scan runs once, and a lost executor costs no recomputation. The table is columnar, so
+    later steps read only their columns and the planner knows its size.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/marketlens/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

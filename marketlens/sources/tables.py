@@ -26,8 +26,22 @@ AS_OF = "2001-12-01"
 START_YEAR = 1997
 
 
+# Columns that are used, with their stored types, so that no job has to look them up.
+COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double,"
+    " l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "pages": "page_id bigint, html string",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+}
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(values, index: Column) -> Column:
@@ -40,12 +54,10 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     The joins have no hint: Spark broadcasts a side only when its size is below the
     session limit, and sorts both sides otherwise.
     """
-    line = read(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
-    )
-    part = read(spark, folder, "part").select("p_partkey", "p_name")
-    supplier = read(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    line = read(spark, folder, "lineitem")
+    part = read(spark, folder, "part")
+    supplier = read(spark, folder, "supplier")
+    nation = read(spark, folder, "nation")
     rows = (
         line.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -78,7 +90,7 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
 
 def weather_hourly(spark: SparkSession, folder: str) -> DataFrame:
     """One observation per order, at one of 47 stations."""
-    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = read(spark, folder, "orders")
     key = F.col("o_orderkey")
     station = F.col("o_custkey") % len(V.STATIONS)
     when = F.timestamp_seconds(F.unix_timestamp("o_orderdate") + (key % 24) * 3600)
@@ -151,7 +163,7 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def job_log(spark: SparkSession, folder: str) -> DataFrame:
     """Query jobs from the event stream."""
-    events = read(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events = read(spark, folder, "events")
     return events.select(
         F.col("ts").alias("creation_time"),
         F.when(F.col("event_type").isin("view", "click", "purchase"), "QUERY").otherwise("LOAD").alias("job_type"),
@@ -185,7 +197,7 @@ def link_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest_results(spark: SparkSession, folder: str) -> DataFrame:
     """Load results: one per order, read as one file each."""
-    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    orders = read(spark, folder, "orders")
     key = F.col("o_orderkey")
     failed = key % 11 == 0
     return orders.select(
@@ -199,7 +211,7 @@ def ingest_results(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_records(spark: SparkSession, folder: str) -> DataFrame:
     """Saved-model records: one JSON text per document source and length class."""
-    docs = read(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = read(spark, folder, "documents")
     grouped = docs.groupBy(F.floor(F.col("n_chars") / 200).cast("bigint").alias("k")).agg(
         F.count(F.lit(1)).alias("total_predictions"),
         F.sort_array(F.collect_set("lang")).alias("model_types"),
