@@ -582,7 +582,8 @@ def mean_forecast(split):
     return split.with_df(ranking.join_groups(split.df, means, split.keys))
 
 
-MEASURES = ["mae", "mse", "rmse", "mape", "smape", "mase", "r2"]
+def shown_measures(measured):
+    return rounded(rounded(measured, ["mse"], 2), ["mae", "rmse", "mape", "smape", "mase", "r2"], 4)
 
 
 def naive_metrics(spark, folder):
@@ -592,13 +593,13 @@ def naive_metrics(spark, folder):
 
 @query("accuracy_metrics")
 def _(spark, folder):
-    return rounded(naive_metrics(spark, folder), MEASURES)
+    return shown_measures(naive_metrics(spark, folder))
 
 
 @query("accuracy_metrics_diff")
 def _(spark, folder):
     split, _ = item_split(spark, folder)
-    return rounded(accuracy.metrics_by_steps(mean_forecast(split)), MEASURES)
+    return shown_measures(accuracy.metrics_by_steps(mean_forecast(split)))
 
 
 @query("grade")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A mean of cents that lies on x.xx5 may come out a few ulps below it, depending on the
 # order in which partitions were added. The slack makes such ties round up in any order.
@@ -43,10 +44,15 @@ def clamp(value, low: float, high: float) -> Column:
     return F.when(x < low, F.lit(low)).when(x > high, F.lit(high)).otherwise(x)
 
 
-def to_int(value) -> Column:
-    """Text or number to bigint, rounding halves away from zero; bad input gives NULL."""
+def to_int(value, kind: T.DataType | None = None) -> Column:
+    """Text or number to bigint, rounding halves away from zero; bad input gives NULL.
+
+    ``kind`` is the stored type where it is known: whole numbers need no rounding.
+    """
+    if isinstance(kind, T.IntegralType):
+        return as_col(value).cast("bigint")
     x = as_col(value).try_cast("double")
-    return F.round(x).try_cast("bigint")
+    return F.when(x >= 0, F.floor(x + 0.5)).otherwise(-F.floor(0.5 - x))
 
 
 def to_number(value, default: float | None = None) -> Column:

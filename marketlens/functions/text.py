@@ -15,7 +15,7 @@ def trim_blanks(value) -> Column:
 
 def strip_blanks(value) -> Column:
     """Drop every blank inside the text as well."""
-    return F.regexp_replace(as_col(value), "[ 　]+", "")
+    return F.translate(as_col(value), " 　", "")
 
 
 def letters_digits(value) -> Column:

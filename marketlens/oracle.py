@@ -823,3 +823,278 @@ SELECT item_name, count(*) AS data_points, min(year) AS start_year, max(year) AS
 GROUP BY 1 HAVING count(*) >= 24 ORDER BY data_points DESC, item_name LIMIT 20
 """),
 }
+
+# -- series ---------------------------------------------------------------------------
+
+_ROWS = "year, month, market, origin, major_category, sub_category NULLS FIRST, profile_category NULLS FIRST"
+step("t_series", """
+SELECT strftime(make_date(p.year, p.month, 1), '%Y-%m-%d') AS ds, p.year, p.month, p.item_name, market, origin, p.major_category, p.sub_category,
+       s.sub_category AS profile_category, avg_unit_price_yen AS y, total_quantity_kg, total_amount_yen, yoy_price_growth_rate,
+       mom_price_growth_rate, price_3month_moving_avg, avg_temperature, total_precipitation, avg_wind_speed,
+       seasonal_price_index, seasonal_quantity_index
+FROM t_price_weather p LEFT JOIN t_seasonal s ON p.item_name = s.item_name AND p.month = s.month
+WHERE avg_unit_price_yen > 0
+""")
+step("t_by_item", f"""
+SELECT *, row_number() OVER (PARTITION BY item_name ORDER BY {_ROWS}) - 1 AS pos, count(*) OVER (PARTITION BY item_name) AS n FROM t_series
+""")
+step("t_by_market", f"""
+SELECT *, row_number() OVER (PARTITION BY item_name, market, origin ORDER BY {_ROWS}) - 1 AS pos,
+       count(*) OVER (PARTITION BY item_name, market, origin) AS n FROM t_series
+""")
+_KEYS = "item_name, market, origin, sub_category, profile_category, year, month, pos"
+_I = "PARTITION BY item_name ORDER BY pos"
+step("t_quartiles", """
+SELECT item_name, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median, quantile_cont(y, 0.75) AS q3,
+       avg(y) AS mean, stddev_samp(y) AS sd FROM t_by_item GROUP BY 1
+""")
+step("t_without_outliers", f"""
+SELECT * EXCLUDE (pos, n), row_number() OVER ({_I}) - 1 AS pos, count(*) OVER (PARTITION BY item_name) AS n, n AS before
+FROM (SELECT *, avg(y) OVER ({_I} ROWS 6 PRECEDING) AS ma7 FROM t_by_item) JOIN t_quartiles USING (item_name)
+WHERE n < 20 OR NOT (y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1) OR coalesce(abs((y - mean) / nullif(sd, 0)) > 4, false)
+                     OR abs((y - ma7) / nullif(ma7, 0)) > 0.8)
+""")
+
+
+def _edges(c: str) -> str:
+    """Neighbours of a gap: position and value of the last known row before and the first after."""
+    known = f"CASE WHEN {c} IS NOT NULL THEN pos END"
+    return (
+        f"last_value({c} IGNORE NULLS) OVER f AS {c}_pv, first_value({c} IGNORE NULLS) OVER b AS {c}_nv,"
+        f" last_value({known} IGNORE NULLS) OVER f AS {c}_pp, first_value({known} IGNORE NULLS) OVER b AS {c}_np"
+    )
+
+
+def _line_between(c: str) -> str:
+    return (
+        f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {c}_pp IS NOT NULL AND {c}_np IS NOT NULL"
+        f" THEN {c}_pv + ({c}_nv - {c}_pv) * ((pos - {c}_pp)::DOUBLE / ({c}_np - {c}_pp)) ELSE {c}_pv END"
+    )
+
+
+_GAPS = ("avg_temperature", "yoy_price_growth_rate")
+step("t_edges", f"""
+SELECT *, {', '.join(_edges(c) for c in _GAPS)} FROM t_by_item
+WINDOW f AS ({_I} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS ({_I} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+""")
+step("t_split", """
+SELECT *, n - train_n AS test_n, pos < train_n AS is_train FROM (SELECT *, floor(n * (1 - 0.2)::DOUBLE)::BIGINT AS train_n FROM t_by_item)
+WHERE n >= 10 AND train_n >= 5 AND n - train_n >= 3
+""")
+step("t_market_split", """
+SELECT *, n - train_n AS test_n, pos < train_n AS is_train FROM (SELECT *, floor(n * (1 - 0.2)::DOUBLE)::BIGINT AS train_n FROM t_by_market)
+WHERE n >= 10 AND train_n >= 5 AND n - train_n >= 3
+""")
+step("t_market_naive", """
+SELECT t.*, CASE WHEN t.train_n >= t.test_n THEN a.y ELSE z.y END AS y_naive
+FROM t_market_split t
+LEFT JOIN t_market_split a ON a.item_name = t.item_name AND a.market = t.market AND a.origin = t.origin AND a.is_train AND a.pos = t.pos - t.test_n
+LEFT JOIN t_market_split z ON z.item_name = t.item_name AND z.market = t.market AND z.origin = t.origin AND z.pos = t.train_n - 1
+WHERE NOT t.is_train
+""")
+step("t_judged", """
+SELECT t.*, m.y_pred, a.y AS y_naive, b.y AS y_before
+FROM t_split t JOIN (SELECT item_name, avg(y) AS y_pred FROM t_split WHERE is_train GROUP BY 1) m USING (item_name)
+LEFT JOIN t_split a ON a.item_name = t.item_name AND a.pos = t.pos - t.test_n
+LEFT JOIN t_split b ON b.item_name = t.item_name AND b.pos = t.pos - 1
+WHERE NOT t.is_train
+""")
+step("t_measured", f"""
+SELECT item_name, count(*) AS points, avg(abs(y - y_pred)) AS mae, avg((y - y_pred) ** 2) AS mse, sqrt(avg((y - y_pred) ** 2)) AS rmse,
+       avg(abs((y - y_pred) / y)) FILTER (abs(y) > 1e-6) * 100 AS mape,
+       avg(abs(y - y_pred) / ((abs(y) + abs(y_pred)) / 2)) * 100 AS smape,
+       avg(abs(y - y_pred)) / avg(abs(y - y_naive)) AS mase, 1 - sum((y - y_pred) ** 2) / (var_pop(y) * count(*)) AS r2
+FROM t_judged GROUP BY 1
+""")
+step("t_measured_steps", """
+SELECT item_name, count(*) AS points, avg(abs(y - y_pred)) AS mae, avg((y - y_pred) ** 2) AS mse, sqrt(avg((y - y_pred) ** 2)) AS rmse,
+       avg(abs(y - y_pred) / greatest(abs(y), 1e-8)) * 100 AS mape,
+       avg(2 * abs(y - y_pred) / greatest(abs(y) + abs(y_pred), 1e-8)) * 100 AS smape,
+       avg(abs(y - y_pred)) / avg(abs(y - y_before)) FILTER (pos > train_n AND pos < n - 1) AS mase,
+       1 - sum((y - y_pred) ** 2) / (var_pop(y) * count(*)) AS r2
+FROM t_judged GROUP BY 1
+""")
+
+
+def cols(*names: str, n: int = 6) -> str:
+    return ", ".join(f"{r(c, n)} AS {c}" for c in names)
+
+
+def _shown(table: str, expressions: dict[str, str], extra: str = "") -> str:
+    inner = ", ".join(f"{e} AS {c}" for c, e in expressions.items())
+    more = f", {extra}" if extra else ""
+    return sql(f"SELECT {_KEYS}{more}, {cols(*expressions)} FROM (SELECT {_KEYS}{more}, {inner} FROM {table})")
+
+
+_w = lambda f, k: f"{f}(y) OVER ({_I} ROWS {k - 1} PRECEDING)"
+_lag = lambda k, c="y": f"lag({c}, {k}) OVER ({_I})"
+_full = lambda k: f"CASE WHEN n > 6 AND pos >= {k - 1} THEN {_w('avg', k)} END"
+_measures = cols("mae", "rmse", "mape", "smape", "mase", "r2", n=4) + ", " + cols("mse", n=2)
+
+ORACLE |= {
+    "series_extract": sql("SELECT * FROM t_series"),
+    "lag_matrix": _shown("t_by_item", {"y": "y"} | {f"y_lag_{k}": _lag(k) for k in (1, 3, 6, 12)}),
+    "moving_stats": _shown(
+        "t_by_item", {"y": "y"} | {f"y_ma_{k}": _w("avg", k) for k in (3, 6, 12)} | {"y_sd_12": _w("stddev_samp", 12)}
+    ),
+    "quartiles": sql(f"SELECT item_name, {cols('q1', 'median', 'q3')} FROM t_quartiles"),
+    "outlier_filter": _shown(
+        "t_without_outliers", {"y": f"CASE WHEN before >= 20 AND n > 14 THEN {_w('avg', 3)} ELSE y END"}, "n"
+    ),
+    "outlier_repair": _shown(
+        "(SELECT * FROM t_by_item JOIN t_quartiles USING (item_name))",
+        {"y": "CASE WHEN y < q1 - 2.5 * (q3 - q1) OR y > q3 + 2.5 * (q3 - q1) THEN median ELSE y END"},
+    ),
+    "interpolate_gaps": _shown("t_edges", {c: _line_between(c) for c in _GAPS}),
+    "fill_gaps": _shown("t_edges", {c: f"coalesce({c}, {c}_pv, {c}_nv)" for c in _GAPS}),
+    "smooth_series": _shown(
+        "t_by_item",
+        {"y": f"CASE WHEN n > 6 AND pos > 0 AND pos < n - 1 THEN avg(y) OVER ({_I} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) ELSE y END"},
+    ),
+    "shape_features": _shown(
+        "t_by_item",
+        {"y": "y", "y_lag1": _lag(1), "y_lag3": _lag(3), "y_ma3": _full(3), "y_ma6": _full(6), "y_pct_change": f"y / {_lag(1)} - 1"},
+    ),
+    "detrend": _shown(
+        "(SELECT t.*, CASE WHEN n > 24 THEN slope * pos + base END AS line FROM t_by_item t JOIN"
+        " (SELECT item_name, regr_slope(y, pos) AS slope, regr_intercept(y, pos) AS base FROM t_by_item GROUP BY 1) USING (item_name))",
+        {"y": "y", "trend": "line", "y_detrended": "y - line"},
+    ),
+    "sequences": sql(f"""
+SELECT {_KEYS}, y AS target, array_to_string(ys, ',') AS prices, array_to_string(qs, ',') AS quantities
+FROM (SELECT *, list(y) OVER w AS ys, list(total_quantity_kg) OVER w AS qs FROM t_by_market
+      WINDOW w AS (PARTITION BY item_name, market, origin ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
+WHERE pos >= 12
+"""),
+    "last_rows": sql(f"SELECT {_KEYS}, y FROM t_by_market WHERE pos >= n - 12"),
+    "holdout_split": sql(f"SELECT {_KEYS}, train_n, test_n, is_train FROM t_split"),
+    "naive_baseline": sql(f"SELECT {_KEYS}, y, y_naive FROM t_market_naive"),
+    "minmax_scale": _shown(
+        """(SELECT t.*, ylo, yhi, qlo, qhi FROM t_split t JOIN (SELECT item_name, min(y) AS ylo, max(y) AS yhi,
+            min(total_quantity_kg) AS qlo, max(total_quantity_kg) AS qhi FROM t_split WHERE is_train GROUP BY 1) USING (item_name))""",
+        {"y_scaled": "(y - ylo) / (yhi - ylo)", "total_quantity_kg_scaled": "(total_quantity_kg - qlo)::DOUBLE / (qhi - qlo)"},
+    ),
+    "train_median_fill": _shown(
+        """(SELECT t.*, m FROM t_split t JOIN (SELECT item_name, median(yoy_price_growth_rate) AS m FROM t_split WHERE is_train GROUP BY 1)
+            USING (item_name))""",
+        {"yoy_price_growth_rate": "coalesce(yoy_price_growth_rate, m)"},
+    ),
+    "accuracy_metrics": sql(f"SELECT item_name, points, {_measures} FROM t_measured"),
+    "accuracy_metrics_diff": sql(f"SELECT item_name, points, {_measures} FROM t_measured_steps"),
+    "grade": sql(f"SELECT item_name, {r('mase', 6)} AS mase, {steps_case('mase', V.MASE_GRADE, 'VERY_POOR', '<')} AS grade FROM t_measured"),
+}
+
+# -- forecasts ------------------------------------------------------------------------
+
+step("t_ahead", """
+SELECT item_name, (date_trunc('month', last_ds) + to_months(step::INTEGER))::DATE AS ds, step
+FROM (SELECT item_name, max(ds::DATE) AS last_ds FROM t_series GROUP BY 1), range(1, 7) AS a(step)
+""")
+step("t_fit", """
+SELECT *, (year - 1990) * 12 + month - 1 AS t FROM t_series
+""")
+step("t_line", "SELECT item_name, regr_slope(y, t) AS slope, regr_intercept(y, t) AS base FROM t_fit GROUP BY 1")
+
+
+def trend_sql(mode: str) -> str:
+    rest = "y / (base + slope * t)" if mode == "multiplicative" else "y - (base + slope * t)"
+    model = "((base + slope * t) * effect)" if mode == "multiplicative" else "((base + slope * t) + effect)"
+    z = 1.2815515655446004
+    return sql(f"""
+SELECT item_name, strftime(ds, '%Y-%m-%d') AS ds, {r('v', 4)} AS y_pred, {r(f'v - sd * {z}::DOUBLE', 4)} AS lower, {r(f'v + sd * {z}::DOUBLE', 4)} AS upper
+FROM (
+  SELECT item_name, ds, {model} AS v, sd
+  FROM (SELECT *, (year(ds) - 1990) * 12 + month(ds) - 1 AS t FROM t_ahead) a JOIN t_line USING (item_name)
+  JOIN (SELECT item_name, month, avg({rest}) AS effect FROM t_fit JOIN t_line USING (item_name) GROUP BY 1, 2) e
+       ON e.item_name = a.item_name AND e.month = month(ds)
+  JOIN (SELECT item_name, stddev_samp(y - {model}) AS sd
+        FROM t_fit JOIN t_line USING (item_name)
+        JOIN (SELECT item_name, month, avg({rest}) AS effect FROM t_fit JOIN t_line USING (item_name) GROUP BY 1, 2) USING (item_name, month)
+        GROUP BY 1) s ON s.item_name = a.item_name)
+""").replace("SELECT item_name, ds, ((base", "SELECT a.item_name, ds, ((base")
+
+
+step("t_newest_price", """
+SELECT item_name, year, month, avg_unit_price_yen FROM t_monthly
+QUALIFY row_number() OVER (PARTITION BY item_name ORDER BY year DESC, month DESC, market DESC, origin DESC, major_category DESC, sub_category DESC NULLS LAST) = 1
+""")
+step("t_days", """
+SELECT DISTINCT observation_date AS ds FROM t_stg_weather
+""")
+
+
+def _event(i: int) -> str:
+    _, m, d, before, after = V.CALENDAR_EVENTS[i - 1]
+    tests = [
+        f"ds BETWEEN make_date(year(ds) + {k}, {m}, {d}) - {before} AND make_date(year(ds) + {k}, {m}, {d}) + {after}"
+        for k in (-1, 0, 1)
+    ]
+    return f"CASE WHEN {' OR '.join(tests)} THEN 1 ELSE 0 END::BIGINT AS event_{i}"
+
+
+# -- regression features --------------------------------------------------------------
+
+_MARKET_ROWS = "year, month, major_category, sub_category NULLS FIRST, profile_category NULLS FIRST, item_category NULLS FIRST"
+_TRAIN_WINDOW = f"PARTITION BY item_name, market, origin ORDER BY {_MARKET_ROWS}"
+step("t_training", f"""
+SELECT * FROM (
+SELECT *, strftime(make_date(year, month, 1), '%Y-%m-%d') AS date_key, quarter(make_date(year, month, 1))::BIGINT AS quarter,
+       lag(avg_unit_price_yen, 1) OVER w AS price_lag_1m, lag(avg_unit_price_yen, 3) OVER w AS price_lag_3m,
+       lag(avg_unit_price_yen, 12) OVER w AS price_lag_12m, lag(total_quantity_kg, 1) OVER w AS quantity_lag_1m
+FROM (SELECT p.*, s.seasonal_price_index, s.seasonal_quantity_index, s.seasonality_level, s.sub_category AS profile_category,
+             i.price_tier, i.vegetable_category, i.seasonality AS item_seasonality, i.avg_unit_price_yen AS item_avg_price,
+             i.sub_category AS item_category
+      FROM t_price_weather p LEFT JOIN t_seasonal s ON p.item_name = s.item_name AND p.month = s.month
+           LEFT JOIN t_dim_item i ON p.item_name = i.item_name
+      WHERE p.avg_unit_price_yen > 0 AND p.avg_unit_price_yen < 5000 AND p.total_quantity_kg > 0)
+WINDOW w AS ({_TRAIN_WINDOW})) WHERE price_lag_1m IS NOT NULL
+""")
+_TKEYS = "item_name, market, origin, year, month, major_category, sub_category, profile_category, item_category"
+_code = lambda c: f"dense_rank() OVER (ORDER BY coalesce({c}, 'None')) - 1 AS {c}_encoded"
+
+ORACLE |= {
+    "forecast_trend_seasonal": trend_sql("additive"),
+    "forecast_trend_multiplicative": trend_sql("multiplicative"),
+    "forecast_projection": sql(f"""
+SELECT item_name, step, strftime(d, '%Y-%m-%d') AS prediction_date, {r('p', 2)} AS predicted_price,
+       {r('greatest(0, p * 0.85::DOUBLE)', 2)} AS lower_bound, {r('p * 1.15::DOUBLE', 2)} AS upper_bound
+FROM (SELECT *, avg_unit_price_yen * (1 + 0.1::DOUBLE * sin(2 * pi() * month(d) / 12)) * (1 + 0.02::DOUBLE * (step - 1)) AS p
+      FROM (SELECT *, (make_date(year, month, 1) + to_months(step::INTEGER))::DATE AS d FROM t_newest_price, range(1, 7) AS a(step)))
+"""),
+    "future_months": sql("""
+SELECT item_name, market, origin, strftime(last_ds, '%Y-%m-%d') AS last_ds, step, strftime(d, '%Y-%m-%d') AS ds, month(d)::BIGINT AS month
+FROM (SELECT *, (date_trunc('month', last_ds) + to_months(step::INTEGER))::DATE AS d
+      FROM (SELECT item_name, market, origin, max(ds::DATE) AS last_ds FROM t_series GROUP BY 1, 2, 3), range(1, 7) AS a(step))
+"""),
+    "climatology": sql(f"""
+SELECT a.item_name, strftime(last_ds, '%Y-%m-%d') AS last_ds, step, strftime(a.ds, '%Y-%m-%d') AS ds, month(a.ds)::BIGINT AS month,
+       {cols('avg_temperature', 'total_precipitation', 'total_quantity_kg')}
+FROM t_ahead a JOIN (SELECT item_name, max(ds::DATE) AS last_ds, avg(total_quantity_kg) AS total_quantity_kg FROM t_series GROUP BY 1) USING (item_name)
+LEFT JOIN (SELECT item_name, month, avg(avg_temperature) AS avg_temperature, avg(total_precipitation) AS total_precipitation
+           FROM t_series GROUP BY 1, 2) c ON c.item_name = a.item_name AND c.month = month(a.ds)
+"""),
+    "event_calendar": sql(f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {', '.join(_event(i) for i in (1, 2, 3, 4))} FROM t_days"),
+    "training_features": sql("SELECT * FROM t_training"),
+    "encode_categories": sql(f"""
+SELECT *, {', '.join(_code(c) for c in ('item_name', 'market', 'origin', 'sub_category'))}
+FROM (SELECT DISTINCT item_name, market, origin, sub_category FROM t_stg)
+"""),
+    "feature_deviation": sql(f"""
+SELECT {_TKEYS}, {cols('price_volatility', 'temperature_deviation', 'precipitation_deviation')},
+       (CASE WHEN mom_price_growth_rate > 5 THEN 1 WHEN mom_price_growth_rate < -5 THEN -1 ELSE 0 END)::BIGINT AS price_trend
+FROM (SELECT *, coalesce(stddev_samp(avg_unit_price_yen) OVER (w ROWS 2 PRECEDING), 0) AS price_volatility,
+             coalesce(avg_temperature - avg(avg_temperature) OVER m, 0) AS temperature_deviation,
+             coalesce(total_precipitation - avg(total_precipitation) OVER m, 0) AS precipitation_deviation
+      FROM t_training WINDOW w AS ({_TRAIN_WINDOW}), m AS (PARTITION BY month))
+"""),
+    "quarter_dummies": sql(f"""
+SELECT {_TKEYS}, quarter, {', '.join(f'(quarter = {i})::BIGINT AS quarter_{i}' for i in (1, 2, 3, 4))} FROM t_training
+"""),
+    "chronological_split": sql(f"""
+SELECT {_TKEYS}, avg_unit_price_yen,
+       row_number() OVER (ORDER BY year, month, item_name, market, origin, major_category, sub_category NULLS FIRST,
+                          profile_category NULLS FIRST, item_category NULLS FIRST)
+         <= floor((SELECT count(*) FROM t_training) * (1 - 0.2)::DOUBLE) AS is_train
+FROM t_training
+"""),
+}

@@ -174,9 +174,10 @@ def season_pattern(months_text: str, mode: str = "text") -> Column:
 def mart_seasonal(cube: DataFrame, pattern_mode: str = "text") -> DataFrame:
     """Seasonal profile per item, category and month, with peaks and levels.
 
-    ``cube`` is a saved ``price_cube``; the profile is small, and saved because it is read twice.
+    ``cube`` is a saved ``price_cube``. The index is read twice; both branches share the
+    shuffle of the grouped cube.
     """
-    index = cut_lineage(seasonal_index(seasonal_base(cube)))
+    index = seasonal_index(seasonal_base(cube))
     peaks = seasonal_peaks(index).withColumns(
         {
             "vegetable_category": contains_any("item_name", V.ITEM_CATEGORY_SEASONAL, V.ITEM_CATEGORY_DEFAULT),

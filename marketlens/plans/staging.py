@@ -16,19 +16,20 @@ MEASURES = ("temperature", "humidity", "precipitation", "wind_speed", "wind_dire
 
 def stg_trades(raw: DataFrame, category: str = "野菜") -> DataFrame:
     """Vegetable trades with integer columns."""
+    whole = lambda c: to_int(c, raw.schema[c].dataType).alias(c)
     return (
         raw.withColumn("major_category", strip_blanks("major_category"))
         .filter(F.col("major_category") == category)
         .select(
-            to_int("year").alias("year"),
-            to_int("month").alias("month"),
+            whole("year"),
+            whole("month"),
             "market",
             "major_category",
             "sub_category",
             "item_name",
             "origin",
-            to_int("quantity_kg").alias("quantity_kg"),
-            to_int("amount_yen").alias("amount_yen"),
+            whole("quantity_kg"),
+            whole("amount_yen"),
         )
     )
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.legacy.javaCharsets": "true",
+    # Recording the call site of every column expression takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -54,37 +54,48 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     The joins have no hint: Spark broadcasts a side only when its size is below the
     session limit, and sorts both sides otherwise.
     """
-    line = read(spark, folder, "lineitem")
-    part = read(spark, folder, "part")
-    supplier = read(spark, folder, "supplier")
-    nation = read(spark, folder, "nation")
+    word = F.split_part("p_name", F.lit(" "), F.lit(2))
+    names = F.create_map(*[F.lit(x) for kv in ITEM_NAMES.items() for x in kv])
+    # Names are made on the small sides, once per part and per nation.
+    part = read(spark, folder, "part").select(
+        "p_partkey", word.alias("item_code"), F.element_at(names, word).alias("item_name")
+    )
+    place = F.col("n_nationkey")
+    nation = read(spark, folder, "nation").select(
+        "n_nationkey",
+        F.col("n_regionkey").cast("string").alias("market_code"),
+        _pick(MARKET_NAMES, F.col("n_regionkey")).alias("market"),
+        place.cast("string").alias("origin_code"),
+        _pick(ORIGIN_NAMES, place).alias("origin"),
+        F.when(place == 23, "外国").otherwise("国内").alias("domestic_foreign"),
+    )
+    supplier = read(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     rows = (
-        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        read(spark, folder, "lineitem")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    word = F.split_part("p_name", F.lit(" "), F.lit(2))
-    item = F.element_at(F.create_map(*[F.lit(x) for kv in ITEM_NAMES.items() for x in kv]), word)
     year, month = F.year("l_shipdate").cast("bigint"), F.month("l_shipdate").cast("bigint")
     order, key = F.col("l_orderkey"), F.col("l_partkey")
+    whole = lambda c: F.floor(F.col(c) + 0.5)
     return rows.select(
         F.concat_ws("/", year.cast("string"), month.cast("string")).alias("year_month_slash"),
         F.concat(year.cast("string"), F.lpad(month.cast("string"), 2, "0")).alias("year_month_num"),
         year.alias("year"),
         month.alias("month"),
-        F.col("n_regionkey").cast("string").alias("market_code"),
-        _pick(MARKET_NAMES, F.col("n_regionkey")).alias("market"),
+        "market_code",
+        "market",
         F.lit("1").alias("major_category_code"),
         F.when(key % 10 == 0, "果　実").when(key % 3 == 0, "野　菜").when(key % 3 == 1, "野 菜").otherwise("野菜").alias("major_category"),
         (key % 4).cast("string").alias("sub_category_code"),
         F.when(key % 20 == 1, F.lit(None)).when(key % 4 == 2, "加工").otherwise("生鮮").alias("sub_category"),
-        word.alias("item_code"),
-        item.alias("item_name"),
-        F.col("n_nationkey").cast("string").alias("origin_code"),
-        _pick(ORIGIN_NAMES, F.col("n_nationkey")).alias("origin"),
-        F.when(F.col("n_nationkey") == 23, "外国").otherwise("国内").alias("domestic_foreign"),
-        F.when(order % 97 == 0, F.lit(0)).otherwise(F.round("l_quantity")).cast("bigint").alias("quantity_kg"),
-        F.when(order % 89 != 0, F.round("l_extendedprice")).cast("bigint").alias("amount_yen"),
+        "item_code",
+        "item_name",
+        "origin_code",
+        "origin",
+        "domestic_foreign",
+        F.when(order % 97 == 0, F.lit(0)).otherwise(whole("l_quantity")).cast("bigint").alias("quantity_kg"),
+        F.when(order % 89 != 0, whole("l_extendedprice")).cast("bigint").alias("amount_yen"),
     )
 
 
