@@ -237,7 +237,9 @@ def _(spark, folder):
 
 @query("mart_dashboard")
 def _(spark, folder):
-    board = marts.mart_dashboard(fact_predictions(spark, folder), price_weather(spark, folder), AS_OF, START_YEAR)
+    # The dashboard needs the monthly prices of the price table only, not its weather.
+    monthly = aggregates.monthly_trades(stg_trades(spark, folder))
+    board = marts.mart_dashboard(fact_predictions(spark, folder), monthly, AS_OF, START_YEAR)
     return rounded(board, ["confidence_interval", "data_quality_score"])
 
 
@@ -294,6 +296,24 @@ def _(spark, folder):
     return checks.run_suite(suite, checks.declared(1996, 2002, stations))
 
 
+@query("dq_summary_marts")
+def _(spark, folder):
+    """All declared checks of the other dimensions, facts and marts."""
+    staged, sums, predicted = stg_trades(spark, folder), cube(spark, folder), fact_predictions(spark, folder)
+    prices = price_weather(spark, folder, sums)
+    suite = {
+        "dim_location": dims.dim_location(staged),
+        "dim_time": dims.time_attributes(tables.trades(spark, folder).select("year", "month").distinct(), AS_OF),
+        "dim_item": dims.dim_item(staged),
+        "fact_predictions": predicted,
+        "mart_price_weather": prices,
+        "mart_seasonal": marts.mart_seasonal(sums),
+        "price_movement": movement(spark, folder),
+        "mart_dashboard": marts.mart_dashboard(predicted, prices, AS_OF, START_YEAR),
+    }
+    return checks.run_suite({name: cut_lineage(df) for name, df in suite.items()}, checks.declared(1996, 2002))
+
+
 @query("content_score")
 def _(spark, folder):
     return rounded(quality.content_score(stg_trades(spark, folder)), ["score"])

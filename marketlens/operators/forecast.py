@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions import vocabulary as V
 from ..functions.numeric import ratio, round_to
 from . import ranking
+from .aggregates import month_climatology
 from .series import Series, last_rows
 
 Z80 = 1.2815515655446004
@@ -43,7 +44,7 @@ def future_regressors(df: DataFrame, keys: Sequence[str], months: int, climate:
     """Future months with the mean of the calendar month for ``climate`` columns and the
     overall mean for ``level`` columns."""
     ahead = future_months(df, keys, months)
-    by_month = df.groupBy(*keys, "month").agg(*[F.avg(c).alias(c) for c in climate])
+    by_month = month_climatology(df, keys, climate)
     overall = df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in level])
     out = ranking.join_groups(ahead, by_month, [*keys, "month"], "left")
     return ranking.join_groups(out, overall, keys, "left")

@@ -219,7 +219,7 @@ def location_sql(corrected: bool) -> str:
     cleaned = "regexp_replace(upper(origin), '[県府道都]$', '')"
     text = "upper(origin)" if corrected else cleaned
     codes = {name: code for _, name, code, _ in V.PREFECTURES}
-    return sql(f"""
+    return f"""
 SELECT location_key, origin_name, cleaned_origin, prefecture, station_id,
        {mapping_case('station_id', V.STATION_NAMES)} AS station_name,
        prefecture IN ({', '.join(q(p) for p in V.PRIORITY_PREFECTURES)}) AS is_agriculture_priority,
@@ -229,7 +229,10 @@ FROM (SELECT *, {mapping_case('prefecture', codes)} AS station_id
                    {cleaned} AS cleaned_origin, {words_case(text, groups, V.UNKNOWN)} AS prefecture
             FROM (SELECT DISTINCT origin FROM t_stg
                   WHERE origin <> '' AND NOT contains(origin, 'その他') AND NOT contains(origin, '計'))))
-""")
+"""
+
+
+step("t_dim_location", location_sql(False))
 
 
 step("t_item", """
@@ -261,7 +264,7 @@ def time_sql(months: str, as_of: str) -> str:
     def lead(offset: int) -> str:
         return f"{'lag' if offset < 0 else 'lead'}(time_key, {abs(offset)}) OVER (ORDER BY time_key)"
 
-    return sql(f"""
+    return f"""
 SELECT *, {lead(-12)} AS previous_year_same_month_key, {lead(-1)} AS previous_month_key,
        {lead(1)} AS next_month_key, {lead(12)} AS next_year_same_month_key
 FROM (SELECT row_number() OVER (ORDER BY year, month) AS time_key, year, month,
@@ -277,7 +280,10 @@ FROM (SELECT row_number() OVER (ORDER BY year, month) AS time_key, year, month,
        year = year(DATE '{as_of}') AS is_current_year, year = year(DATE '{as_of}') - 1 AS is_previous_year,
        d <= DATE '{as_of}' AS is_historical
       FROM (SELECT *, make_date(year, month, 1) AS d FROM ({months})))
-""")
+"""
+
+
+step("t_dim_time", time_sql("SELECT DISTINCT year, month FROM t_trades", S.AS_OF))
 
 
 # -- weather --------------------------------------------------------------------------
@@ -544,9 +550,9 @@ ORACLE: dict[str, str] = {
     "stg_predictions": show("t_stg_predictions", _PRED_DATES, _PRED_TIMES, ("confidence_interval", "data_quality_score")),
     "dim_market": sql("SELECT * FROM t_dim_market"),
     "dim_station": sql("SELECT * FROM t_dim_station"),
-    "dim_location": location_sql(False),
-    "dim_location_corrected": location_sql(True),
-    "dim_time": time_sql("SELECT DISTINCT year, month FROM t_trades", S.AS_OF),
+    "dim_location": sql("SELECT * FROM t_dim_location"),
+    "dim_location_corrected": sql(location_sql(True)),
+    "dim_time": sql("SELECT * FROM t_dim_time"),
     "dim_item": sql("SELECT * FROM t_dim_item"),
     "fact_weather_daily": show(
         "t_daily", ("observation_date",), (),
@@ -585,14 +591,21 @@ FROM t_summary s LEFT JOIN t_actual a ON a.item_name = s.item_name AND a.month =
 # -- data tests -----------------------------------------------------------------------
 
 
-def checks_sql() -> str:
-    """Every declared check of the suite as its own counting query."""
+_CHECKED = {
+    "stg_trades": "t_stg", "stg_weather": "t_stg_weather", "stg_predictions": "t_stg_predictions",
+    "dim_market": "t_dim_market", "dim_station": "t_dim_station", "fact_weather_daily": "t_daily",
+}
+_CHECKED_MARTS = {
+    "dim_location": "t_dim_location", "dim_time": "t_dim_time", "dim_item": "t_dim_item",
+    "fact_predictions": "t_fact_predictions", "mart_price_weather": "t_price_weather", "mart_seasonal": "t_seasonal",
+    "price_movement": "t_movement", "mart_dashboard": "t_dashboard",
+}
+
+
+def checks_sql(names: dict[str, str]) -> str:
+    """Every declared check of the named tables as its own counting query."""
     from .plans.checks import declared
 
-    names = {
-        "stg_trades": "t_stg", "stg_weather": "t_stg_weather", "stg_predictions": "t_stg_predictions",
-        "dim_market": "t_dim_market", "dim_station": "t_dim_station", "fact_weather_daily": "t_daily",
-    }
     rows = []
     for table, checks in declared(1996, 2002).items():
         if table not in names:
@@ -617,10 +630,11 @@ def checks_sql() -> str:
                 f"SELECT '{table}', 'unique', '{c}', count(*) FROM"
                 f" (SELECT {c} FROM {names[table]} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
             )
-    rows.append(
-        "SELECT 'fact_weather_daily', 'relationships', 'station_key', count(*) FROM t_daily"
-        " WHERE station_key NOT IN (SELECT station_key FROM t_dim_station)"
-    )
+    if "fact_weather_daily" in names:
+        rows.append(
+            "SELECT 'fact_weather_daily', 'relationships', 'station_key', count(*) FROM t_daily"
+            " WHERE station_key NOT IN (SELECT station_key FROM t_dim_station)"
+        )
     return sql("\nUNION ALL ".join(rows))
 
 
@@ -639,7 +653,7 @@ SELECT year, month, item_name, major_category, quantity_kg FROM t_trades WHERE m
     "dq_relationships": sql(
         "SELECT * EXCLUDE (item_code) FROM t_stg WHERE contains(origin, 'その他') OR contains(origin, '計')"
     ),
-    "dq_summary": checks_sql(),
+    "dq_summary": checks_sql(_CHECKED),
     "content_score": sql(f"""
 SELECT rows, null_cells, repeated_rows, {r(f'100 - null_cells::DOUBLE / (rows * {len(_stg_columns)}) * 50 - repeated_rows::DOUBLE / rows * 30', 6)} AS score
 FROM (SELECT count(*) AS rows, sum({' + '.join(f'({c} IS NULL)::INT' for c in _stg_columns)})::BIGINT AS null_cells,
@@ -648,6 +662,8 @@ FROM (SELECT count(*) AS rows, sum({' + '.join(f'({c} IS NULL)::INT' for c in _s
 """),
 }
 
+ORACLE["dq_summary_marts"] = checks_sql(_CHECKED_MARTS)
+
 # -- reports and control --------------------------------------------------------------
 
 _mae_band = steps_case("model_mae", V.MAE_CONFIDENCE, 40, "<")

@@ -68,8 +68,10 @@ def mart_price_weather(
         price_trend(base), "monthly_price_rank", ["year", "month"],
         [F.col("avg_unit_price_yen").desc(), *[F.col(c) for c in (*SERIES, *CATEGORIES)]], fits=fits,
     )
-    # One row per month: the weather is summed up before it meets the prices.
-    joined = ranked.join(weather_monthly(weather_daily, stations, station_names), ["year", "month"], "left")
+    # The weather has one row per calendar month, so it is sent to every task; a month that
+    # holds very many prices is then not gathered in one of them.
+    weather = F.broadcast(weather_monthly(weather_daily, stations, station_names))
+    joined = ranked.join(weather, ["year", "month"], "left")
     short = {name: (name,) for name in V.SHORT_PREFECTURES}
     return joined.select(
         "year",

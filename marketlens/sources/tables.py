@@ -69,11 +69,12 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
         _pick(ORIGIN_NAMES, place).alias("origin"),
         F.when(place == 23, "外国").otherwise("国内").alias("domestic_foreign"),
     )
-    supplier = read(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    # Joined one by one: the size of a plain table is known, that of a join is only guessed.
     rows = (
         read(spark, folder, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(read(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     year, month = F.year("l_shipdate").cast("bigint"), F.month("l_shipdate").cast("bigint")
     order, key = F.col("l_orderkey"), F.col("l_partkey")
