@@ -359,19 +359,28 @@ def fit_pooled(windows: DataFrame, features: Sequence[str], length: int, regular
 def recur_pooled(pooled: Pooled, last: DataFrame, keys: Sequence[str], steps: int) -> DataFrame:
     """Feed every prediction back as the newest row, all series at once.
 
-    ``last`` has one row per series with ``window``, its last rows in order. The loop runs
-    over the steps; the other features of the new row repeat the last ones.
+    ``last`` has one row per series with ``window``, its last rows in order. The other
+    features of a new row repeat the last ones. The steps are folded inside one
+    expression, so the plan does not grow with them.
     """
     width = len(pooled.features)
-    state = last.select(*keys, _flat(pooled.features).alias("_s"), F.array().cast("array<double>").alias("_made"))
-    for _ in range(steps):
-        scored = pooled.model.transform(state.withColumn("_v", array_to_vector("_s")))
-        newest = F.concat(F.array("y_scaled_pred"), F.slice("_s", F.size("_s") - width + 2, F.lit(width - 1)))
-        rest = F.slice("_s", F.lit(width + 1), F.size("_s") - width)
-        state = scored.select(
-            *keys, F.concat(rest, newest).alias("_s"), F.concat("_made", F.array("y_scaled_pred")).alias("_made")
-        )
-    return state.select(*keys, F.posexplode("_made").alias("step", "y_scaled_pred")).withColumn(
+    weights = F.array(*[F.lit(float(w)) for w in pooled.model.coefficients.toArray()])
+    base = F.lit(float(pooled.model.intercept))
+
+    def value(window: Column) -> Column:
+        return F.aggregate(F.zip_with(window, weights, lambda x, w: x * w), base, lambda total, x: total + x)
+
+    def advance(state: Column, _: Column) -> Column:
+        window, made = state["w"], state["made"]
+        size = F.size(window)
+        newest = F.array(value(window))
+        kept = F.slice(window, F.lit(width + 1), size - width)
+        rest = F.slice(window, size - width + 2, F.lit(width - 1))
+        return F.struct(F.concat(kept, newest, rest).alias("w"), F.concat(made, newest).alias("made"))
+
+    start = F.struct(_flat(pooled.features).alias("w"), F.array().cast("array<double>").alias("made"))
+    made = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, advance, lambda state: state["made"])
+    return last.select(*keys, F.posexplode(made).alias("step", "y_scaled_pred")).withColumn(
         "step", (F.col("step") + 1).cast("bigint")
     )
 
