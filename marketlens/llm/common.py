@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +21,27 @@ BROADCAST_ROWS = 2_000_000
 LAST_ID = 2**63 - 1
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the workers once per application, unless they find it by themselves."""
+    root = Path(__file__).resolve().parents[2]
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    application = spark.sparkContext.applicationId
+    if str(root) in map(os.path.realpath, filter(None, found)) or application in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for path in package.rglob("*.py"):
+            out.write(path, path.relative_to(root))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(application)
+
+
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    ship(spark)
     df = spark.read.parquet(f"{folder}/documents.parquet")
     return df.select(*columns) if columns else df
 

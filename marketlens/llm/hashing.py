@@ -58,12 +58,16 @@ def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word in order, and where the words of each text begin."""
+def tokens(
+    raw: np.ndarray, offsets: np.ndarray, gap_table: np.ndarray, lower: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every run of bytes outside ``gap_table``, where those of each text begin, and the
+    first byte and the byte behind each run."""
     n = len(raw)
+    none = np.zeros(0, np.int64)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    gap = _GAP[raw]
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
+    gap = gap_table[raw]
     start = ~gap
     new = np.zeros(n + 1, bool)
     new[offsets] = True
@@ -71,14 +75,22 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     starts = np.flatnonzero(start)
     bounds = np.searchsorted(starts, offsets)
     if not len(starts):
-        return np.zeros(0, np.uint64), bounds
+        return np.zeros(0, np.uint64), bounds, none, none
     lengths = np.diff(np.append(starts, n))
     place = np.arange(starts[0], n) - np.repeat(starts, lengths)
     value = (_LOWER[raw] if lower else raw)[starts[0] :].astype(np.uint64)
     value += np.uint64(1)
     value *= powers(int(lengths.max()))[place]
-    value[gap[starts[0] :]] = 0
-    return mix(np.add.reduceat(value, starts - starts[0])), bounds
+    inside = ~gap[starts[0] :]
+    value[~inside] = 0
+    at = starts - starts[0]
+    ends = starts + np.add.reduceat(inside.astype(np.int64), at)
+    return mix(np.add.reduceat(value, at)), bounds, starts, ends
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word in order, and where the words of each text begin."""
+    return tokens(raw, offsets, _GAP, lower)[:2]
 
 
 def windows(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:

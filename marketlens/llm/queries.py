@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprints, host_rules, mixing, personal_data, pieces
+from . import fingerprints, host_rules, mixing, personal_data, pieces, toxicity
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_host_rules": host_rules.op4_host_rules,
     "op6_fingerprints": fingerprints.op6_fingerprints,
     "op7_pieces": pieces.op7_pieces,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_personal_data": personal_data.op10_personal_data,
 }
 ORACLE = {"op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
