@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import fingerprints, host_rules, mixing, personal_data, pieces, toxicity
+from . import fingerprints, host_rules, jaccard, mixing, personal_data, pieces, toxicity
 
 QUERIES = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op3_mixing": mixing.op3_mixing,
     "op4_host_rules": host_rules.op4_host_rules,
     "op6_fingerprints": fingerprints.op6_fingerprints,
@@ -12,4 +13,4 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_personal_data": personal_data.op10_personal_data,
 }
-ORACLE = {"op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
+ORACLE = {"op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
