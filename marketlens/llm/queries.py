@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, host_rules, jaccard, mixing, personal_data, pieces, toxicity
+from . import fingerprints, host_rules, jaccard, mixing, personal_data, pieces, substrings, toxicity
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_fingerprints": fingerprints.op6_fingerprints,
     "op7_pieces": pieces.op7_pieces,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_substrings": substrings.op9_substrings,
     "op10_personal_data": personal_data.op10_personal_data,
 }
-ORACLE = {"op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
+ORACLE = {"op9_substrings": substrings.SQL, "op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
