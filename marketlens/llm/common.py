@@ -83,3 +83,14 @@ def lookup(
     if small(side, limit):
         renamed = F.broadcast(renamed)
     return rows.join(renamed, condition, how).drop(*[f"_side_{k}" for k in keys])
+
+
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and all others in one column ``_rest``, so that no name can clash."""
+    rest = [c for c in docs.columns if c not in needed]
+    return docs.select(*needed, (F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)).alias("_rest"))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], *needed: str) -> DataFrame:
+    """``columns`` of a packed table, in their order."""
+    return df.select(*[F.col(c) if c in needed else F.col(f"_rest.`{c}`").alias(c) for c in columns])

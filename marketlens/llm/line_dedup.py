@@ -15,7 +15,8 @@ are deleted.
 
 Defined cases: a null text has no lines and stays null; an empty text has one empty line and stays; a
 null doc_id counts as larger than all others; rows with the same doc_id lose nothing to each other;
-an empty table gives an empty table; other columns pass through.
+an empty table gives an empty table; other columns pass through, and those named like a result are
+replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import GAP_CHARS, LAST_ID, documents, lookup, ship
+from .common import GAP_CHARS, LAST_ID, documents, lookup, packed, ship, unpacked
 
 MIN_CHARS = 40
 RARE = 8
@@ -160,21 +161,22 @@ def repeated_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) ->
 
 def _named(docs: DataFrame) -> DataFrame:
     place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
-    return docs.drop(*_KEY).withColumns({"place": place, "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return docs.withColumns({"place": place, "_t": F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
 def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) -> DataFrame:
     """Rows of ``docs`` (``doc_id``, ``text``, others) with repeated blocks deleted from ``text``, and
     ``n_lines``, ``n_removed``."""
-    named = _named(docs)
+    named = _named(packed(docs, "doc_id", "text"))
     gone = cut_lineage(repeated_lines(named, least, rare))
-    df = lookup(named.drop("n_lines", "n_removed"), gone, _KEY).withColumn("_l", _split(F.col("text")))
+    df = lookup(named, gone, _KEY).withColumn("_l", _split(F.col("text")))
     left = F.filter("_l", lambda x, i: ~F.array_contains("gone", i))
     text = F.when(F.col("whole"), F.lit("")).when(F.col("gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))
     lines = F.when(F.col("_l").isNotNull(), F.size("_l")).otherwise(F.lit(0))
     removed = F.when(F.col("whole"), lines).otherwise(F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(F.lit(0)))
     df = df.withColumns({"n_lines": lines.cast("bigint"), "n_removed": removed.cast("bigint"), "text": text})
-    return df.drop(*_KEY, "_l", "whole", "gone")
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
+    return unpacked(df, columns, "doc_id", "text", "n_lines", "n_removed")
 
 
 def op5_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import host_rules, jaccard, line_dedup, mixing, pieces
-from .common import lookup, ship
+from .common import lookup, packed, ship, unpacked
 
 
 def _resized(docs: DataFrame) -> DataFrame:
@@ -16,17 +16,19 @@ def _resized(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass their own rules and whose host is not rejected."""
-    judged = cut_lineage(host_rules.judge_documents(host_rules.measure(docs)))
+    needed = ("source", "text")
+    judged = cut_lineage(host_rules.judge_documents(host_rules.measure(packed(docs, *needed))))
     out = host_rules.apply_verdicts(judged, host_rules.host_verdicts(judged))
-    return out.filter("kept").select(*docs.columns)
+    return unpacked(out.filter("kept"), docs.columns, *needed)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated blocks of lines are deleted; a document of which nothing is left goes."""
     ship(spark)
-    out = line_dedup.dedup_lines(docs)
+    needed = ("doc_id", "text")
+    out = line_dedup.dedup_lines(packed(docs, *needed))
     left = (F.col("n_removed") == 0) | F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return _resized(out.filter(left).select(*docs.columns))
+    return _resized(unpacked(out.filter(left), docs.columns, *needed))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +42,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    sized = cut_lineage(mixing.sized(docs))
+    needed = ("doc_id", "source", "text")
+    sized = cut_lineage(mixing.sized(packed(docs, *needed)))
     mixed = mixing.mix(sized)
     out = mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-    return out.select(*docs.columns)
+    return unpacked(out, docs.columns, *needed)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

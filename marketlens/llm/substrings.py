@@ -61,9 +61,9 @@ def _profiler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _smallest(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For every run of ``width`` hashes, the place of its smallest (the first of equals), and the
     distinct places in order."""
-    n = len(hashes) - width + 1
+    n = max(0, len(hashes) - width + 1)
     best, at = hashes[:n].copy(), np.arange(n)
-    for k in range(1, width):
+    for k in range(1, width if n else 1):
         less = hashes[k : k + n] < best
         best[less] = hashes[k : k + n][less]
         at[less] = np.flatnonzero(less) + k
