@@ -4,8 +4,8 @@ The join is a sparse product of the document by n-gram incidence with its transp
 equal sets are one row of it. Columns are put in one order, rare n-grams first; two sets can only be
 similar if they share an n-gram among the first few of both (a quarter and one, for 0.75), so only
 those entries are multiplied, and a product is dropped at once if the sizes, or the places of the
-shared n-gram in both sets, bound the overlap below what the similarity needs. For what is left the
-overlap is accumulated over the whole sets.
+shared n-gram among those that other sets have too, bound the overlap below what the similarity needs. Then the overlap of the
+first entries is counted, which bounds the rest, and for what is left that of the whole sets.
 
 Products are made in blocks. First each n-gram's rows meet a few rows of it that a hash picks, which
 links nearly all members of a group of near copies; then, per n-gram, rows of other components meet
@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -39,8 +39,8 @@ N = 5
 #: Similarity as a fraction, in whole numbers.
 SIMILARITY = (75, 100)
 #: Most n-grams in the list of frequent ones (8 bytes each), and uses from which one is listed.
-FREQUENT = 50_000
-FREQUENT_USES = 8
+FREQUENT = 200_000
+FREQUENT_USES = 4
 #: Rows of an n-gram that its other rows meet first are picked by so many hashes.
 PICKS = 8
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -83,7 +83,7 @@ def _profiler(n: int, seed: int) -> Callable:
                 rows.append((len(grams), cls, check))
                 seen[cls] = grams
             every, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
-            every, uses = every[uses > 2].view(np.int64), uses[uses > 2]
+            every, uses = every[uses > 1].view(np.int64), uses[uses > 1]
             more = len(every)
             cell = lambda k: _column([r[k] for r in rows] + [None] * more, pa.int64())  # noqa: E731, B023
             nothing = pa.nulls(len(rows), pa.int64())
@@ -173,10 +173,13 @@ def _enough(a: Column, b: Column, overlap: Column, similarity: tuple[int, int])
 
 
 def _possible(similarity: tuple[int, int]) -> Column:
-    """What sizes and places allow for rows x and y that share an n-gram."""
-    a, b, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
-    most = F.least(i, j) + 1 + F.least(a - i, b - j) - 1
-    return _enough(a, b, F.least(a, b), similarity) & _enough(a, b, most, similarity)
+    """What sizes, places and numbers of shared entries allow for rows x and y of one n-gram."""
+    part, whole = similarity
+    a, b = F.col("x.n"), F.col("y.n")
+    rest = lambda n: F.floor((n * part + (whole - 1)) / whole) - 1
+    by_place = F.least("x.sp", "y.sp") + F.least(a - F.col("x.pos"), b - F.col("y.pos"))
+    by_count = F.least("x.e", "y.e") + F.greatest(rest(a), rest(b))
+    return _enough(a, b, F.least(a, b), similarity) & _enough(a, b, by_place, similarity) & _enough(a, b, by_count, similarity)
 
 
 def _pairs(x: DataFrame, y: DataFrame, differ: Column, similarity: tuple[int, int]) -> DataFrame:
@@ -187,6 +190,19 @@ def _pairs(x: DataFrame, y: DataFrame, differ: Column, similarity: tuple[int, in
     return joined.select(a.alias("a"), b.alias("b"), na.alias("na"), nb.alias("nb")).distinct()
 
 
+def _bounded(pairs: DataFrame, heads: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs that share enough first entries. All n-grams that both have up to the end of the first
+    entries of one set are among the first entries of both, so the overlap is at most what they share
+    there and the rest of that set."""
+    part, whole = similarity
+    x = heads.select(F.col("cls").alias("a"), F.col("head").alias("ha"))
+    y = heads.select(F.col("cls").alias("b"), F.col("head").alias("hb"))
+    both = pairs.join(x, "a").join(y, "b")
+    rest = lambda size: F.floor((F.col(size) * part + (whole - 1)) / whole) - 1
+    most = F.size(F.array_intersect("ha", "hb")) + F.greatest(rest("na"), rest("nb"))
+    return cut_lineage(both.filter(_enough(F.col("na"), F.col("nb"), most, similarity)).drop("ha", "hb"))
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, seed: int, similarity: tuple[int, int]) -> DataFrame:
     """The pairs whose overlap over the whole sets is large enough."""
     used = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
@@ -206,31 +222,37 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     profile, classes, seed = _profile(rows, n)
     counted = profile.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("uses").alias("uses"))
-    top = counted.filter(F.col("uses") >= FREQUENT_USES).orderBy(F.desc("uses"), "gram").limit(FREQUENT).collect()
-    frequent = np.array([r["gram"] for r in top], np.int64).view(np.uint64)
+    top = counted.filter(F.col("uses") >= FREQUENT_USES).orderBy(F.desc("uses"), "gram").limit(FREQUENT).select("gram").toArrow()
+    frequent = top.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(frequent)
     # The most frequent comes last.
-    rank = (len(top) - np.arange(len(top)))[order]
-    prefix = cut_lineage(rows.mapInArrow(_prefixer(n, seed, frequent[order], rank, similarity), _PREFIX))
-    shared = prefix.groupBy("gram").agg(F.min("cls").alias("_low"), F.max("cls").alias("_high")).filter("_low <> _high")
-    entries = cut_lineage(prefix.join(shared.select("gram"), "gram").distinct())
+    rank = (len(frequent) - np.arange(len(frequent)))[order]
+    prefix = rows.mapInArrow(_prefixer(n, seed, frequent[order], rank, similarity), _PREFIX)
+    # One exchange serves both: a class has an n-gram once, so no n-gram outweighs the others.
+    same = Window.partitionBy("gram")
+    shared = prefix.withColumns({"_low": F.min("cls").over(same), "_high": F.max("cls").over(same)}).filter("_low <> _high")
+    # Entries that no other set has cannot be shared: ``sp`` counts the others before an entry.
+    own_order, own = Window.partitionBy("cls").orderBy("pos"), Window.partitionBy("cls")
+    entries = shared.drop("_low", "_high").distinct()
+    entries = cut_lineage(entries.withColumns({"sp": F.row_number().over(own_order) - 1, "e": F.count("*").over(own)}))
+    heads = cut_lineage(entries.groupBy("cls").agg(F.collect_list("gram").alias("head")))
 
     pick = F.xxhash64("cls", F.pmod("gram", F.lit(PICKS)))
-    leaders = entries.groupBy("gram").agg(F.min(F.struct(pick.alias("p"), "cls", "n", "pos")).alias("l")).select("gram", "l.cls", "l.n", "l.pos")
+    leaders = entries.groupBy("gram").agg(F.min(F.struct(pick.alias("p"), "cls", "n", "pos", "sp", "e")).alias("l")).select("gram", "l.cls", "l.n", "l.pos", "l.sp", "l.e")
     tried = cut_lineage(_pairs(entries, leaders, F.col("x.cls") != F.col("y.cls"), similarity))
-    links = cut_lineage(_verified(tried, rows, classes, n, seed, similarity))
+    links = cut_lineage(_verified(_bounded(tried, heads, similarity), rows, classes, n, seed, similarity))
     labels = cut_lineage(components(links))
 
     # What is left: rows of an n-gram outside its largest component meet all its rows.
-    own = entries.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
-    own = cut_lineage(own)
-    sizes = own.groupBy("gram", "comp").count()
+    placed = entries.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
+    placed = cut_lineage(placed)
+    sizes = placed.groupBy("gram", "comp").count()
     main = sizes.groupBy("gram").agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = cut_lineage(own.join(main.select("gram", F.col("m.comp").alias("main")), "gram"))
+    mixed = cut_lineage(placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram"))
     rest = _pairs(mixed.filter("comp <> main"), mixed, F.col("x.comp") != F.col("y.comp"), similarity)
     rest = cut_lineage(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     if rest.limit(1).count():
-        more = _verified(rest, rows, classes, n, seed, similarity)
+        more = _verified(_bounded(rest, heads, similarity), rows, classes, n, seed, similarity)
         labels = cut_lineage(components(cut_lineage(links.unionByName(more))))
 
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls"))
