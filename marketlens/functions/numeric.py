@@ -16,11 +16,15 @@ def as_col(value) -> Column:
 
 
 def round_to(value, places: int) -> Column:
-    """Round half away from zero, independent of summation order."""
+    """Round half away from zero, independent of summation order.
+
+    Infinities, NaN and values so large that a double holds no such digits stay as they are.
+    """
     x = as_col(value)
     scale = float(10**places)
     up = F.lit(0.5 + TIE_SLACK)
-    return F.when(x >= 0, F.floor(x * scale + up) / F.lit(scale)).otherwise(
+    # NaN compares as greater than any number.
+    return F.when(F.abs(x) >= float(2**52) / scale, x.cast("double")).when(x >= 0, F.floor(x * scale + up) / F.lit(scale)).otherwise(
         F.lit(0.0) - F.floor(up - x * scale) / F.lit(scale)
     )
 
@@ -47,8 +51,11 @@ def clamp(value, low: float, high: float) -> Column:
 def to_int(value, kind: T.DataType | None = None) -> Column:
     """Text or number to bigint, rounding halves away from zero; bad input gives NULL.
 
-    ``kind`` is the stored type where it is known: whole numbers need no rounding.
+    ``kind`` is the stored type where it is known: whole numbers need no rounding, and text is
+    read digit by digit, so text that is not a whole number gives NULL.
     """
+    if isinstance(kind, T.StringType):
+        return as_col(value).try_cast("bigint")
     if isinstance(kind, T.IntegralType):
         return as_col(value).cast("bigint")
     x = as_col(value).try_cast("double")

@@ -217,17 +217,18 @@ def _difference(k: int, d: int) -> Column:
 
 @F.pandas_udf(_FIT)
 def _solve(moments: pd.Series, lags: pd.Series) -> pd.DataFrame:
-    """Least squares from the moments of [1, a, b, target] of one series and order."""
+    """Least squares from the moments of [1, regressors, target] of one series and order."""
     rows = []
     for flat, used in zip(moments, lags):
-        square = np.zeros((4, 4))
-        square[np.triu_indices(4)] = np.asarray(flat, dtype=float)
+        size = int((np.sqrt(8 * len(flat) + 1) - 1) / 2)
+        square = np.zeros((size, size))
+        square[np.triu_indices(size)] = np.asarray(flat, dtype=float)
         square = square + np.triu(square, 1).T
         n, k = square[0, 0], int(used) + 1
         if not np.isfinite(square).all() or n <= k + 1:
             rows.append((None, None, None))
             continue
-        xx, xy, yy = square[:k, :k], square[:k, 3], square[3, 3]
+        xx, xy, yy = square[:k, :k], square[:k, -1], square[-1, -1]
         coef = np.linalg.lstsq(xx, xy, rcond=None)[0]
         rss = max(float(yy - 2 * coef @ xy + coef @ xx @ coef), 1e-12 * max(yy, 1.0))
         rows.append((coef.tolist(), float(n * np.log(rss / n) + 2 * (k + 1)), float(np.sqrt(rss / (n - k)))))
@@ -263,14 +264,17 @@ def fit_autoregression(series: Series, source: str = "y", orders: Sequence[Order
     need = sorted({k + i for o in orders for k in (0, *o.lags) for i in range(o.d + 1)})
     back = series.over(lambda w: {f"_y{k}": F.lag(source, k).over(w) for k in need}, before=max(need)).df
     rows = back if fit_rows is None else back.filter(F.col(fit_rows))
-    # One row per order: up to two regressors and the target; missing regressors are zero.
+    # One row per order: its regressors and the target; regressors that it lacks are zero.
+    width = max(len(o.lags) for o in orders)
+    names = [f"_r{k}" for k in range(width)]
     tried = []
     for i, order in enumerate(orders):
-        a, b = ([_difference(k, order.d) for k in order.lags] + [F.lit(0.0), F.lit(0.0)])[:2]
-        tried.append(F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"), _difference(0, order.d).alias("z")))
-    each = rows.select(*keys, F.explode(F.array(*tried)).alias("t")).select(*keys, "t.*").dropna(subset=["a", "b", "z"])
-    x = [F.lit(1.0), F.col("a"), F.col("b"), F.col("z")]
-    products = F.array(*[F.sum(x[m] * x[k]) for m in range(4) for k in range(m, 4)])
+        values = [_difference(k, order.d) for k in order.lags] + [F.lit(0.0)] * (width - len(order.lags))
+        fields = [v.cast("double").alias(c) for v, c in zip(values, names)]
+        tried.append(F.struct(F.lit(i).alias("i"), *fields, _difference(0, order.d).alias("z")))
+    each = rows.select(*keys, F.explode(F.array(*tried)).alias("t")).select(*keys, "t.*").dropna(subset=[*names, "z"])
+    x = [F.lit(1.0), *[F.col(c) for c in names], F.col("z")]
+    products = F.array(*[F.sum(x[m] * x[k]) for m in range(len(x)) for k in range(m, len(x))])
     grouped = each.groupBy(*keys, "i").agg(products.alias("moments"))
     points = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"))
     described = F.array(

@@ -91,23 +91,18 @@ def read_weather_export(
         F.transform(F.split(lines[PREAMBLE_LINES], ","), lambda h: F.trim(h)).alias("header"),
         F.explode(F.slice(lines, F.lit(PREAMBLE_LINES + 2), F.greatest(F.size(lines) - PREAMBLE_LINES - 1, F.lit(0)))).alias("line"),
     ).filter(F.length(F.trim("line")) > 0)
-    cells = F.map_from_arrays(
-        F.col("header"),
-        F.transform(
-            F.sequence(F.lit(1), F.size("header")),
-            lambda i: F.try_element_at(F.split("line", ","), i),
-        ),
-    )
-    parsed = table.withColumn("_cells", cells)
+    parsed = table.withColumn("_cells", F.split("line", ","))
+    # A header may be repeated, as in exports with quality columns: its first column counts.
+    cell = lambda header: F.get("_cells", F.array_position("header", header).cast("int") - 1)
     wide = parsed.select(
         "station_id",
         *[
-            F.try_element_at("_cells", F.lit(header)).try_cast("bigint" if name in ("year", "month", "day", "hour") else "double").alias(name)
+            cell(header).try_cast("bigint" if name in ("year", "month", "day", "hour") else "double").alias(name)
             for header, name in WEATHER_HEADERS.items()
         ],
     )
     known = stations.select("station_id", "station_name", "region")
-    stamped = wide.join(F.broadcast(known), "station_id", "left").withColumns(
+    stamped = wide.join(known, "station_id", "left").withColumns(
         {
             "observation_datetime": observation_time(),
             "created_at": created_at if created_at is not None else F.current_timestamp(),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Address pattern of the market files: kind, year, optional month.
 FILE_PATTERN = r"/documents/d/shijou/([y])(\d{4})(\d{2})?meisai(?:_[0-9]{6,8})?(?:\.xlsx)?"
 BASE_URL = "https://www.shijou.metro.tokyo.lg.jp"
-_ANCHOR = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+# Addresses in double quotes, in single quotes or without any.
+_ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a>"""
 
 
 def extract_links(
@@ -23,7 +24,9 @@ def extract_links(
         F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1)).alias("href"),
         F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(2)).alias("body"),
     )
-    anchors = pages.select(*keep, F.explode(pair).alias("_a")).select(*keep, "_a.href", "_a.body")
+    anchors = pages.select(*keep, F.explode(pair).alias("_a")).select(
+        *keep, F.replace(F.btrim("_a.href", F.lit("\"'")), F.lit("&amp;"), F.lit("&")).alias("href"), "_a.body"
+    )
     whole = f"^(?:{pattern})$"
     group = lambda i: F.regexp_extract("href", whole, i)
     return anchors.filter(F.col("href").rlike(whole)).select(
@@ -83,6 +86,6 @@ def month_slices(ranges: DataFrame, start: str = "start_date", end: str = "end_d
 
 def task_grid(stations: DataFrame, slices: DataFrame) -> DataFrame:
     """Every station with every month slice; the station list is a fixed short one."""
-    return slices.crossJoin(F.broadcast(stations))
+    return slices.crossJoin(stations)
 
 

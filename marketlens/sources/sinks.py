@@ -13,9 +13,12 @@ from . import schemas
 
 
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Replace the periods that occur in ``df`` and leave the others as they are."""
+    """Replace the periods that occur in ``df`` and leave the others as they are.
+
+    Rows are gathered by period, and adaptive execution splits a large period over tasks.
+    """
     (
-        df.repartition(*columns)
+        df.hint("rebalance", *[F.col(c) for c in columns])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
@@ -34,7 +37,7 @@ def append_log(df: DataFrame, path: str) -> None:
 def export_csv(df: DataFrame, path: str, by: Sequence[str], rows_per_file: int = 1_000_000) -> None:
     """One folder per period; a large period is split into several files."""
     (
-        df.repartition(*by)
+        df.hint("rebalance", *[F.col(c) for c in by])
         .write.mode("overwrite")
         .option("header", True)
         .option("maxRecordsPerFile", rows_per_file)
@@ -68,7 +71,7 @@ def write_daily(df: DataFrame, path: str, timestamp: str) -> None:
     day = "partition_day"
     (
         df.withColumn(day, F.to_date(timestamp))
-        .repartition(day)
+        .hint("rebalance", F.col(day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -76,8 +79,8 @@ def write_daily(df: DataFrame, path: str, timestamp: str) -> None:
     )
 
 
-def layer_table(layer: str, name: str, prefix: str = "vege", environment: str = "dev") -> str:
-    """Table names by layer, such as ``vege_dev_mart.dim_market``."""
+def layer_table(layer: str, name: str, prefix: str, environment: str = "dev") -> str:
+    """Table names by layer, such as ``shop_dev_mart.dim_market``."""
     return f"{prefix}_{environment}_{layer}.{name}"
 
 

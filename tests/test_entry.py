@@ -12,7 +12,9 @@ def test_registry():
     queries, oracle = entry.queries(), entry.oracle_sql()
     assert set(oracle) <= set(queries) and len(queries) >= 85
     # Fits and recursions have no SQL form.
-    assert set(queries) - set(oracle) == {
+    from marketlens.catalog import QUERIES
+
+    assert set(QUERIES) - set(oracle) == {
         "forecast_autoregressive", "forecast_recursive", "backtest", "prediction_batch",
         "train_regressors", "feature_importance", "best_model", "regression_batch",
     }

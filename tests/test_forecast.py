@@ -167,3 +167,18 @@ def test_regression_rows_layout(spark):
 
 def test_batch_covers_every_method():
     assert set(batch.MODELS.values()) <= set(V.MODEL_TYPES)
+
+
+def test_autoregression_with_three_lags(spark):
+    from pyspark.sql import functions as F
+
+    from marketlens.operators import forecast
+    from marketlens.operators.series import Series
+
+    y = [3.0, -1.0, 2.0]
+    for k in range(200):
+        y.append(1.0 + 0.5 * y[-1] - 0.3 * y[-2] + 0.2 * y[-3] + ((k * 7919) % 101 - 50) / 500)
+    df = spark.createDataFrame([("a", k, len(y), v) for k, v in enumerate(y)], "k string, pos bigint, n bigint, y double")
+    series = Series(df.withColumn("chunk", F.lit(0).cast("bigint")), ("k",), None)
+    best = forecast.fit_autoregression(series, orders=[forecast.Order(3, 0)]).first()
+    assert [round(c, 1) for c in best["coef"]] == [1.0, 0.5, -0.3, 0.2]

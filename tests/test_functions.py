@@ -95,3 +95,17 @@ def test_observation_time_hour_24_is_null(spark):
     df = spark.createDataFrame([(2001, 2, 3, 23), (2001, 2, 3, 24), (2001, 2, 30, 1)], "year int, month int, day int, hour int")
     got = [r[0] for r in df.select(F.date_format(files.observation_time(), "yyyy-MM-dd HH")).collect()]
     assert got == ["2001-02-03 23", None, None]
+
+
+def test_rounding_keeps_what_has_no_such_digits(spark):
+    values = [float("inf"), float("-inf"), 1e14, -1e19, 12.345, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(numeric.round_to("x", 2)).collect()] == [float("inf"), float("-inf"), 1e14, -1e19, 12.35, None]
+    assert [r[0] for r in df.select(numeric.round_to("x", 6)).collect()][2:4] == [1e14, -1e19]
+    nan = spark.createDataFrame([(float("nan"),)], "x double").select(numeric.round_to("x", 4)).first()[0]
+    assert nan != nan
+
+
+def test_text_is_read_as_a_whole_number_or_not_at_all(spark):
+    df = spark.createDataFrame([("12.7",), ("9007199254740993",), (" 5 ",), ("x",)], "x string")
+    assert [r[0] for r in df.select(numeric.to_int("x", df.schema["x"].dataType)).collect()] == [None, 9007199254740993, 5, None]

@@ -152,3 +152,11 @@ def test_usage_levels(spark, usage, level):
 def test_safety_gate(spark, need, safe, word):
     row = control.safety_gate(spark.createDataFrame([(40.0,)], "current_usage double"), need, 100.0).first()
     assert row["safe"] == safe and word in row["reason"]
+
+
+def test_links_in_all_quote_forms(spark):
+    from marketlens.sources import links
+
+    html = "<a href='/f/y2020&amp;x'>one</a> <a class=b href=/f/y2021&x>two</a> <a href=\"/f/y2022&x\">three</a>"
+    found = links.extract_links(spark.createDataFrame([(html,)], "html string"), r"/f/(y)(\d{4})(\d{2})?&x", "http://h")
+    assert {(r["year"], r["url"]) for r in found.collect()} == {(2020, "http://h/f/y2020&x"), (2021, "http://h/f/y2021&x"), (2022, "http://h/f/y2022&x")}
