@@ -170,15 +170,18 @@ def test_batch_covers_every_method():
 
 
 def test_autoregression_with_three_lags(spark):
+    import numpy as np
     from pyspark.sql import functions as F
 
     from marketlens.operators import forecast
     from marketlens.operators.series import Series
 
-    y = [3.0, -1.0, 2.0]
-    for k in range(200):
-        y.append(1.0 + 0.5 * y[-1] - 0.3 * y[-2] + 0.2 * y[-3] + ((k * 7919) % 101 - 50) / 500)
-    df = spark.createDataFrame([("a", k, len(y), v) for k, v in enumerate(y)], "k string, pos bigint, n bigint, y double")
-    series = Series(df.withColumn("chunk", F.lit(0).cast("bigint")), ("k",), None)
-    best = forecast.fit_autoregression(series, orders=[forecast.Order(3, 0)]).first()
-    assert [round(c, 1) for c in best["coef"]] == [1.0, 0.5, -0.3, 0.2]
+    y = np.random.default_rng(5).normal(size=200)
+    for k in range(3, 200):
+        y[k] += 1.0 + 0.5 * y[k - 1] - 0.3 * y[k - 2] + 0.2 * y[k - 3]
+    x = np.column_stack([np.ones(197), y[2:-1], y[1:-2], y[:-3]])
+    expected = np.linalg.lstsq(x, y[3:], rcond=None)[0]
+    rows = [("a", k, len(y), 0, float(v)) for k, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "k string, pos bigint, n bigint, chunk bigint, y double").withColumn("y", F.col("y"))
+    best = forecast.fit_autoregression(Series(df, ("k",), None), orders=[forecast.Order(3, 0)]).first()
+    assert np.allclose(best["coef"], expected, atol=1e-8)
