@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,9 @@ SPACE = "▁"
 #: A run of spaces with the word behind it, a line break, or what stands between such.
 UNIT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 #: Units in each of two generations kept per worker, and the longest that is kept.
-KEPT_UNITS = 500_000
+KEPT_UNITS = 250_000
+#: Rows encoded and returned at a time.
+SLICE_ROWS = 500
 KEPT_LENGTH = 40
 _NEVER = float("inf")
 
@@ -242,27 +245,34 @@ def _encoder(path: str, keep_ids: bool) -> Callable[[Iterator[pa.RecordBatch]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
         for batch in batches:
-            counts, ids_hash, text_hash, kept = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                ids, decoded = pieces.whole(text or "")
-                counts.append(ids.count(",") + 1 if ids else 0)
-                ids_hash.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if keep_ids:
-                    kept.append([int(x) for x in ids.split(",")] if ids else [])
-            columns = {
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_sha256": pa.array(ids_hash, pa.string()),
-                "decoded_sha256": pa.array(text_hash, pa.string()),
-            }
-            if keep_ids:
-                columns["ids"] = pa.array(kept, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(columns)
+            # Small slices: the ids of a whole batch would take many times the memory of its texts.
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                yield _encoded(pieces, batch.slice(at, SLICE_ROWS), keep_ids)
 
     return run
 
 
+def _encoded(pieces: Pieces, batch: pa.RecordBatch, keep_ids: bool) -> pa.RecordBatch:
+    counts, ids_hash, text_hash, kept = [], [], [], []
+    for text in batch.column("text").to_pylist():
+        ids, decoded = pieces.whole(text or "")
+        counts.append(ids.count(",") + 1 if ids else 0)
+        ids_hash.append(hashlib.sha256(ids.encode()).hexdigest())
+        text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
+        if keep_ids:
+            kept.append(np.array(ids.split(",") if ids else [], np.int32))
+    columns = {
+        "doc_id": batch.column("doc_id"),
+        "n_tokens": pa.array(counts, pa.int64()),
+        "ids_sha256": pa.array(ids_hash, pa.string()),
+        "decoded_sha256": pa.array(text_hash, pa.string()),
+    }
+    if keep_ids:
+        ends = np.cumsum([0, *counts]).astype(np.int32)
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *kept])))
+    return pa.RecordBatch.from_pydict(columns)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and on demand ``ids``.
 
