@@ -13,6 +13,7 @@ from ..session import cut_lineage
 from . import ranking
 
 SERIES = ("item_name", "market", "origin")
+CATEGORIES = ("major_category", "sub_category")
 # Order of the rows of one series: month first; the rest settles equal months.
 ROW_ORDER = ("year", "month", "major_category", "sub_category", "profile_category", "item_category")
 # Text columns that are encoded, and feature columns in order of preference.
@@ -36,11 +37,12 @@ FEATURES = (
 TARGET = "avg_unit_price_yen"
 
 
-def with_attributes(price_weather: DataFrame, seasonal: DataFrame, items: DataFrame) -> DataFrame:
+def with_attributes(price_weather: DataFrame, seasonal: DataFrame, items: DataFrame, own: bool = False) -> DataFrame:
     """Prices with seasonal indexes of (item, month) and attributes of the item.
 
     Both side tables are also keyed by sub-category, so a price row is repeated once per
-    sub-category of its item; the two extra columns tell the copies apart.
+    sub-category of its item; the two extra columns tell the copies apart. With ``own``
+    a price row meets those of its own sub-category only and stays one row.
     """
     profile = seasonal.select(
         "item_name", "month", "seasonal_price_index", "seasonal_quantity_index", "seasonality_level",
@@ -50,19 +52,39 @@ def with_attributes(price_weather: DataFrame, seasonal: DataFrame, items: DataFr
         "item_name", "price_tier", "vegetable_category", F.col("seasonality").alias("item_seasonality"),
         F.col("avg_unit_price_yen").alias("item_avg_price"), F.col("sub_category").alias("item_category"),
     )
-    return price_weather.join(profile, ["item_name", "month"], "left").join(item, "item_name", "left")
+    profile, item = profile.withColumnRenamed("item_name", "_p"), item.withColumnRenamed("item_name", "_i")
+    profile = profile.withColumnRenamed("month", "_m")
+    same_profile = (F.col("item_name") == F.col("_p")) & (F.col("month") == F.col("_m"))
+    same_item = F.col("item_name") == F.col("_i")
+    if own:
+        same_profile &= F.col("sub_category").eqNullSafe(F.col("profile_category"))
+        same_item &= F.col("sub_category").eqNullSafe(F.col("item_category"))
+    return price_weather.join(profile, same_profile, "left").join(item, same_item, "left").drop("_p", "_m", "_i")
 
 
 def training_rows(
-    price_weather: DataFrame, seasonal: DataFrame, items: DataFrame, low: float = 0.0, high: float = 5000.0
+    price_weather: DataFrame,
+    seasonal: DataFrame,
+    items: DataFrame,
+    low: float = 0.0,
+    high: float = 5000.0,
+    lags_first: bool = False,
 ) -> DataFrame:
     """Priced rows with lags 1, 3 and 12 of the price and lag 1 of the quantity; rows
-    without a previous row are dropped."""
+    without a previous row are dropped.
+
+    The published form repeats a price row per sub-category and lags afterwards, so most lags
+    are another copy of the row itself. ``lags_first`` takes lags within item, market, origin and
+    category, one row a month, before the attributes are joined: no lag holds the target.
+    """
     price = F.col(TARGET)
-    rows = with_attributes(price_weather, seasonal, items).filter(
-        (price > low) & (price < high) & (F.col("total_quantity_kg") > low)
-    )
-    w = Window.partitionBy(*SERIES).orderBy(*[F.col(c).asc_nulls_first() for c in ROW_ORDER])
+    kept = (price > low) & (price < high) & (F.col("total_quantity_kg") > low)
+    if lags_first:
+        rows = price_weather.filter(kept)
+        w = Window.partitionBy(*SERIES, *CATEGORIES).orderBy("year", "month")
+    else:
+        rows = with_attributes(price_weather, seasonal, items).filter(kept)
+        w = Window.partitionBy(*SERIES).orderBy(*[F.col(c).asc_nulls_first() for c in ROW_ORDER])
     lagged = rows.withColumns(
         {
             "date_key": month_start(),
@@ -72,29 +94,45 @@ def training_rows(
             "price_lag_12m": F.lag(price, 12).over(w),
             "quantity_lag_1m": F.lag("total_quantity_kg", 1).over(w),
         }
-    )
-    return lagged.filter(F.col("price_lag_1m").isNotNull())
+    ).filter(F.col("price_lag_1m").isNotNull())
+    return with_attributes(lagged, seasonal, items, own=True) if lags_first else lagged
 
 
-def encode_ordinal(df: DataFrame, columns: Sequence[str], missing: str = "None") -> DataFrame:
-    """Code 0..k-1 per column in the sorted order of its values; NULL counts as a text.
+def fit_codes(df: DataFrame, columns: Sequence[str], missing: str = "None") -> DataFrame:
+    """Code table ``name``, ``value``, ``code``: 0..k-1 per column in the sorted order of its
+    values; NULL counts as a text.
 
-    All columns are numbered in one pass over their distinct values, and the code tables
-    are joined back; no list of values passes through the driver.
+    All columns are numbered in one pass over their distinct values; no list of values passes
+    through the driver. Save the table with a model, so that later rows get the same codes.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(missing))
     pairs = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("name"), text(c).alias("value")) for c in columns])).alias("p")
     ).select("p.*")
-    codes = ranking.row_number_over(cut_lineage(pairs.distinct()), "_rn", ["name"], [F.col("value")])
+    numbered = ranking.row_number_over(cut_lineage(pairs.distinct()), "_rn", ["name"], [F.col("value")])
+    return numbered.select("name", "value", (F.col("_rn") - 1).alias("code"))
+
+
+def apply_codes(
+    df: DataFrame, codes: DataFrame, columns: Sequence[str], missing: str = "None", unseen: int | None = -1
+) -> DataFrame:
+    """``<column>_encoded`` by a fitted code table; values that it lacks get ``unseen``."""
     for c in columns:
         own = codes.filter(F.col("name") == c).select(
-            F.col("value").alias("_value"), (F.col("_rn") - 1).alias(f"{c}_encoded")
+            F.col("value").alias("_value"), F.col("code").alias("_code")
+        )
+        df = df.withColumn("_text", F.coalesce(F.col(c).cast("string"), F.lit(missing))).join(
+            own, F.col("_text") == F.col("_value"), "left"
         )
-        df = df.withColumn("_text", text(c)).join(own, F.col("_text") == F.col("_value"), "left").drop("_text", "_value")
+        df = df.withColumn(f"{c}_encoded", F.coalesce("_code", F.lit(unseen))).drop("_text", "_value", "_code")
     return df
 
 
+def encode_ordinal(df: DataFrame, columns: Sequence[str], missing: str = "None") -> DataFrame:
+    """Codes fitted on and applied to the same rows."""
+    return apply_codes(df, fit_codes(df, columns, missing), columns, missing)
+
+
 def price_volatility(source: str = TARGET) -> Column:
     """Sample deviation of up to three rows of the series, 0 for one row."""
     w = Window.partitionBy(*SERIES).orderBy(*[F.col(c).asc_nulls_first() for c in ROW_ORDER]).rowsBetween(-2, 0)

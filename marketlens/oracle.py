@@ -1091,6 +1091,19 @@ LEFT JOIN (SELECT item_name, month, avg(avg_temperature) AS avg_temperature, avg
 """),
     "event_calendar": sql(f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {', '.join(_event(i) for i in (1, 2, 3, 4))} FROM t_days"),
     "training_features": sql("SELECT * FROM t_training"),
+    "training_features_lags_first": sql("""
+SELECT p.*, s.seasonal_price_index, s.seasonal_quantity_index, s.seasonality_level, s.sub_category AS profile_category,
+       i.price_tier, i.vegetable_category, i.seasonality AS item_seasonality, i.avg_unit_price_yen AS item_avg_price,
+       i.sub_category AS item_category
+FROM (SELECT *, strftime(make_date(year, month, 1), '%Y-%m-%d') AS date_key, quarter(make_date(year, month, 1))::BIGINT AS quarter,
+             lag(avg_unit_price_yen, 1) OVER w AS price_lag_1m, lag(avg_unit_price_yen, 3) OVER w AS price_lag_3m,
+             lag(avg_unit_price_yen, 12) OVER w AS price_lag_12m, lag(total_quantity_kg, 1) OVER w AS quantity_lag_1m
+      FROM t_price_weather WHERE avg_unit_price_yen > 0 AND avg_unit_price_yen < 5000 AND total_quantity_kg > 0
+      WINDOW w AS (PARTITION BY item_name, market, origin, major_category, sub_category ORDER BY year, month)) p
+LEFT JOIN t_seasonal s ON p.item_name = s.item_name AND p.month = s.month AND p.sub_category IS NOT DISTINCT FROM s.sub_category
+LEFT JOIN t_dim_item i ON p.item_name = i.item_name AND p.sub_category IS NOT DISTINCT FROM i.sub_category
+WHERE price_lag_1m IS NOT NULL
+"""),
     "encode_categories": sql(f"""
 SELECT *, {', '.join(_code(c) for c in ('item_name', 'market', 'origin', 'sub_category'))}
 FROM (SELECT DISTINCT item_name, market, origin, sub_category FROM t_stg)

@@ -142,6 +142,36 @@ def test_encode_sorted_with_missing(spark, rows):
     assert got == [(None, "x", 0, 1), ("a", None, 1, 0), ("b", "x", 2, 1)]
 
 
+def test_saved_codes_serve_later_rows(spark, rows, tmp_path):
+    first = spark.createDataFrame([("b", "x"), ("a", None)], "p string, q string")
+    features.fit_codes(first, ["p", "q"]).write.parquet(str(tmp_path / "codes"))
+    codes = spark.read.parquet(str(tmp_path / "codes"))
+    later = spark.createDataFrame([("b", None), ("new", "x"), (None, "y")], "p string, q string")
+    got = features.apply_codes(later, codes, ["p", "q"]).select("p", "q", "p_encoded", "q_encoded")
+    assert rows(got, "p") == [(None, "y", -1, -1), ("b", None, 1, 0), ("new", "x", -1, 1)]
+    nulls = features.apply_codes(later, codes, ["p"], unseen=None).select("p", "p_encoded")
+    assert rows(nulls, "p") == [(None, None), ("b", 1), ("new", None)]
+
+
+def test_lags_first_do_not_hold_the_target(spark, rows):
+    names = "item_name string, market string, origin string, major_category string, sub_category string, year bigint, month bigint, avg_unit_price_yen double, total_quantity_kg bigint"
+    prices = spark.createDataFrame(
+        [("i", "m", "o", "c", s, 2020, m, float(p), 5) for s, m, p in [("s", 1, 10), ("s", 2, 20), ("t", 1, 70), ("t", 2, 80), (None, 1, 1), (None, 2, 2)]], names)
+    seasonal = spark.createDataFrame(
+        [("i", s, m, 1.0, 1.0, "L") for s in ("s", "t") for m in (1, 2)],
+        "item_name string, sub_category string, month bigint, seasonal_price_index double, seasonal_quantity_index double, seasonality_level string")
+    items = spark.createDataFrame(
+        [("i", s, "P", "V", "S", 3.0) for s in ("s", "t")],
+        "item_name string, sub_category string, price_tier string, vegetable_category string, seasonality string, avg_unit_price_yen double")
+    columns = ["sub_category", "month", "avg_unit_price_yen", "price_lag_1m", "profile_category"]
+    own = features.training_rows(prices, seasonal, items, lags_first=True).select(*columns)
+    assert rows(own, "sub_category") == [(None, 2, 2.0, 1.0, None), ("s", 2, 20.0, 10.0, "s"), ("t", 2, 80.0, 70.0, "t")]
+    published = features.training_rows(prices, seasonal, items)
+    assert published.filter("price_lag_1m = avg_unit_price_yen").count() > 0
+    nothing = features.training_rows(prices.limit(0), seasonal, items, lags_first=True)
+    assert nothing.count() == 0
+
+
 def test_regression_models(spark):
     data = [(2000 + t // 12, t % 12 + 1, f"i{k}", "m", "o", "c", "s", "p", "q", float(t), float(k), 3.0 * t + 10 * k) for t in range(30) for k in range(4)]
     names = "year bigint, month bigint, item_name string, market string, origin string, major_category string, sub_category string, profile_category string, item_category string, f1 double, f2 double, avg_unit_price_yen double"
