@@ -4,8 +4,9 @@ The join is a sparse product of the document by n-gram incidence with its transp
 equal sets are one row of it. Columns are put in one order, rare n-grams first; two sets can only be
 similar if they share an n-gram among the first few of both (a quarter and one, for 0.75), so only
 those entries are multiplied, and a product is dropped at once if the sizes, or the places of the
-shared n-gram among those that other sets have too, bound the overlap below what the similarity needs. Then the overlap of the
-first entries is counted, which bounds the rest, and for what is left that of the whole sets.
+shared n-gram among those that other sets have too, or the bits in which sketches of the first entries
+differ, bound the overlap below what the similarity needs. Then the overlap of the first entries is
+counted, which bounds the rest, and for what is left that of the whole sets.
 
 Products are made in blocks. First each n-gram's rows meet a few rows of it that a hash picks, which
 links nearly all members of a group of near copies; then, per n-gram, rows of other components meet
@@ -43,6 +44,8 @@ FREQUENT = 200_000
 FREQUENT_USES = 4
 #: Rows of an n-gram that its other rows meet first are picked by so many hashes.
 PICKS = 8
+#: Words of 64 bits in the sketch of a set's first entries.
+SKETCH = 4
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -182,6 +185,22 @@ def _possible(similarity: tuple[int, int]) -> Column:
     return _enough(a, b, F.least(a, b), similarity) & _enough(a, b, by_place, similarity) & _enough(a, b, by_count, similarity)
 
 
+def _sketch() -> list[Column]:
+    """Aggregates over the entries of a set: bits that an odd number of them have."""
+    bit = F.expr("shiftleft(1L, cast(pmod(gram, 64) as int))")
+    word = F.pmod(F.shiftright("gram", 6), F.lit(SKETCH))
+    return [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"s{i}") for i in range(SKETCH)]
+
+
+def _sketched(similarity: tuple[int, int]) -> Column:
+    """What the sketches allow: every bit that differs is an entry that only one of the two has."""
+    part, whole = similarity
+    apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH)), F.lit(0))
+    shared = F.floor((F.col("x.e") + F.col("y.e") - apart) / 2)
+    rest = lambda n: F.floor((F.col(n) * part + (whole - 1)) / whole) - 1
+    return _enough(F.col("x.n"), F.col("y.n"), shared + F.greatest(rest("x.n"), rest("y.n")), similarity)
+
+
 def _pairs(x: DataFrame, y: DataFrame, differ: Column, similarity: tuple[int, int]) -> DataFrame:
     joined = x.alias("x").join(y.alias("y"), (F.col("x.gram") == F.col("y.gram")) & differ & _possible(similarity))
     low = F.col("x.cls") < F.col("y.cls")
@@ -235,7 +254,7 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
     own_order, own = Window.partitionBy("cls").orderBy("pos"), Window.partitionBy("cls")
     entries = shared.drop("_low", "_high").distinct()
     entries = cut_lineage(entries.withColumns({"sp": F.row_number().over(own_order) - 1, "e": F.count("*").over(own)}))
-    heads = cut_lineage(entries.groupBy("cls").agg(F.collect_list("gram").alias("head")))
+    heads = cut_lineage(entries.groupBy("cls").agg(F.collect_list("gram").alias("head"), *_sketch()))
 
     pick = F.xxhash64("cls", F.pmod("gram", F.lit(PICKS)))
     leaders = entries.groupBy("gram").agg(F.min(F.struct(pick.alias("p"), "cls", "n", "pos", "sp", "e")).alias("l")).select("gram", "l.cls", "l.n", "l.pos", "l.sp", "l.e")
@@ -248,8 +267,10 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
     placed = cut_lineage(placed)
     sizes = placed.groupBy("gram", "comp").count()
     main = sizes.groupBy("gram").agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = cut_lineage(placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram"))
-    rest = _pairs(mixed.filter("comp <> main"), mixed, F.col("x.comp") != F.col("y.comp"), similarity)
+    mixed = placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram")
+    mixed = cut_lineage(mixed.join(heads.drop("head"), "cls"))
+    outer = (F.col("x.comp") != F.col("y.comp")) & _sketched(similarity)
+    rest = _pairs(mixed.filter("comp <> main"), mixed, outer, similarity)
     rest = cut_lineage(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     if rest.limit(1).count():
         more = _verified(_bounded(rest, heads, similarity), rows, classes, n, seed, similarity)
