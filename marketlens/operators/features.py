@@ -168,7 +168,11 @@ def build_features(rows: DataFrame) -> DataFrame:
 
 
 def available_features(df: DataFrame, wanted: Sequence[str] = FEATURES, limit: int = 50) -> list[str]:
-    return [c for c in wanted if c in df.columns][:limit]
+    """The wanted columns that ``df`` has; more than ``limit`` are an error, none is left out in silence."""
+    found = [c for c in wanted if c in df.columns]
+    if len(found) > limit:
+        raise ValueError(f"{len(found)} features, more than the limit of {limit}")
+    return found
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -201,6 +201,8 @@ _FIT = T.StructType(
     ]
 )
 
+_STEPS = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("values", "spread")])
+
 
 def _back(k: int) -> Column:
     return F.col(f"_y{k}")
@@ -235,35 +237,61 @@ def _solve(moments: pd.Series, lags: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["coef", "aic", "sigma"])
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _recur(tail: pd.Series, coef: pd.Series, lags: pd.Series, d: pd.Series, steps: pd.Series) -> pd.Series:
-    """Run the recursion from the last values of a series."""
+def _level_weights(coef: Sequence[float], lags: Sequence[int], d: int) -> np.ndarray:
+    """Weights of the values 1, 2, ... rows back, differences resolved."""
+    poly = np.zeros(max([0, *lags]) + 1)
+    poly[0] = 1.0
+    poly[list(lags)] = -np.asarray(coef[1:], dtype=float)
+    for _ in range(d):
+        poly = np.convolve(poly, [1.0, -1.0])
+    return -poly[1:]
+
+
+def _run(weights: np.ndarray, start: Sequence[float], constant: float, steps: int) -> np.ndarray:
+    """The next values of a recursion; values before ``start`` are not needed."""
+    reach = len(weights)
+    y = np.concatenate([np.asarray(start, dtype=float), np.zeros(steps)])
+    for t in range(len(start), len(y)):
+        y[t] = constant + weights @ y[t - reach : t][::-1]
+    return y[len(start) :]
+
+
+@F.pandas_udf(_STEPS)
+def _recur(tail: pd.Series, coef: pd.Series, lags: pd.Series, d: pd.Series, steps: pd.Series) -> pd.DataFrame:
+    """Run the recursion from the last values of a series; and the standard error of every step in
+    units of sigma, from the squared weights of an impulse."""
     out = []
     for values, c, back, diff, count in zip(tail, coef, lags, d, steps):
-        y = [float(v) for v in values]
-        made = []
-        for _ in range(int(count)):
-            z = np.diff(y, n=int(diff))
-            nxt = c[0] + sum(w * z[-k] for w, k in zip(c[1:], back))
-            if diff == 1:
-                nxt += y[-1]
-            elif diff == 2:
-                nxt += 2 * y[-1] - y[-2]
-            y.append(float(nxt))
-            made.append(float(nxt))
-        out.append(made)
-    return pd.Series(out)
+        weights, count = _level_weights(c, [int(k) for k in back], int(diff)), int(count)
+        made = _run(weights, values, float(c[0]), count)
+        impulse = np.concatenate([[1.0], _run(weights, [*[0.0] * len(weights), 1.0], 0.0, max(count - 1, 0))])
+        out.append((made.tolist(), np.sqrt(np.cumsum(impulse[:count] ** 2)).tolist()))
+    return pd.DataFrame(out, columns=["values", "spread"])
+
+
+def _all_known(back: Sequence[int]) -> Column:
+    known = F.lit(True)
+    for k in back:
+        known = known & _back(k).isNotNull()
+    return known
 
 
 def fit_autoregression(series: Series, source: str = "y", orders: Sequence[Order] = ORDERS, fit_rows: str | None = None) -> DataFrame:
     """Best order per series by AIC, with coefficients, from one aggregation.
 
-    ``fit_rows`` names a boolean column that limits the fit (for backtests).
+    ``fit_rows`` names a boolean column that limits the fit (for backtests). All orders that a series
+    admits are fitted to the same rows, those where each of them has its lags, so that their AIC can be
+    compared. Values are centred by the mean of the series before they are multiplied.
     """
     keys = list(series.keys)
-    need = sorted({k + i for o in orders for k in (0, *o.lags) for i in range(o.d + 1)})
+    reached = lambda some: sorted({k + i for o in some for k in (0, *o.lags) for i in range(o.d + 1)})
+    need = reached(orders)
     back = series.over(lambda w: {f"_y{k}": F.lag(source, k).over(w) for k in need}, before=max(need)).df
     rows = back if fit_rows is None else back.filter(F.col(fit_rows))
+    points = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"), F.avg(_back(0)).alias("_mean"))
+    rows = ranking.join_groups(rows, points, keys).withColumns({f"_y{k}": _back(k) - F.col("_mean") for k in need})
+    long = F.col("points") > SEASONAL_MIN_ROWS
+    rows = rows.filter(_all_known(reached([o for o in orders if not o.seasonal])) & (~long | _all_known(need)))
     # One row per order: its regressors and the target; regressors that it lacks are zero.
     width = max(len(o.lags) for o in orders)
     names = [f"_r{k}" for k in range(width)]
@@ -276,7 +304,6 @@ def fit_autoregression(series: Series, source: str = "y", orders: Sequence[Order
     x = [F.lit(1.0), *[F.col(c) for c in names], F.col("z")]
     products = F.array(*[F.sum(x[m] * x[k]) for m in range(len(x)) for k in range(m, len(x))])
     grouped = each.groupBy(*keys, "i").agg(products.alias("moments"))
-    points = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"))
     described = F.array(
         *[
             F.struct(
@@ -287,9 +314,14 @@ def fit_autoregression(series: Series, source: str = "y", orders: Sequence[Order
         ]
     )
     known = ranking.join_groups(grouped, points, keys).withColumn("o", F.get(described, F.col("i")))
-    known = known.select(*keys, "i", "points", "moments", "o.*")
+    known = known.select(*keys, "i", "points", "_mean", "moments", "o.*")
     known = known.filter(~F.col("seasonal") | (F.col("points") > SEASONAL_MIN_ROWS))
     solved = known.withColumn("s", _solve("moments", F.size("lags"))).filter(F.col("s.aic").isNotNull())
+    # The constant for values that are not centred; differences have lost the mean anyway.
+    slopes = F.slice("s.coef", F.lit(2), F.size("s.coef"))
+    shift = F.col("_mean") * F.aggregate(slopes, F.lit(1.0), lambda total, c: total - c)
+    constant = F.get("s.coef", F.lit(0)) + F.when(F.col("d") == 0, shift).otherwise(0.0)
+    solved = solved.withColumn("s", F.col("s").withField("coef", F.concat(F.array(constant), slopes)))
     best = F.min_by(F.struct("p", "d", "seasonal", "lags", "s"), F.struct("s.aic", "i")).alias("b")
     return solved.groupBy(*keys).agg(best, F.max("points").alias("points")).select(
         *keys, "points", "b.p", "b.d", "b.seasonal", "b.lags", "b.s.coef", "b.s.aic", "b.s.sigma"
@@ -310,12 +342,13 @@ def forecast_autoregression(series: Series, steps: int, source: str = "y") -> Da
     tails = _tails(series.df, keys, source, F.col("n"))
     joined = ranking.join_groups(model, tails, keys)
     made = joined.withColumn("f", _recur("tail", "coef", "lags", "d", F.lit(steps)))
-    out = made.select(*keys, "p", "d", "seasonal", "aic", "sigma", F.posexplode("f").alias("step", "y_pred"))
+    out = made.select(*keys, "p", "d", "seasonal", "aic", "sigma", F.posexplode(F.arrays_zip("f.values", "f.spread")).alias("step", "_f"))
+    out = out.select("*", F.col("_f.values").alias("y_pred"), F.col("_f.spread").alias("_spread")).drop("_f")
     step = F.col("step") + 1
-    half = F.col("sigma") * Z95 * F.when(F.col("d") > 0, F.sqrt(step)).otherwise(1.0)
+    half = F.col("sigma") * Z95 * F.col("_spread")
     return out.withColumns(
         {"step": step.cast("bigint"), "lower": F.col("y_pred") - half, "upper": F.col("y_pred") + half}
-    )
+    ).drop("_spread")
 
 
 def backtest_autoregression(split: Series, source: str = "y") -> DataFrame:
@@ -330,7 +363,7 @@ def backtest_autoregression(split: Series, source: str = "y") -> DataFrame:
     sizes = split.df.groupBy(*keys).agg(F.max("train_n").alias("train_n"), F.max("test_n").alias("test_n"))
     joined = ranking.join_groups(ranking.join_groups(model, tails, keys), sizes, keys)
     made = joined.withColumn("f", _recur("tail", "coef", "lags", "d", "test_n"))
-    out = made.select(*keys, "train_n", F.posexplode("f").alias("i", "y_pred"))
+    out = made.select(*keys, "train_n", F.posexplode("f.values").alias("i", "y_pred"))
     return out.withColumn("pos", (F.col("train_n") + F.col("i")).cast("bigint")).drop("train_n", "i")
 
 

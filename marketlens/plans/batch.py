@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as V
@@ -57,7 +57,10 @@ def pooled_windows(scaled: S.Series, length: int) -> DataFrame:
 
 
 def backtest_predictions(split: S.Series, models: Sequence[str] = tuple(MODELS), length: int = SEQUENCE_LENGTH) -> DataFrame:
-    """Test rows of a split with every model's value and the naive one."""
+    """Test rows of a split with every model's value and the naive one.
+
+    Only rows for which every model has a value remain, so that all are scored on the same ones.
+    """
     keys = list(split.keys)
     base = S.naive_baseline(split).select(*keys, "pos", "year", "month", "y", "y_naive")
     parts = []
@@ -78,7 +81,10 @@ def backtest_predictions(split: S.Series, models: Sequence[str] = tuple(MODELS),
         else:
             raise ValueError(f"unknown model {name!r}")
         parts.append(made.withColumn("model_type", F.lit(MODELS[name])))
-    return features.merge(parts)
+    # A row of a series has one row per model here.
+    row = Window.partitionBy(*keys, "pos")
+    made = features.merge(parts).filter(F.col("y_pred").isNotNull())
+    return made.withColumn("_made", F.count(F.lit(1)).over(row)).filter(F.col("_made") == len(models)).drop("_made")
 
 
 def backtest(
@@ -232,7 +238,8 @@ def run_time_series(frame: DataFrame, generated_at: str, months: int = 6, min_po
     series, fits = prepared(frame, ["item_name"], chunk_rows)
     cleaned = S.outlier_filter(series, list(ROW_ORDER), fits=fits)
     cleaned = cleaned.with_df(cut_lineage(cleaned.df.filter(F.col("n") >= min_points)))
-    measures = backtest(cleaned.rows(), models=models, chunk_rows=chunk_rows)
+    # Scored on the series that is forecast.
+    measures = backtest(cleaned.rows(), ["item_name"], models, chunk_rows=chunk_rows)
     return time_series_rows(forecasts(cleaned, months, models), series_facts(cleaned), measures, generated_at)
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +216,43 @@ def test_autoregression_with_three_lags(spark):
     df = spark.createDataFrame(rows, "k string, pos bigint, n bigint, chunk bigint, y double").withColumn("y", F.col("y"))
     best = forecast.fit_autoregression(Series(df, ("k",), None), orders=[forecast.Order(3, 0)]).first()
     assert np.allclose(best["coef"], expected, atol=1e-8)
+
+
+def test_interval_weights_follow_the_recursion():
+    spread = lambda coef, lags, d: forecast._recur.func(
+        pd.Series([[1.0] * 14]), pd.Series([coef]), pd.Series([lags]), pd.Series([d]), pd.Series([4])
+    )["spread"][0]
+    np.testing.assert_allclose(spread([0.0], [], 1), np.sqrt([1, 2, 3, 4]))
+    np.testing.assert_allclose(spread([0.0], [], 2), np.sqrt(np.cumsum([1, 4, 9, 16])))
+    np.testing.assert_allclose(spread([0.0, 0.5], [1], 0), np.sqrt(np.cumsum([1, 0.25, 0.0625, 0.015625])))
+    np.testing.assert_allclose(spread([3.0], [], 0), np.ones(4))
+
+
+def test_orders_are_compared_on_common_rows(spark):
+    rng = np.random.default_rng(7)
+    y = 1e6 + rng.normal(size=30)
+    s = S.index_series(series(spark, y), ["item"], ["year", "month"], fits=True)
+    one, two = forecast.Order(1, 0), forecast.Order(2, 1)
+    both = forecast.fit_autoregression(s, orders=[one, two]).first()
+    rss = lambda rows: float(np.linalg.lstsq(*rows, rcond=None)[1][0])
+    # Rows with all lags that either order needs: from the fourth on.
+    z = np.diff(y)
+    first = rss((np.column_stack([np.ones(27), y[2:-1] - y.mean()]), y[3:]))
+    second = rss((np.column_stack([np.ones(27), z[1:-1], z[:-2]]), z[2:]))
+    aic = [27 * np.log(first / 27) + 2 * 3, 27 * np.log(second / 27) + 2 * 4]
+    assert both["aic"] == pytest.approx(min(aic), rel=1e-6) and both["p"] == 1 + int(np.argmin(aic))
+
+
+def test_backtest_scores_all_models_on_the_same_rows(spark):
+    rng = np.random.default_rng(3)
+    long, short = 100 + rng.normal(size=60).cumsum(), 50 + rng.normal(size=9)
+    names = ("total_quantity_kg", "avg_temperature", "total_precipitation", "seasonal_price_index")
+    df = series(spark, long).union(series(spark, short, "b")).withColumns({c: F.lit(1.0) for c in names})
+    split = S.holdout(S.index_series(df, ["item"], ["year", "month"], fits=True))
+    rows = batch.backtest_predictions(split)
+    counts = {(r["item"], r["model_type"]): r["count"] for r in rows.groupBy("item", "model_type").count().collect()}
+    # The short series has no window of the pooled model.
+    assert counts == {("a", m): 12 for m in batch.MODELS.values()}
+    assert features.available_features(df, names, limit=4) == list(names)
+    with pytest.raises(ValueError):
+        features.available_features(df, names, limit=3)
