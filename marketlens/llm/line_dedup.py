@@ -5,9 +5,14 @@ same order are deleted from the later one (the larger doc_id). Lines are compare
 the line without outer white space; a block counts from ``MIN_CHARS`` characters on, so a short line
 that two texts happen to share stays.
 
-Pairs come from shared lines. A rare line (in ``RARE`` documents at most) pairs all its documents. Any
-other line pairs each document with the first one that has it, which is exact for that line: what is
-deleted is what an earlier document has. So a line in a third of all documents gives one pair each.
+Pairs come from shared lines. A rare line (in ``RARE`` documents at most) pairs all its documents, so
+only blocks of hot lines (in more documents) are left. Every such block is made of runs: consecutive
+hot lines, as few as reach ``MIN_CHARS`` from their first line on or back from their last. A run pairs
+each document with the first one that has it. Where a run stays after that (it crosses other shared
+lines there), the other holders before the document are tried too, in rounds that double, one of each
+class of documents whose shared lines are the same in the same order: these align alike. So the result
+is that of aligning each document with all earlier ones, while a line in a third of all documents
+gives about one pair each.
 Documents with equal lines are one document for all this; the later ones lose every line.
 
 Only hashes and lengths of lines are joined and aligned; texts stay where they are until their lines
@@ -29,12 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import global_index
 from ..session import cut_lineage
 from .common import GAP_CHARS, LAST_ID, documents, lookup, packed, ship, unpacked
 
 MIN_CHARS = 40
 RARE = 8
 _KEY = ["place", "_t"]
+#: Hashes of runs are polynomials of their lines, so that a run costs the same at any length.
+_PRIME = (1 << 61) - 1
+_BASE = 0x9E3779B97F4A7C1 % _PRIME
 
 
 def _rising(places: Sequence[int]) -> list[int]:
@@ -121,6 +130,80 @@ def _aligner(least: int):
     return run
 
 
+def _windows(sizes: Sequence[int], open_: Sequence[bool], least: int) -> set[tuple[int, int]]:
+    """First and last place of the shortest windows of ``open_`` lines that reach ``least`` characters
+    from their first line on, or back from their last."""
+    out: set[tuple[int, int]] = set()
+    start, first, total = 0, 0, 0
+    for end, ok in enumerate(open_):
+        if not ok:
+            start = first = end + 1
+            total = 0
+            continue
+        total += sizes[end]
+        # ``first``: the last start from which the window to ``end`` is long enough.
+        while total - sizes[first] >= least:
+            total -= sizes[first]
+            first += 1
+        if total >= least:
+            # Starts whose window was too short until now.
+            out.update((k, end) for k in range(start, first + 1))
+            start = max(start, first + 1)
+            out.add((first, end))
+    return out
+
+
+def _runner(least: int):
+    """Runs of hot lines of a document, and a hash of its shared lines in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*_KEY, "lines", "sizes", "hot", "shared")]
+            rows: list[tuple[int, ...]] = []
+            for place, text, lines, sizes, hot, shared in zip(*columns, strict=True):
+                hot, shared = set(hot), set(shared)
+                found = _windows(sizes, [n == 0 or x in hot for x, n in zip(lines, sizes)], least)
+                if not found:
+                    continue
+                sums, powers, form, gap = [0], [1], 0, False
+                for x, n in zip(lines, sizes):
+                    sums.append((sums[-1] * _BASE + x) % _PRIME)
+                    powers.append(powers[-1] * _BASE % _PRIME)
+                    # Lines of no other document only part their neighbours.
+                    own = n > 0 and x not in shared
+                    if not (own and gap):
+                        form = (form * _BASE + (1 if own else x)) % _PRIME
+                    gap = own
+                for i, j in found:
+                    size = j + 1 - i
+                    rows.append((place, text, (sums[j + 1] - sums[i] * powers[size] + size) % _PRIME, form, i, j))
+            made = zip(*rows, strict=True) if rows else [[]] * 6
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+            names = [*_KEY, "run", "form", "i", "j"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(made, kinds, strict=True)], names)
+
+    return run
+
+
+def _aligned(pairs: DataFrame, single: DataFrame, least: int) -> DataFrame:
+    """``place``, ``_t``, ``gone`` of the documents of ``pairs`` that lose lines to ``p``, ``t``."""
+    others = single.select(F.col("place").alias("p"), F.col("_t").alias("t"), F.col("lines").alias("others"))
+    both = pairs.join(others, ["p", "t"]).join(single, _KEY)
+    found = both.select(*_KEY, "lines", "sizes", "others").mapInArrow(_aligner(least), "place bigint, _t bigint, gone array<int>")
+    return cut_lineage(found.filter(F.size("gone") > 0).select(*_KEY, F.explode("gone").alias("g")).groupBy(*_KEY).agg(F.collect_set("g").alias("gone")))
+
+
+def _left(runs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Runs of which a line stays."""
+    inside = F.filter("gone", lambda g: (g >= F.col("i")) & (g <= F.col("j")))
+    whole = F.coalesce(F.size(inside) == F.col("j") - F.col("i") + 1, F.lit(False))
+    return runs.join(gone, _KEY, "left").filter(~whole).drop("gone")
+
+
+def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b).groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+
+
 def _split(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
@@ -149,12 +232,37 @@ def repeated_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) ->
     x, y = keys.filter(F.col("docs") <= rare).alias("x"), keys.filter(F.col("docs") <= rare).alias("y")
     close = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("y.place") < F.col("x.place")))
     pairs = close.select("x.place", "x._t", F.col("y.place").alias("p"), F.col("y._t").alias("t"))
-    star = keys.filter(F.col("first.place") < F.col("place")).select(*_KEY, F.col("first.place").alias("p"), F.col("first._t").alias("t"))
+    marks = keys.groupBy(*_KEY).agg(F.collect_list(F.when(F.col("docs") > rare, F.col("h"))).alias("hot"), F.collect_list("h").alias("shared"))
+    hot = single.join(marks.filter(F.size("hot") > 0), _KEY)
+    runs = hot.select(*_KEY, "lines", "sizes", "hot", "shared").mapInArrow(_runner(least), "place bigint, _t bigint, run bigint, form bigint, i int, j int")
+    runs = cut_lineage(runs)
+    forms = cut_lineage(runs.groupBy("run", "form").agg(F.min(F.struct(*_KEY)).alias("holder")))
+    firsts = forms.groupBy("run").agg(F.min("holder").alias("first"), F.count("*").alias("forms"))
+    runs = cut_lineage(runs.join(firsts, "run").filter(F.col("first.place") < F.col("place")))
+    star = runs.select(*_KEY, F.col("first.place").alias("p"), F.col("first._t").alias("t"))
     pairs = cut_lineage(pairs.unionByName(star).distinct())
-    others = single.select(F.col("place").alias("p"), F.col("_t").alias("t"), F.col("lines").alias("others"))
-    both = pairs.join(others, ["p", "t"]).join(single, _KEY)
-    found = both.select(*_KEY, "lines", "sizes", "others").mapInArrow(_aligner(least), "place bigint, _t bigint, gone array<int>")
-    gone = found.filter(F.size("gone") > 0).select(*_KEY, F.explode("gone").alias("g")).groupBy(*_KEY).agg(F.collect_set("g").alias("gone"))
+    gone = _aligned(pairs, single, least)
+    # Runs that stay although other holders are left to try.
+    runs = cut_lineage(_left(runs.filter("forms > 1").drop("form", "first", "forms"), gone))
+    if runs.limit(1).count():
+        numbered = forms.join(runs.select("run").distinct(), "run")
+        numbered = global_index(numbered, [F.col("run"), F.col("holder.place"), F.col("holder._t"), F.col("form")], "_idx")
+        numbered = cut_lineage(numbered.join(numbered.groupBy("run").agg(F.min("_idx").alias("_first")), "run").withColumn("rank", F.col("_idx") - F.col("_first")))
+        low, step = 1, 1
+        while True:
+            ahead = numbered.filter(F.col("rank") >= low).withColumnRenamed("run", "_run")
+            earlier = (F.col("run") == F.col("_run")) & (F.col("holder.place") < F.col("place"))
+            # A run that has no holder left falls out.
+            ranks = ahead.groupBy("_run").agg(F.min("holder.place").alias("_next"))
+            runs = cut_lineage(runs.join(ranks, (F.col("run") == F.col("_run")) & (F.col("_next") < F.col("place"))).drop("_run", "_next"))
+            if not runs.limit(1).count():
+                break
+            tried = runs.join(ahead.filter(F.col("rank") < low + step), earlier)
+            tried = tried.select(*_KEY, F.col("holder.place").alias("p"), F.col("holder._t").alias("t"))
+            more = _aligned(cut_lineage(tried.distinct().join(pairs, [*_KEY, "p", "t"], "left_anti")), single, least)
+            gone = cut_lineage(_merged(gone, more))
+            runs = _left(runs, gone)
+            low, step = low + step, 2 * step
     nothing = F.lit(None).cast("array<int>").alias("gone")
     return gone.select(*_KEY, F.lit(False).alias("whole"), "gone").unionByName(copies.select(*_KEY, F.lit(True).alias("whole"), nothing))
 

@@ -295,3 +295,51 @@ def test_odd_documents(spark, corpus, empty, name):
         docs = cut_lineage(out)
     out = STAGES[-1][1](spark, docs, "")
     assert out.columns[:2] == ["doc_id", "n_tokens"] and out.count() == docs.count()
+
+
+def all_pairs(texts, least=line_dedup.MIN_CHARS):
+    """Texts after aligning each with all of a smaller id."""
+    lines = {i: [x.strip() for x in t.split("\n")] for i, t in texts}
+    out = {}
+    for i, t in texts:
+        before = [lines[k] for k, _ in texts if k < i]
+        sizes = [len(x) for x in lines[i]]
+        if sum(sizes) >= least and lines[i] in before:
+            out[i] = ""
+            continue
+        gone = {g for other in before for g in line_dedup.common_blocks(lines[i], other, sizes, least)}
+        out[i] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone) if gone else t
+    return out
+
+
+def same_as_all_pairs(spark, texts):
+    made = line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    got, want = {r["doc_id"]: r["text"] for r in made.collect()}, all_pairs(texts)
+    assert {i for i in want if got[i] != want[i]} == set()
+    return got
+
+
+def test_blocks_of_hot_lines_are_found_in_any_holder(spark):
+    a, b = "a hot line of thirty letters 1", "a hot line of thirty letters 2"
+    texts = [(1, a), (2, b), *[(k, f"own {k}\n{a}\n{b}\nend {k}") for k in range(3, 13)]]
+    got = same_as_all_pairs(spark, texts)
+    assert [got[k] for k in (3, 4, 12)] == [texts[2][1], "own 4\nend 4", "own 12\nend 12"]
+    # The first holder has the two lines in the other order, so one of them crosses.
+    a, b = a + " and some more", b + " and some more"
+    same_as_all_pairs(spark, [(1, f"{b}\nfirst\n{a}"), *[(k, f"{a}\nown {k}\n{b}") for k in range(2, 14)]])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_equals_all_pairs(spark, seed):
+    dice = random.Random(seed)
+    hot = [f"hot {k} " + "h" * dice.choice([5, 12, 25, 50]) for k in range(9)] + [""]
+    rare = [f"rare {k} " + "r" * dice.choice([5, 30, 60]) for k in range(30)]
+    texts = []
+    for i in range(150):
+        pool = [*dice.choices(hot, k=dice.randint(2, 7)), *dice.choices(rare, k=dice.randint(0, 2)), *[f"own {i} {k}" for k in range(dice.randint(0, 2))]]
+        if dice.random() < 0.6:
+            pool.sort()
+        else:
+            dice.shuffle(pool)
+        texts.append((i, "\n".join(pool)))
+    same_as_all_pairs(spark, texts)
