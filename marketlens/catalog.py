@@ -744,14 +744,13 @@ def _(spark, folder):
     return rows.select(*TRAINING_KEYS, "quarter", "quarter_1", "quarter_2", "quarter_3", "quarter_4")
 
 
-def regression(spark, folder, trees=20, depth=8, rounds=10, boost_depth=4):
-    """Split of rows whose lags do not hold the target, and fitted models. The model sizes are below the defaults (100 trees of depth
-    15, 100 rounds of depth 6), which take minutes on one machine."""
+def regression(spark, folder, wanted=None):
+    """Split of rows whose lags do not hold the target, and the ``wanted`` models (default: all), fitted at their default sizes."""
     built = features.build_features(training_rows(spark, folder, lags_first=True))
     names = features.available_features(built)
     whole = features.complete_rows(built, [*names, features.TARGET])
     split = cut_lineage(features.chronological_split(whole))
-    plans = models.pipelines(names, trees=trees, depth=depth, rounds=rounds, boost_depth=boost_depth)
+    plans = {name: plan for name, plan in models.pipelines(names).items() if wanted is None or name in wanted}
     return split, names, models.fit_all(split, plans, [*names, features.TARGET])
 
 
@@ -763,7 +762,7 @@ def _(spark, folder):
 
 @query("feature_importance")
 def _(spark, folder):
-    _, names, fitted = regression(spark, folder)
+    _, names, fitted = regression(spark, folder, ("random_forest", "gradient_boosting"))
     return models.importance(spark, fitted, names)
 
 

@@ -256,3 +256,22 @@ def test_backtest_scores_all_models_on_the_same_rows(spark):
     assert features.available_features(df, names, limit=4) == list(names)
     with pytest.raises(ValueError):
         features.available_features(df, names, limit=3)
+
+
+def test_registered_regressors_have_the_default_sizes(spark, monkeypatch):
+    from marketlens import catalog
+
+    seen = {}
+
+    def fit_all(split, plans, columns):
+        seen.update({name: plan.getStages()[-1] for name, plan in plans.items()})
+        raise InterruptedError
+
+    monkeypatch.setattr(catalog.models, "fit_all", fit_all)
+    for name in ("train_regressors", "feature_importance", "best_model", "regression_batch"):
+        seen.clear()
+        with pytest.raises(InterruptedError):
+            catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        forest, boost = seen["random_forest"], seen["gradient_boosting"]
+        assert (forest.getNumTrees(), forest.getMaxDepth(), boost.getMaxIter(), boost.getMaxDepth()) == (100, 15, 100, 6)
+        assert ("linear_regression" in seen) == (name != "feature_importance")
