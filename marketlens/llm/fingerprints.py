@@ -2,7 +2,7 @@
 
 A text is cut after every newline and after every space that follows a punctuation mark; the pieces
 joined in order are the text again. Each piece is hashed to a wide vector of 0/1 lanes, and the
-fingerprint of a text is the sum of the vectors of its pieces: lanes of 16 bits, three to a word,
+fingerprint of a text is the sum of the vectors of its pieces: lanes of 30 bits, two to a word,
 modulo 2^60 per word, behind three words that count the pieces and sum their full hashes. So the
 fingerprint does not depend on the order of pieces, and pieces are put in or taken out by adding or
 subtracting their vectors. All steps are built-in expressions: pieces become rows, and the sums are
@@ -28,8 +28,11 @@ from ..session import cut_lineage
 from .common import LAST_ID, documents
 
 HASHES = 3
-SHIFTS = 16
-LANES = HASHES * SHIFTS * 3
+SHIFTS = 24
+#: A lane has room for 2^30 - 1 pieces, more than a text has.
+LANE_BITS = 30
+PER_WORD = 2
+LANES = HASHES * SHIFTS * PER_WORD
 HEAD = 3
 WIDTH = HEAD + HASHES * SHIFTS
 #: Cut after a newline, and after a space behind a mark that is no letter, digit or space.
@@ -37,7 +40,8 @@ CUT = r"(?<=\n)|(?<=[^\p{L}\p{N}\s] )"
 #: Rows that one neighbour group holds, about.
 GROUP_ROWS = 2_000
 MAX_GROUPS = 100_000
-_LANES = (1 << 32) | (1 << 16) | 1
+_LANES = (1 << LANE_BITS) | 1
+_LANE = (1 << LANE_BITS) - 1
 _WORD = (1 << 60) - 1
 
 
@@ -52,8 +56,8 @@ def pieces(text: Column) -> Column:
 def vectors(df: DataFrame, texts: dict[str, str], key: str) -> DataFrame:
     """One row per ``key`` with a vector for each text column of ``texts`` (column: name).
 
-    The upper lane of a word has room for 2^31 pieces, so sums do not overflow; a lower lane with
-    more than 65,535 pieces carries into the next, which moves a likeness by less than its error.
+    No lane carries into the next: Spark holds a text's pieces in one array, of fewer bytes than 2^31
+    at 8 and more a piece.
     """
     def marked(i: int, text: str) -> Column:
         return F.transform(pieces(F.col(text)), lambda x: F.struct(F.lit(i).alias("i"), x.alias("p")))
@@ -92,8 +96,8 @@ def centred(vector: Column) -> Column:
     """Lanes as signed numbers: 2 * count - pieces."""
     n = F.get(vector, F.lit(0))
     words = F.slice(vector, HEAD + 1, HASHES * SHIFTS)
-    lane = lambda x, k: F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(0xFFFF)) * 2 - n
-    return F.flatten(F.transform(words, lambda x: F.array(*[lane(x, k) for k in range(3)])))
+    lane = lambda x, k: F.shiftrightunsigned(x, LANE_BITS * k).bitwiseAND(F.lit(_LANE)) * 2 - n
+    return F.flatten(F.transform(words, lambda x: F.array(*[lane(x, k) for k in range(PER_WORD)])))
 
 
 def _dot(a: Column, b: Column) -> Column:
