@@ -8,6 +8,7 @@ from . import (
     host_rules,
     jaccard,
     line_dedup,
+    minhash,
     mixing,
     personal_data,
     pieces,
@@ -26,5 +27,6 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_substrings": substrings.op9_substrings,
     "op10_personal_data": personal_data.op10_personal_data,
+    "op13_near_dedup": minhash.op13_near_dedup,
 }
-ORACLE = {"op2_fixity": fixity.SQL, "op9_substrings": substrings.SQL, "op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL}
+ORACLE = {"op2_fixity": fixity.SQL, "op9_substrings": substrings.SQL, "op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op13_near_dedup": minhash.SQL}
