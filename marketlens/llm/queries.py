@@ -10,8 +10,10 @@ from . import (
     line_dedup,
     minhash,
     mixing,
+    negatives,
     personal_data,
     pieces,
+    spelling,
     substrings,
     toxicity,
 )
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_substrings": substrings.op9_substrings,
     "op10_personal_data": personal_data.op10_personal_data,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
+    "op12_spelling": spelling.op12_spelling,
     "op13_near_dedup": minhash.op13_near_dedup,
 }
-ORACLE = {"op2_fixity": fixity.SQL, "op9_substrings": substrings.SQL, "op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op13_near_dedup": minhash.SQL}
+ORACLE = {"op2_fixity": fixity.SQL, "op9_substrings": substrings.SQL, "op1_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op4_host_rules": host_rules.SQL, "op11_hard_negatives": negatives.SQL, "op12_spelling": spelling.SQL, "op13_near_dedup": minhash.SQL}
