@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.numeric import pct_change, round_to
-from .operators import accuracy, aggregates, features, forecast, models, quality, ranking
+from .operators import accuracy, aggregates, features, forecast, models, quality, ranking, structural
 from .operators import series as ts
 from .plans import batch, checks, control, dims, facts, marts, report, staging
-from .session import cut_lineage, prepare
-from .sources import links, sinks, stations, tables
+from .session import cut_lineage, prepare, shared_folder
+from .sources import bundles, links, sinks, stations, tables
 from .sources.tables import AS_OF, START_YEAR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,35 +284,34 @@ def _(spark, folder):
 @query("dq_summary")
 def _(spark, folder):
     """All declared checks of the staging views, two dimensions and the weather fact."""
-    staged, observed = stg_trades(spark, folder), stg_weather(spark, folder)
-    stations = dims.dim_station(observed)
     suite = {
-        "stg_trades": staged,
-        "stg_weather": observed,
-        "stg_predictions": stg_predictions(spark, folder),
-        "dim_market": dims.dim_market(staged),
-        "dim_station": stations,
-        "fact_weather_daily": facts.fact_weather_daily(observed, stations),
+        "stg_trades": lambda _: stg_trades(spark, folder),
+        "stg_weather": lambda _: stg_weather(spark, folder),
+        "stg_predictions": lambda _: stg_predictions(spark, folder),
+        "dim_market": lambda saved: dims.dim_market(saved["stg_trades"]),
+        "dim_station": lambda saved: dims.dim_station(saved["stg_weather"]),
+        "fact_weather_daily": lambda saved: facts.fact_weather_daily(saved["stg_weather"], saved["dim_station"]),
     }
-    return checks.run_suite(suite, checks.declared(1996, 2002, stations))
+    return quality.run_suite(suite, checks.declared(1996, 2002))
 
 
 @query("dq_summary_marts")
 def _(spark, folder):
     """All declared checks of the other dimensions, facts and marts."""
-    staged, sums, predicted = stg_trades(spark, folder), cube(spark, folder), fact_predictions(spark, folder)
-    prices = price_weather(spark, folder, sums)
     suite = {
-        "dim_location": dims.dim_location(staged),
-        "dim_time": dims.time_attributes(tables.trades(spark, folder).select("year", "month").distinct(), AS_OF),
-        "dim_item": dims.dim_item(staged),
-        "fact_predictions": predicted,
-        "mart_price_weather": prices,
-        "mart_seasonal": marts.mart_seasonal(sums),
-        "price_movement": movement(spark, folder),
-        "mart_dashboard": marts.mart_dashboard(predicted, prices, AS_OF, START_YEAR),
+        "stg_trades": lambda _: stg_trades(spark, folder),
+        "price_cube": lambda saved: aggregates.price_cube(saved["stg_trades"]),
+        "dim_location": lambda saved: dims.dim_location(saved["stg_trades"]),
+        "dim_time": lambda _: dims.time_attributes(tables.trades(spark, folder).select("year", "month").distinct(), AS_OF),
+        "dim_item": lambda saved: dims.dim_item(saved["stg_trades"]),
+        "fact_predictions": lambda _: fact_predictions(spark, folder),
+        "mart_price_weather": lambda saved: price_weather(spark, folder, saved["price_cube"]),
+        "mart_seasonal": lambda saved: marts.mart_seasonal(saved["price_cube"]),
+        "price_movement": lambda saved: facts.fact_price_movement(saved["stg_trades"], START_YEAR),
+        "mart_dashboard": lambda saved: marts.mart_dashboard(saved["fact_predictions"], saved["mart_price_weather"], AS_OF, START_YEAR),
     }
-    return checks.run_suite({name: cut_lineage(df) for name, df in suite.items()}, checks.declared(1996, 2002))
+    rules = checks.declared(1996, 2002)
+    return quality.run_suite(suite, {name: rules[name] for name in suite if name not in ("stg_trades", "price_cube")})
 
 
 @query("content_score")
@@ -460,12 +460,39 @@ def _(spark, folder):
     return aggregates.frequent_items(monthly, "item_name", START_YEAR, 24, 20)
 
 
+@query("ordered_months")
+def _(spark, folder):
+    """Monthly trades with their place in the order of an export, numbered without a single-task sort."""
+    keys = ["year", "month", "item_name", "market", "origin", "major_category", "sub_category"]
+    monthly = aggregates.monthly_trades(stg_trades(spark, folder)).select(*keys, "avg_unit_price_yen")
+    return rounded(ranking.global_index(monthly, [F.col(c).asc_nulls_first() for c in keys], "position"), ["avg_unit_price_yen"])
+
+
+@query("calendar_years")
+def _(spark, folder):
+    """The calendar from the first year of trades to the one after the last, whether or not a month has trades."""
+    first, last = tables.trades(spark, folder).agg(F.min("year"), F.max("year")).first()
+    return dims.dim_time(spark, AS_OF, int(first), int(last) + 1)
+
+
+@query("load_tasks")
+def _(spark, folder):
+    """Every observed station with every month of the whole observed time."""
+    observed = stg_weather(spark, folder)
+    span = observed.agg(F.min("observation_date").alias("start_date"), F.max("observation_date").alias("end_date"))
+    return links.task_grid(dims.dim_station(observed).select("station_id", "region"), links.month_slices(span))
+
+
 # -- series ---------------------------------------------------------------------------
 
 ITEM = ["item_name"]
 ORDER = list(batch.ROW_ORDER)
 ROW_KEYS = ["item_name", "market", "origin", "sub_category", "profile_category", "year", "month"]
 GAPS = ["avg_temperature", "yoy_price_growth_rate"]
+REPAIRED = [
+    "y", "total_quantity_kg", "total_amount_yen", "yoy_price_growth_rate", "mom_price_growth_rate", "price_3month_moving_avg",
+    "avg_temperature", "total_precipitation", "avg_wind_speed", "seasonal_price_index", "seasonal_quantity_index",
+]
 
 
 def series_frame(spark, folder):
@@ -490,6 +517,14 @@ def shown(series, *columns):
 query("series_extract")(series_frame)
 
 
+@query("series_chosen")
+def _(spark, folder):
+    """The series of one item in one market, by parameters."""
+    sums = cube(spark, folder)
+    item, market = sums.agg(F.min("item_name"), F.max("market")).first()
+    return features.series_frame(price_weather(spark, folder, sums), seasonal(spark, folder, sums), item=item, market=market)
+
+
 @query("lag_matrix")
 def _(spark, folder):
     series, _ = item_series(spark, folder)
@@ -535,6 +570,15 @@ def _(spark, folder):
     return shown(ts.fill_gaps(series, GAPS), *GAPS)
 
 
+@query("repaired_series")
+def _(spark, folder):
+    """All numeric columns of a series repaired, with its lags, means, change and trend."""
+    series, fits = item_series(spark, folder)
+    numeric = series.with_df(series.df.withColumns({c: F.col(c).cast("double") for c in REPAIRED}))
+    repaired = ts.repair(numeric, REPAIRED, fits=fits)
+    return shown(repaired, *REPAIRED, "y_lag1", "y_lag3", "y_ma3", "y_ma6", "y_pct_change", "trend", "y_detrended")
+
+
 @query("smooth_series")
 def _(spark, folder):
     series, _ = item_series(spark, folder)
@@ -646,6 +690,13 @@ query("forecast_trend_seasonal")(seasonal_trend("additive"))
 query("forecast_trend_multiplicative")(seasonal_trend("multiplicative"))
 
 
+@query("forecast_trend_regressors")
+def _(spark, folder):
+    """Trend, months, events, temperature, rain and growth per item, six months ahead."""
+    series, fits = item_series(spark, folder)
+    return rounded(structural.forecast_structural(series, 6, fits=fits), ["y_pred", "lower", "upper"], 4)
+
+
 @query("forecast_projection")
 def _(spark, folder):
     latest = batch.latest_prices(price_weather(spark, folder))
@@ -677,13 +728,20 @@ def _(spark, folder):
 @query("forecast_autoregressive")
 def _(spark, folder):
     series, _ = market_series(spark, folder)
-    return forecast.forecast_autoregression(series, 6)
+    return rounded(forecast.forecast_autoregression(series, 6), ["aic", "sigma", "y_pred", "lower", "upper"], 4).drop("lags")
 
 
 @query("forecast_recursive")
 def _(spark, folder):
     series, _ = market_series(spark, folder)
-    return batch.forecasts(series, 6, ["pooled"])
+    return rounded(batch.forecasts(series, 6, ["pooled"]), ["y_pred"], 4)
+
+
+@query("forecast_recursive_boosted")
+def _(spark, folder):
+    """The recursion with boosted trees instead of a linear model."""
+    series, _ = market_series(spark, folder)
+    return batch.forecasts(series, 6, ["pooled"], method="boosted")
 
 
 @query("backtest")
@@ -691,6 +749,38 @@ def _(spark, folder):
     return batch.backtest(series_frame(spark, folder))
 
 
+@query("backtest_status")
+def _(spark, folder):
+    """Which model could be scored on which series, and why not."""
+    return batch.backtest_parts(series_frame(spark, folder))[1]
+
+
+def all_predictions(spark, folder):
+    """Time-series rows of three models and rows of the regression, as one batch."""
+    generated = f"{AS_OF} 00:00:00"
+    split, _, fitted = regression(spark, folder, ("linear_regression",))
+    best = models.best_model(models.evaluate_all(split, fitted))
+    projected = forecast.projection(batch.latest_prices(price_weather(spark, folder)), 6)
+    regressed = batch.regression_rows(projected, best, split.count(), generated)
+    return batch.merge_predictions(batch.run_time_series(series_frame(spark, folder), generated), regressed)
+
+
+@query("prediction_union")
+def _(spark, folder):
+    return all_predictions(spark, folder).select(
+        "prediction_id", "item_name", "model_type", "model_version", "prediction_date", "training_data_points", "confidence_interval"
+    )
+
+
+@query("batch_metadata")
+def _(spark, folder):
+    """The metadata record of a merged batch, written as a line and read again, beside counts per model."""
+    predictions = cut_lineage(all_predictions(spark, folder))
+    record = sinks.latest_metadata(sinks.metadata_rows(predictions, dt.date.fromisoformat(AS_OF)))
+    # One row.
+    return batch.describe(predictions).withColumn("_k", F.lit(1)).join(F.broadcast(record.withColumn("_k", F.lit(1))), "_k").drop("_k")
+
+
 @query("prediction_batch")
 def _(spark, folder):
     """Time-series prediction rows of all items with three models."""
@@ -754,6 +844,32 @@ def regression(spark, folder, wanted=None):
     return split, names, models.fit_all(split, plans, [*names, features.TARGET])
 
 
+@query("model_bundle")
+def _(spark, folder):
+    """Facts of a saved and reloaded bundle: manifest, code table and the rows it scores.
+
+    The features are learnt from the training rows only; the test rows are scored by the reloaded bundle.
+    """
+    rows = features.chronological_split(training_rows(spark, folder, lags_first=True))
+    rows = cut_lineage(rows)
+    state = features.fit_features(rows.filter("is_train"))
+    built = features.apply_features(rows, state)
+    names = features.available_features(built)
+    split = cut_lineage(features.complete_rows(built, [*names, features.TARGET]))
+    plan = {"linear_regression": models.pipelines(names)["linear_regression"]}
+    fitted = models.fit_all(split, plan, [*names, features.TARGET])
+    base = f"{shared_folder(spark)}/marketlens/{spark.sparkContext.applicationId}/bundles-{uuid.uuid4().hex}"
+    as_of = dt.date.fromisoformat(AS_OF)
+    bundles.save_bundle(base, f"{as_of:%Y%m}", fitted, state, names, split, as_of)
+    bundle = bundles.load_bundle(spark, base)
+    scored = bundle.score(rows.filter("not is_train")).agg(F.count("y_pred").alias("scored_rows"))
+    shown = bundles.manifests(spark, base).select(
+        "version", "best_model", F.size("features").alias("features"), "code_rows", "train_rows", "test_rows", "train_end", "test_start"
+    )
+    # One row each.
+    return shown.withColumn("_k", F.lit(1)).join(F.broadcast(scored.withColumn("_k", F.lit(1))), "_k").drop("_k")
+
+
 @query("train_regressors")
 def _(spark, folder):
     split, _, fitted = regression(spark, folder)

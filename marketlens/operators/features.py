@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -139,15 +140,24 @@ def price_volatility(source: str = TARGET) -> Column:
     return F.coalesce(F.stddev_samp(source).over(w), F.lit(0.0))
 
 
-def month_deviation(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+def month_means(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Means of the calendar months, twelve rows at most."""
+    return df.groupBy("month").agg(*[F.avg(c).alias(f"_m_{c}") for c in columns])
+
+
+def deviation_from(df: DataFrame, means: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Difference from the mean of the calendar month, 0 where unknown."""
-    means = df.groupBy("month").agg(*[F.avg(c).alias(f"_m_{c}") for c in columns])
     # At most twelve rows.
-    out = df.join(F.broadcast(means), "month")
+    out = df.join(F.broadcast(means), "month", "left")
     shown = {name: F.coalesce(F.col(c) - F.col(f"_m_{c}"), F.lit(0.0)) for c, name in columns.items()}
     return out.withColumns(shown).drop(*[f"_m_{c}" for c in columns])
 
 
+def month_deviation(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Difference from the mean of the calendar month of the same rows, 0 where unknown."""
+    return deviation_from(df, month_means(df, columns), columns)
+
+
 def trend_sign(growth: str = "mom_price_growth_rate", limit: float = 5.0) -> Column:
     g = F.coalesce(F.col(growth), F.lit(0.0))
     return F.when(g > limit, 1).when(g < -limit, -1).otherwise(0).cast("bigint")
@@ -157,14 +167,36 @@ def quarter_dummies(df: DataFrame, column: str = "quarter") -> DataFrame:
     return df.withColumns({f"{column}_{i}": (F.col(column) == i).cast("bigint") for i in range(1, 5)})
 
 
-def build_features(rows: DataFrame) -> DataFrame:
-    """All derived feature columns."""
+DEVIATIONS = {"avg_temperature": "temperature_deviation", "total_precipitation": "precipitation_deviation"}
+
+
+@dataclass(frozen=True)
+class FeatureState:
+    """What features learn from the training rows: code tables and means of the calendar months."""
+
+    codes: DataFrame
+    means: DataFrame
+
+
+def fit_features(rows: DataFrame) -> FeatureState:
+    """Code tables of the text columns and month means. Save them with a model that is fitted on the features."""
+    return FeatureState(fit_codes(rows, TEXT_COLUMNS), month_means(rows, DEVIATIONS))
+
+
+def apply_features(rows: DataFrame, state: FeatureState) -> DataFrame:
+    """All derived feature columns of ``rows``, by values learnt from other rows.
+
+    Values without a code get -1; in a month without a mean the deviation is 0.
+    """
     out = rows.withColumn("price_volatility", price_volatility())
-    out = month_deviation(
-        out, {"avg_temperature": "temperature_deviation", "total_precipitation": "precipitation_deviation"}
-    )
+    out = deviation_from(out, state.means, DEVIATIONS)
     out = quarter_dummies(out.withColumn("price_trend", trend_sign()))
-    return encode_ordinal(out, TEXT_COLUMNS)
+    return apply_codes(out, state.codes, TEXT_COLUMNS)
+
+
+def build_features(rows: DataFrame) -> DataFrame:
+    """All derived feature columns, learnt from and applied to the same rows."""
+    return apply_features(rows, fit_features(rows))
 
 
 def available_features(df: DataFrame, wanted: Sequence[str] = FEATURES, limit: int = 50) -> list[str]:

@@ -6,19 +6,21 @@ of a series (its moments, its last values) goes through small Arrow batches.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocabulary as V
 from ..functions.numeric import ratio, round_to
+from ..session import cut_lineage
 from . import ranking
 from .aggregates import month_climatology
 from .series import Series, last_rows
@@ -119,23 +121,42 @@ class TrendSeason:
 
 def fit_trend_season(rows: DataFrame, keys: Sequence[str], mode: str = "additive", y: str = "y") -> TrendSeason:
     """Least-squares line over time, mean residual (or ratio) per calendar month, and the
-    deviation of what is left."""
+    deviation of what is left.
+
+    All of it follows from number, mean and squares of each month, so the rows are read once and a key
+    is reduced to its months before anything is joined.
+    """
     if mode not in ("additive", "multiplicative"):
         raise ValueError(f"unknown mode {mode!r}")
     keys = tuple(keys)
-    t = month_number(F.col("year"), F.col("month"))
+    value = F.col(y).cast("double")
+    cells = rows.filter(F.col(y).isNotNull()).groupBy(*keys, "year", "month").agg(
+        F.count(F.lit(1)).cast("double").alias("_n"), F.avg(value).alias("_y"), F.var_pop(value).alias("_v")
+    )
+    cells = cut_lineage(cells.withColumn("_t", month_number(F.col("year"), F.col("month"))))
+    n, t, mean = F.col("_n"), F.col("_t"), F.col("_y")
+    sums = cells.groupBy(*keys).agg(
+        F.sum(n).alias("_count"), (F.sum(n * t) / F.sum(n)).alias("_mt"), (F.sum(n * mean) / F.sum(n)).alias("_my"),
+        F.sum(n * t * t).alias("_tt"), F.sum(n * t * mean).alias("_ty"), (F.max(t) > F.min(t)).alias("_moves"),
+    )
     # With all rows in one month there is no slope; the level is then the mean.
-    lines = rows.groupBy(*keys).agg(
-        F.regr_slope(y, t).alias("_s"), F.regr_intercept(y, t).alias("_i"), F.avg(y).alias("_m")
-    ).select(*keys, F.coalesce("_s", F.lit(0.0)).alias("_slope"), F.coalesce("_i", "_m").alias("_base"))
-    fitted = ranking.join_groups(rows, lines, keys)
+    across = (F.col("_ty") - F.col("_count") * F.col("_mt") * F.col("_my")) / (F.col("_tt") - F.col("_count") * F.col("_mt") * F.col("_mt"))
+    lines = sums.withColumn("_slope", F.when(F.col("_moves"), across).otherwise(0.0))
+    lines = lines.select(*keys, "_slope", (F.col("_my") - F.col("_slope") * F.col("_mt")).alias("_base"))
     line = F.col("_base") + F.col("_slope") * t
-    rest = ratio(y, line) if mode == "multiplicative" else F.col(y) - line
-    fitted = fitted.withColumns({"_line": line, "_rest": rest})
-    effects = fitted.groupBy(*keys, "month").agg(F.avg("_rest").alias("_effect"))
+    fitted = ranking.join_groups(cells, lines, keys).withColumn("_line", line)
+    rest = ratio("_y", "_line") if mode == "multiplicative" else mean - F.col("_line")
+    fitted = fitted.withColumn("_rest", rest)
+    known = F.when(F.col("_rest").isNotNull(), n)
+    effects = fitted.groupBy(*keys, "month").agg(F.try_divide(F.sum(known * F.col("_rest")), F.sum(known)).alias("_effect"))
     seen = ranking.join_groups(fitted, effects, [*keys, "month"])
     model = F.col("_line") * F.col("_effect") if mode == "multiplicative" else F.col("_line") + F.col("_effect")
-    spread = seen.groupBy(*keys).agg(F.stddev_samp(F.col(y) - model).alias("_sd"))
+    left = mean - model
+    moments = seen.groupBy(*keys).agg(
+        F.sum(n).alias("_count"), F.sum(n * left).alias("_sum"), F.sum(n * (F.col("_v") + left * left)).alias("_squares")
+    )
+    square = (F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_count")) / (F.col("_count") - 1)
+    spread = moments.select(*keys, F.when(F.col("_count") > 1, F.sqrt(F.greatest(square, F.lit(0.0)))).alias("_sd"))
     return TrendSeason(ranking.join_groups(lines, spread, keys), effects, keys, mode)
 
 
@@ -195,6 +216,10 @@ _BINOMIAL = {0: (1,), 1: (1, -1), 2: (1, -2, 1)}
 _TAIL = max(o.reach for o in ORDERS) + 1
 _FIT = T.StructType(
     [
+        T.StructField("p", T.IntegerType()),
+        T.StructField("d", T.IntegerType()),
+        T.StructField("seasonal", T.BooleanType()),
+        T.StructField("lags", T.ArrayType(T.IntegerType())),
         T.StructField("coef", T.ArrayType(T.DoubleType())),
         T.StructField("aic", T.DoubleType()),
         T.StructField("sigma", T.DoubleType()),
@@ -208,33 +233,72 @@ def _back(k: int) -> Column:
     return F.col(f"_y{k}")
 
 
-def _difference(k: int, d: int) -> Column:
-    """The series differenced ``d`` times, ``k`` rows back."""
-    terms = [_back(k + i) * w for i, w in enumerate(_BINOMIAL[d])]
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return total
-
-
-@F.pandas_udf(_FIT)
-def _solve(moments: pd.Series, lags: pd.Series) -> pd.DataFrame:
-    """Least squares from the moments of [1, regressors, target] of one series and order."""
-    rows = []
-    for flat, used in zip(moments, lags):
-        size = int((np.sqrt(8 * len(flat) + 1) - 1) / 2)
-        square = np.zeros((size, size))
-        square[np.triu_indices(size)] = np.asarray(flat, dtype=float)
-        square = square + np.triu(square, 1).T
-        n, k = square[0, 0], int(used) + 1
-        if not np.isfinite(square).all() or n <= k + 1:
-            rows.append((None, None, None))
-            continue
-        xx, xy, yy = square[:k, :k], square[:k, -1], square[-1, -1]
-        coef = np.linalg.lstsq(xx, xy, rcond=None)[0]
-        rss = max(float(yy - 2 * coef @ xy + coef @ xx @ coef), 1e-12 * max(yy, 1.0))
-        rows.append((coef.tolist(), float(n * np.log(rss / n) + 2 * (k + 1)), float(np.sqrt(rss / (n - k)))))
-    return pd.DataFrame(rows, columns=["coef", "aic", "sigma"])
+def _reached(orders: Sequence[Order]) -> list[int]:
+    """Rows back whose values the orders use."""
+    return sorted({k + i for o in orders for k in (0, *o.lags) for i in range(o.d + 1)})
+
+
+def _symmetric(flat: np.ndarray) -> np.ndarray:
+    """Full matrices from the rows of their upper triangles."""
+    size = int((np.sqrt(8 * flat.shape[1] + 1) - 1) / 2)
+    out = np.zeros((len(flat), size, size))
+    row, column = np.triu_indices(size)
+    out[:, row, column] = out[:, column, row] = flat
+    return out
+
+
+def _design(order: Order, back: Sequence[int]) -> np.ndarray:
+    """Constant, regressors and target of an order as sums of [1, values ``back`` rows back]."""
+    out = np.zeros((2 + len(order.lags), 1 + len(back)))
+    out[0, 0] = 1.0
+    for i, lag in enumerate((*order.lags, 0), 1):
+        for j, weight in enumerate(_BINOMIAL[order.d]):
+            out[i, 1 + back.index(lag + j)] = weight
+    return out
+
+
+def _fit_order(gram: np.ndarray, design: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coefficients, AIC (infinite: too few rows) and residual deviation of one order for all series."""
+    square = design @ gram @ design.T
+    n, k = square[:, 0, 0], len(design) - 1
+    xx, xy, yy = square[:, :k, :k], square[:, :k, -1], square[:, -1, -1]
+    coef = (np.linalg.pinv(xx, rcond=k * np.finfo(float).eps, hermitian=True) @ xy[:, :, None])[:, :, 0]
+    rss = yy - 2 * (coef * xy).sum(1) + ((xx @ coef[:, :, None])[:, :, 0] * coef).sum(1)
+    rss = np.maximum(rss, 1e-12 * np.maximum(yy, 1.0))
+    enough = n > k + 1
+    rows = np.where(enough, n, k + 2)
+    aic = np.where(enough, rows * np.log(rss / rows) + 2 * (k + 1), np.inf)
+    return coef, aic, np.sqrt(rss / (rows - k))
+
+
+def _best_order(orders: Sequence[Order], back: Sequence[int]):
+    designs = [_design(o, back) for o in orders]
+
+    @F.pandas_udf(_FIT)
+    def solve(moments: pd.Series, mean: pd.Series, long: pd.Series) -> pd.DataFrame:
+        """The order of smallest AIC for every series. All orders read the series' one matrix of lag
+        products, since differences and lags are sums of its columns."""
+        gram = _symmetric(np.array(moments.tolist(), dtype=float))
+        known = np.isfinite(gram).all(axis=(1, 2))
+        gram[~known] = 0
+        fits = [_fit_order(gram, design) for design in designs]
+        aic = np.array([f[1] for f in fits])
+        aic[np.array([o.seasonal for o in orders])[:, None] & ~long.to_numpy(bool)] = np.inf
+        aic[:, ~known] = np.inf
+        best = aic.argmin(axis=0)
+        rows = []
+        for i, (at, shift) in enumerate(zip(best, mean)):
+            order = orders[at]
+            if not np.isfinite(aic[at, i]):
+                rows.append((None,) * 7)
+                continue
+            coef = fits[at][0][i].copy()
+            # The constant for values that are not centred; differences have lost the mean anyway.
+            coef[0] += shift * (1 - coef[1:].sum()) if order.d == 0 else 0.0
+            rows.append((order.p, order.d, order.seasonal, list(order.lags), coef.tolist(), float(aic[at, i]), float(fits[at][2][i])))
+        return pd.DataFrame(rows, columns=[f.name for f in _FIT.fields])
+
+    return solve
 
 
 def _level_weights(coef: Sequence[float], lags: Sequence[int], d: int) -> np.ndarray:
@@ -247,26 +311,33 @@ def _level_weights(coef: Sequence[float], lags: Sequence[int], d: int) -> np.nda
     return -poly[1:]
 
 
-def _run(weights: np.ndarray, start: Sequence[float], constant: float, steps: int) -> np.ndarray:
-    """The next values of a recursion; values before ``start`` are not needed."""
-    reach = len(weights)
-    y = np.concatenate([np.asarray(start, dtype=float), np.zeros(steps)])
-    for t in range(len(start), len(y)):
-        y[t] = constant + weights @ y[t - reach : t][::-1]
-    return y[len(start) :]
+def _run(weights: np.ndarray, start: np.ndarray, constant: np.ndarray, steps: int) -> np.ndarray:
+    """The next values of many recursions at once: a row each of weights, last values and constant."""
+    reach = weights.shape[1]
+    y = np.concatenate([start, np.zeros((len(start), steps))], axis=1)
+    for t in range(start.shape[1], y.shape[1]):
+        y[:, t] = constant + (weights * y[:, t - reach : t][:, ::-1]).sum(1)
+    return y[:, start.shape[1] :]
 
 
 @F.pandas_udf(_STEPS)
 def _recur(tail: pd.Series, coef: pd.Series, lags: pd.Series, d: pd.Series, steps: pd.Series) -> pd.DataFrame:
-    """Run the recursion from the last values of a series; and the standard error of every step in
+    """Run the recursions of all series from their last values; and the standard error of every step in
     units of sigma, from the squared weights of an impulse."""
-    out = []
-    for values, c, back, diff, count in zip(tail, coef, lags, d, steps):
-        weights, count = _level_weights(c, [int(k) for k in back], int(diff)), int(count)
-        made = _run(weights, values, float(c[0]), count)
-        impulse = np.concatenate([[1.0], _run(weights, [*[0.0] * len(weights), 1.0], 0.0, max(count - 1, 0))])
-        out.append((made.tolist(), np.sqrt(np.cumsum(impulse[:count] ** 2)).tolist()))
-    return pd.DataFrame(out, columns=["values", "spread"])
+    size, most = len(tail), int(steps.max()) if len(steps) else 0
+    weights, start = np.zeros((size, _TAIL)), np.zeros((size, _TAIL))
+    constant = np.zeros(size)
+    for i, (values, c, back, diff) in enumerate(zip(tail, coef, lags, d)):
+        own = _level_weights(c, [int(k) for k in back], int(diff))
+        weights[i, : len(own)], constant[i] = own, c[0]
+        start[i, _TAIL - len(values) :] = values
+    made = _run(weights, start, constant, most)
+    impulse = np.zeros((size, _TAIL))
+    impulse[:, -1] = 1.0
+    psi = np.concatenate([np.ones((size, 1)), _run(weights, impulse, np.zeros(size), max(most - 1, 0))], axis=1)[:, :most]
+    spread = np.sqrt(np.cumsum(psi**2, axis=1))
+    cut = [int(k) for k in steps]
+    return pd.DataFrame({"values": [m[:k].tolist() for m, k in zip(made, cut)], "spread": [m[:k].tolist() for m, k in zip(spread, cut)]})
 
 
 def _all_known(back: Sequence[int]) -> Column:
@@ -281,51 +352,24 @@ def fit_autoregression(series: Series, source: str = "y", orders: Sequence[Order
 
     ``fit_rows`` names a boolean column that limits the fit (for backtests). All orders that a series
     admits are fitted to the same rows, those where each of them has its lags, so that their AIC can be
-    compared. Values are centred by the mean of the series before they are multiplied.
+    compared. Values are centred by the mean of the series before they are multiplied. A series keeps one
+    matrix of products of its lags, however many orders are tried; no row is repeated.
     """
     keys = list(series.keys)
-    reached = lambda some: sorted({k + i for o in some for k in (0, *o.lags) for i in range(o.d + 1)})
-    need = reached(orders)
+    need = _reached(orders)
     back = series.over(lambda w: {f"_y{k}": F.lag(source, k).over(w) for k in need}, before=max(need)).df
     rows = back if fit_rows is None else back.filter(F.col(fit_rows))
     points = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"), F.avg(_back(0)).alias("_mean"))
     rows = ranking.join_groups(rows, points, keys).withColumns({f"_y{k}": _back(k) - F.col("_mean") for k in need})
     long = F.col("points") > SEASONAL_MIN_ROWS
-    rows = rows.filter(_all_known(reached([o for o in orders if not o.seasonal])) & (~long | _all_known(need)))
-    # One row per order: its regressors and the target; regressors that it lacks are zero.
-    width = max(len(o.lags) for o in orders)
-    names = [f"_r{k}" for k in range(width)]
-    tried = []
-    for i, order in enumerate(orders):
-        values = [_difference(k, order.d) for k in order.lags] + [F.lit(0.0)] * (width - len(order.lags))
-        fields = [v.cast("double").alias(c) for v, c in zip(values, names)]
-        tried.append(F.struct(F.lit(i).alias("i"), *fields, _difference(0, order.d).alias("z")))
-    each = rows.select(*keys, F.explode(F.array(*tried)).alias("t")).select(*keys, "t.*").dropna(subset=[*names, "z"])
-    x = [F.lit(1.0), *[F.col(c) for c in names], F.col("z")]
+    rows = rows.filter(_all_known(_reached([o for o in orders if not o.seasonal])) & (~long | _all_known(need)))
+    # Lags that only seasonal orders use are not known in short series, which do not try these.
+    x = [F.lit(1.0), *[F.coalesce(_back(k), F.lit(0.0)) for k in need]]
     products = F.array(*[F.sum(x[m] * x[k]) for m in range(len(x)) for k in range(m, len(x))])
-    grouped = each.groupBy(*keys, "i").agg(products.alias("moments"))
-    described = F.array(
-        *[
-            F.struct(
-                F.lit(o.p).alias("p"), F.lit(o.d).alias("d"), F.lit(o.seasonal).alias("seasonal"),
-                F.array(*[F.lit(k) for k in o.lags]).cast("array<int>").alias("lags"),
-            )
-            for o in orders
-        ]
-    )
-    known = ranking.join_groups(grouped, points, keys).withColumn("o", F.get(described, F.col("i")))
-    known = known.select(*keys, "i", "points", "_mean", "moments", "o.*")
-    known = known.filter(~F.col("seasonal") | (F.col("points") > SEASONAL_MIN_ROWS))
-    solved = known.withColumn("s", _solve("moments", F.size("lags"))).filter(F.col("s.aic").isNotNull())
-    # The constant for values that are not centred; differences have lost the mean anyway.
-    slopes = F.slice("s.coef", F.lit(2), F.size("s.coef"))
-    shift = F.col("_mean") * F.aggregate(slopes, F.lit(1.0), lambda total, c: total - c)
-    constant = F.get("s.coef", F.lit(0)) + F.when(F.col("d") == 0, shift).otherwise(0.0)
-    solved = solved.withColumn("s", F.col("s").withField("coef", F.concat(F.array(constant), slopes)))
-    best = F.min_by(F.struct("p", "d", "seasonal", "lags", "s"), F.struct("s.aic", "i")).alias("b")
-    return solved.groupBy(*keys).agg(best, F.max("points").alias("points")).select(
-        *keys, "points", "b.p", "b.d", "b.seasonal", "b.lags", "b.s.coef", "b.s.aic", "b.s.sigma"
-    )
+    grams = rows.groupBy(*keys).agg(products.alias("_moments"))
+    known = ranking.join_groups(grams, points, keys)
+    solved = known.withColumn("b", _best_order(orders, need)("_moments", "_mean", long)).filter(F.col("b.aic").isNotNull())
+    return solved.select(*keys, "points", "b.*")
 
 
 def _tails(df: DataFrame, keys: Sequence[str], source: str, end: Column) -> DataFrame:
@@ -370,6 +414,83 @@ def backtest_autoregression(split: Series, source: str = "y") -> DataFrame:
 # -- pooled recursion -----------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Ensemble:
+    """A fitted tree ensemble as flat lists over its nodes; a leaf is its own child on both sides."""
+
+    feature: tuple[int, ...]
+    threshold: tuple[float, ...]
+    left: tuple[int, ...]
+    right: tuple[int, ...]
+    value: tuple[float, ...]
+    roots: tuple[int, ...]
+    weights: tuple[float, ...]
+    depth: int
+
+    def predict(self, features: Column) -> Column:
+        """The ensemble's value for an array column, as one expression: every step of the way down a
+        tree is a lookup, so nothing grows with the trees but the looked-up lists."""
+        whole = lambda values: F.lit(np.array(values, np.int32))
+        real = lambda values: F.lit(np.array(values, np.float64))
+        feature, threshold = whole(self.feature), real(self.threshold)
+        left, right, value = whole(self.left), whole(self.right), real(self.value)
+
+        def down(node: Column, _: Column) -> Column:
+            smaller = F.get(features, F.get(feature, node)) <= F.get(threshold, node)
+            return F.when(smaller, F.get(left, node)).otherwise(F.get(right, node))
+
+        def leaf(root: Column) -> Column:
+            return F.get(value, F.aggregate(F.sequence(F.lit(1), F.lit(self.depth)), root, down) if self.depth else root)
+
+        parts = F.zip_with(whole(self.roots), real(self.weights), lambda root, weight: leaf(root) * weight)
+        return F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+
+
+_NODE = re.compile(r"^\s*(?:(If) \(feature (\d+) <= (\S+)\)|(Else)|Predict: (\S+)|Tree \d+ \(weight (\S+)\))")
+
+
+def read_ensemble(model) -> Ensemble:
+    """The nodes of a fitted model of regression trees, from its printed form."""
+    feature, threshold, left, right, value, roots, weights = ([] for _ in range(7))
+    path: list[int] = []  # inner nodes whose right side is not read yet
+    for line in model.toDebugString.splitlines():
+        found = _NODE.match(line)
+        if not found:
+            continue
+        inner, name, limit, other, result, weight = found.groups()
+        if weight:
+            roots.append(len(value))
+            weights.append(float(weight))
+            path = []
+            continue
+        if other:
+            continue
+        node = len(value)
+        if path:
+            above = path[-1]
+            if left[above] == above:
+                left[above] = node
+            else:
+                right[above] = node
+                path.pop()
+        feature.append(int(name) if inner else 0)
+        threshold.append(float(limit) if inner else float("inf"))
+        value.append(0.0 if inner else float(result))
+        left.append(node)
+        right.append(node)
+        if inner:
+            path.append(node)
+
+    def below(node: int) -> int:
+        level, reached = [node], 0
+        while level := [c for n in level if left[n] != n for c in (left[n], right[n])]:
+            reached += 1
+        return reached
+
+    depth = max((below(root) for root in roots), default=0)
+    return Ensemble(*map(tuple, (feature, threshold, left, right, value, roots, weights)), depth)
+
+
 @dataclass(frozen=True)
 class Pooled:
     """One regression over input windows of all series, with its feature list."""
@@ -381,15 +502,32 @@ class Pooled:
     def score(self, windows: DataFrame) -> DataFrame:
         return self.model.transform(windows.withColumn("_v", array_to_vector(_flat(self.features)))).drop("_v")
 
+    def value(self, window: Column) -> Column:
+        """The model's value for a flat window, as one expression."""
+        if hasattr(self.model, "treeWeights"):
+            return read_ensemble(self.model).predict(window)
+        weights = F.lit(self.model.coefficients.toArray())
+        products = F.zip_with(window, weights, lambda x, w: x * w)
+        return F.aggregate(products, F.lit(float(self.model.intercept)), lambda total, x: total + x)
+
 
 def _flat(features: Sequence[str]) -> Column:
     return F.flatten(F.transform("window", lambda s: F.array(*[s[c].cast("double") for c in features])))
 
 
-def fit_pooled(windows: DataFrame, features: Sequence[str], length: int, regularisation: float = 0.01) -> Pooled:
-    """Fit on windows with ``window`` and ``target`` columns."""
+def fit_pooled(
+    windows: DataFrame, features: Sequence[str], length: int, regularisation: float = 0.01, method: str = "linear",
+    rounds: int = 20, depth: int = 5, seed: int = 42,
+) -> Pooled:
+    """Fit on windows with ``window`` and ``target`` columns: a ``linear`` model or ``boosted`` trees."""
     vectors = windows.select(array_to_vector(_flat(features)).alias("_v"), F.col("target").cast("double").alias("target"))
-    learner = LinearRegression(featuresCol="_v", labelCol="target", predictionCol="y_scaled_pred", regParam=regularisation)
+    common = {"featuresCol": "_v", "labelCol": "target", "predictionCol": "y_scaled_pred"}
+    if method == "linear":
+        learner = LinearRegression(regParam=regularisation, **common)
+    elif method == "boosted":
+        learner = GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=seed, **common)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return Pooled(learner.fit(vectors.dropna()), tuple(features), length)
 
 
@@ -401,16 +539,11 @@ def recur_pooled(pooled: Pooled, last: DataFrame, keys: Sequence[str], steps: in
     expression, so the plan does not grow with them.
     """
     width = len(pooled.features)
-    weights = F.array(*[F.lit(float(w)) for w in pooled.model.coefficients.toArray()])
-    base = F.lit(float(pooled.model.intercept))
-
-    def value(window: Column) -> Column:
-        return F.aggregate(F.zip_with(window, weights, lambda x, w: x * w), base, lambda total, x: total + x)
 
     def advance(state: Column, _: Column) -> Column:
         window, made = state["w"], state["made"]
         size = F.size(window)
-        newest = F.array(value(window))
+        newest = F.array(pooled.value(window))
         kept = F.slice(window, F.lit(width + 1), size - width)
         rest = F.slice(window, size - width + 2, F.lit(width - 1))
         return F.struct(F.concat(kept, newest, rest).alias("w"), F.concat(made, newest).alias("made"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..session import cut_lineage
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -55,41 +56,94 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, parent_column:
 
 @dataclass(frozen=True)
 class Checks:
-    """Checks of one table, by column."""
+    """Checks of one table, by column. ``parents`` name the table and column that a column refers to."""
 
     unique: Sequence[str] = ()
     not_null: Sequence[str] = ()
     values: Mapping[str, Sequence] = field(default_factory=dict)
     ranges: Mapping[str, tuple[float | None, float | None]] = field(default_factory=dict)
-    parents: Mapping[str, tuple[DataFrame, str]] = field(default_factory=dict)
+    parents: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def run_checks(df: DataFrame, table: str, checks: Checks) -> DataFrame:
-    """Failing rows per check. All row-level checks share one pass over the table."""
-    tests: list[tuple[str, str, Column]] = []
-    tests += [("not_null", c, null_check(c)) for c in checks.not_null]
+_RESULT = "table_name string, check string, column_name string, failures bigint"
+
+
+def row_tests(checks: Checks) -> list[tuple[str, str, Column]]:
+    """Kind, column and failing condition of the checks that look at one row at a time."""
+    tests = [("not_null", c, null_check(c)) for c in checks.not_null]
     tests += [("accepted_values", c, values_check(c, v)) for c, v in checks.values.items()]
-    tests += [("accepted_range", c, range_check(c, *b)) for c, b in checks.ranges.items()]
-    parts = []
-    if tests:
-        sums = [F.count_if(bad).alias(f"t{i}") for i, (_, _, bad) in enumerate(tests)]
-        named = F.array(
-            *[F.struct(F.lit(kind).alias("check"), F.lit(column).alias("column_name"), F.col(f"t{i}").alias("failures"))
-              for i, (kind, column, _) in enumerate(tests)]
-        )
-        parts.append(df.agg(*sums).select(F.explode(named).alias("r")).select("r.*"))
-    for column in checks.unique:
-        parts.append(_counted(unique(df, column), "unique", column))
-    for column, (parent, parent_column) in checks.parents.items():
-        parts.append(_counted(relationships(df, column, parent, parent_column), "relationships", column))
-    merged = reduce(DataFrame.unionByName, parts)
-    return merged.select(F.lit(table).alias("table_name"), "check", "column_name", "failures")
-
-
-def _counted(failing: DataFrame, kind: str, column: str) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(kind).alias("check"), F.lit(column).alias("column_name"), "failures"
-    )
+    return tests + [("accepted_range", c, range_check(c, *b)) for c, b in checks.ranges.items()]
+
+
+def saved_and_counted(df: DataFrame, table: str, checks: Checks) -> tuple[DataFrame, list[tuple[str, str, str, int]]]:
+    """``df`` written once, and the failing rows of its row-level checks, counted by the same job."""
+    tests = row_tests(checks)
+    if not tests:
+        return cut_lineage(df), []
+    counts = Observation()
+    saved = cut_lineage(df.observe(counts, *[F.count_if(bad).alias(f"t{i}") for i, (_, _, bad) in enumerate(tests)]))
+    found = counts.get
+    return saved, [(table, kind, column, int(found[f"t{i}"])) for i, (kind, column, _) in enumerate(tests)]
+
+
+def key_failures(tables: Mapping[str, DataFrame], checks: Mapping[str, Checks]) -> DataFrame:
+    """Failing rows of the checks that compare rows: repeated values, and values that the parent lacks.
+
+    All columns of all tables go into one count of (table, check, column, value); each table is read once.
+    Values are combined in each task first, so a very common value is a few rows afterwards.
+    """
+    wanted: dict[str, list[Column]] = {name: [] for name in tables}
+
+    def value(table: str, kind: str, column: str, source: str, parent: bool) -> Column:
+        return F.struct(
+            F.lit(table).alias("table_name"), F.lit(kind).alias("check"), F.lit(column).alias("column_name"),
+            F.col(source).cast("string").alias("value"), F.lit(parent).alias("parent"),
+        )
+
+    for name, own in checks.items():
+        if name not in tables:
+            continue
+        wanted[name] += [value(name, "unique", c, c, False) for c in own.unique]
+        for column, (parent, parent_column) in own.parents.items():
+            wanted[name].append(value(name, "relationships", column, column, False))
+            wanted[parent].append(value(name, "relationships", column, parent_column, True))
+    listed = [df.select(F.explode(F.array(*wanted[name])).alias("v")).select("v.*") for name, df in tables.items() if wanted[name]]
+    asked = [(n, "unique", c, 0) for n in checks if n in tables for c in checks[n].unique]
+    asked += [(n, "relationships", c, 0) for n in checks if n in tables for c in checks[n].parents]
+    every = next(iter(tables.values())).sparkSession.createDataFrame(asked, _RESULT)
+    if not listed:
+        return every
+    values = reduce(DataFrame.unionByName, listed).filter(F.col("value").isNotNull())
+    names = ["table_name", "check", "column_name"]
+    counted = values.groupBy(*names, "value").agg(F.count_if(~F.col("parent")).alias("rows"), F.max("parent").alias("known"))
+    repeated = F.when(F.col("rows") > 1, 1).otherwise(0)
+    orphans = F.when(F.col("known"), 0).otherwise(F.col("rows"))
+    failing = counted.groupBy(*names).agg(F.sum(F.when(F.col("check") == "unique", repeated).otherwise(orphans)).alias("failures"))
+    # A table without rows has no counts, and no failures.
+    return every.unionByName(failing).groupBy(*names).agg(F.max("failures").cast("bigint").alias("failures"))
+
+
+def run_checks(df: DataFrame, table: str, checks: Checks, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Failing rows per check of one table."""
+    return run_suite({table: lambda _: df} | {name: (lambda _, p=p: p) for name, p in (parents or {}).items()}, {table: checks})
+
+
+def run_suite(tables: Mapping[str, Callable[[dict[str, DataFrame]], DataFrame]], checks: Mapping[str, Checks]) -> DataFrame:
+    """Failing rows per table and check.
+
+    ``tables`` are built in order, each from the saved ones before it, so what several of them read is
+    scanned once. Row-level checks are counted while a table is written; the others by ``key_failures``.
+    """
+    saved: dict[str, DataFrame] = {}
+    rows: list[tuple[str, str, str, int]] = []
+    none = Checks()
+    for name, build in tables.items():
+        saved[name], counted = saved_and_counted(build(saved), name, checks.get(name, none))
+        rows += counted
+    compared = key_failures(saved, {name: checks.get(name, none) for name in saved})
+    if not rows:
+        return compared
+    return next(iter(saved.values())).sparkSession.createDataFrame(rows, _RESULT).unionByName(compared)
 
 
 def content_score(df: DataFrame) -> DataFrame:

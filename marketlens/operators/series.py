@@ -141,44 +141,60 @@ def full_mean(source: str, window: WindowSpec, low: int, high: int) -> Column:
 # -- gaps -----------------------------------------------------------------------------
 
 
-def _edge_values(series: Series, source: str) -> Series:
-    """Add the nearest known (pos, value) at or before and at or after every row."""
-    known = F.when(F.col(source).isNotNull(), F.struct("pos", F.col(source).alias("v")))
-    df = series.df.withColumn("_known", known)
+def _edge_values(series: Series, columns: Sequence[str]) -> Series:
+    """Add the nearest known (pos, value) at or before and at or after every row, for all ``columns``:
+    ``_prev_<i>`` and ``_next_<i>``. One scan in each direction serves any number of columns."""
+    count = range(len(columns))
+    known = {f"_known_{i}": F.when(F.col(c).isNotNull(), F.struct("pos", F.col(c).alias("v"))) for i, c in enumerate(columns)}
+    df = series.df.withColumns(known)
     # Looking ahead is done over the reversed order: a frame that grows by one row per row
     # costs one pass, one that shrinks would be summed up anew for every row.
-    upto = lambda w: F.last("_known", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumns({"_prev": upto(series.window), "_next": upto(series.backward)})
+    upto = lambda i, w: F.last(f"_known_{i}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumns({f"_prev_{i}": upto(i, series.window) for i in count})
+    df = df.withColumns({f"_next_{i}": upto(i, series.backward) for i in count})
     if series.chunk_rows is not None:
         # One row per chunk: what the chunks before and after it can hand over.
         keys = list(series.keys)
         ends = df.groupBy(*keys, "chunk").agg(
-            F.max("_known").alias("_last_known"), F.min("_known").alias("_first_known")
+            *[F.max(f"_known_{i}").alias(f"_last_{i}") for i in count], *[F.min(f"_known_{i}").alias(f"_first_{i}") for i in count]
         )
         chunks = Window.partitionBy(*keys)
         before = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
         carry = ends.select(
             *keys,
             "chunk",
-            before("_last_known", chunks.orderBy("chunk")).alias("_carry_prev"),
-            before("_first_known", chunks.orderBy(F.desc("chunk"))).alias("_carry_next"),
+            *[before(f"_last_{i}", chunks.orderBy("chunk")).alias(f"_carry_prev_{i}") for i in count],
+            *[before(f"_first_{i}", chunks.orderBy(F.desc("chunk"))).alias(f"_carry_next_{i}") for i in count],
         )
-        df = (
-            ranking.join_groups(df, carry, [*keys, "chunk"])
-            .withColumn("_prev", F.coalesce("_prev", "_carry_prev"))
-            .withColumn("_next", F.coalesce("_next", "_carry_next"))
-            .drop("_carry_prev", "_carry_next")
-        )
-    return series.with_df(df.drop("_known"))
+        df = ranking.join_groups(df, carry, [*keys, "chunk"])
+        sides = [f"{side}_{i}" for side in ("prev", "next") for i in count]
+        df = df.withColumns({f"_{x}": F.coalesce(f"_{x}", f"_carry_{x}") for x in sides}).drop(*[f"_carry_{x}" for x in sides])
+    return series.with_df(df.drop(*known))
+
+
+def _closed(series: Series, columns: Sequence[str], value: Callable[[str, int], Column]) -> Series:
+    """Every column by ``value`` of its name and number, from its edges."""
+    if not columns:
+        return series
+    edges = _edge_values(series, columns)
+    df = edges.df.withColumns({c: value(c, i) for i, c in enumerate(columns)})
+    return edges.with_df(df.drop(*[f"_{side}_{i}" for side in ("prev", "next") for i in range(len(columns))]))
 
 
 def fill_gaps(series: Series, columns: Sequence[str]) -> Series:
     """Carry the last known value forward, then the first known one backward."""
-    for name in columns:
-        edges = _edge_values(series, name)
-        filled = F.coalesce(F.col(name), F.col("_prev.v"), F.col("_next.v"))
-        series = edges.with_df(edges.df.withColumn(name, filled).drop("_prev", "_next"))
-    return series
+    return _closed(series, columns, lambda c, i: F.coalesce(F.col(c), F.col(f"_prev_{i}.v"), F.col(f"_next_{i}.v")))
+
+
+def _between(name: str, i: int) -> Column:
+    before, after = F.col(f"_prev_{i}"), F.col(f"_next_{i}")
+    share = (F.col("pos") - before["pos"]) / (after["pos"] - before["pos"])
+    line = before["v"] + (after["v"] - before["v"]) * share
+    return (
+        F.when(F.col(name).isNotNull(), F.col(name))
+        .when(before.isNotNull() & after.isNotNull(), line)
+        .otherwise(before["v"])
+    )
 
 
 def interpolate_gaps(series: Series, columns: Sequence[str]) -> Series:
@@ -186,17 +202,12 @@ def interpolate_gaps(series: Series, columns: Sequence[str]) -> Series:
 
     Leading gaps stay, for ``fill_gaps`` to close.
     """
-    for name in columns:
-        edges = _edge_values(series, name)
-        share = (F.col("pos") - F.col("_prev.pos")) / (F.col("_next.pos") - F.col("_prev.pos"))
-        line = F.col("_prev.v") + (F.col("_next.v") - F.col("_prev.v")) * share
-        value = (
-            F.when(F.col(name).isNotNull(), F.col(name))
-            .when(F.col("_prev").isNotNull() & F.col("_next").isNotNull(), line)
-            .otherwise(F.col("_prev.v"))
-        )
-        series = edges.with_df(edges.df.withColumn(name, value).drop("_prev", "_next"))
-    return series
+    return _closed(series, columns, _between)
+
+
+def close_gaps(series: Series, columns: Sequence[str]) -> Series:
+    """Interpolate, then carry what is known to the ends: both from one scan in each direction."""
+    return _closed(series, columns, lambda c, i: F.coalesce(_between(c, i), F.col(f"_next_{i}.v")))
 
 
 # -- order statistics -----------------------------------------------------------------
@@ -328,6 +339,15 @@ def detrend(series: Series, source: str = "y", longer_than: int = 24) -> Series:
     return series.with_df(df.drop("_slope", "_base"))
 
 
+def repair(series: Series, columns: Sequence[str], source: str = "y", fits: bool = True) -> Series:
+    """A series ready for a model: outliers repaired, gaps of ``columns`` closed, smoothed, with lags, trailing
+    means, change and trend, whose own gaps are filled from their neighbours at the end."""
+    closed = close_gaps(outlier_repair(series, source, fits=fits), columns)
+    shaped = detrend(shape_features(smooth_centred(closed, source), source), source)
+    made = [f"{source}_{c}" for c in ("lag1", "lag3", "ma3", "ma6", "pct_change", "detrended")]
+    return fill_gaps(shaped, [*made, "trend"])
+
+
 def sequences(series: Series, features: Sequence[str], target: str, length: int) -> DataFrame:
     """Input windows of ``length`` rows with the value that follows; only full windows."""
 

@@ -30,7 +30,9 @@ def sql(body: str) -> str:
 
     visit(body)
     listed = [f"{name} AS (\n{STEPS[name]}\n)" for name in STEPS if name in needed]
-    return ("WITH " + ",\n".join(listed) + "\n" if listed else "") + body.strip()
+    # A step that names itself is recursive.
+    looped = any(re.search(rf"\b{name}\b", STEPS[name]) for name in needed)
+    return (("WITH RECURSIVE " if looped else "WITH ") + ",\n".join(listed) + "\n" if listed else "") + body.strip()
 
 
 # -- expressions ----------------------------------------------------------------------
@@ -893,6 +895,31 @@ step("t_edges", f"""
 SELECT *, {', '.join(_edges(c) for c in _GAPS)} FROM t_by_item
 WINDOW f AS ({_I} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS ({_I} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 """)
+# All columns of a series repaired, step by step.
+_REPAIRED = (
+    "y", "total_quantity_kg", "total_amount_yen", "yoy_price_growth_rate", "mom_price_growth_rate", "price_3month_moving_avg",
+    "avg_temperature", "total_precipitation", "avg_wind_speed", "seasonal_price_index", "seasonal_quantity_index",
+)
+_frames = f"WINDOW f AS ({_I} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS ({_I} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+step("t_fenced", """
+SELECT t.* REPLACE (CASE WHEN y < q1 - 2.5 * (q3 - q1) OR y > q3 + 2.5 * (q3 - q1) THEN median ELSE y END AS y)
+FROM t_by_item t JOIN t_quartiles USING (item_name)
+""")
+step("t_closed", f"""
+SELECT item_name, market, origin, sub_category, profile_category, year, month, pos, n, {', '.join(f'coalesce({_line_between(c)}, {c}_nv) AS {c}' for c in _REPAIRED)}
+FROM (SELECT *, {', '.join(_edges(c) for c in _REPAIRED)} FROM t_fenced {_frames})
+""")
+step("t_smoothed", f"""
+SELECT * REPLACE (CASE WHEN n > 6 AND pos > 0 AND pos < n - 1 THEN avg(y) OVER ({_I} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) ELSE y END AS y) FROM t_closed
+""")
+step("t_shaped", f"""
+SELECT t.*, lag(y, 1) OVER ({_I}) AS y_lag1, lag(y, 3) OVER ({_I}) AS y_lag3,
+       CASE WHEN n > 6 AND pos >= 2 THEN avg(y) OVER ({_I} ROWS 2 PRECEDING) END AS y_ma3,
+       CASE WHEN n > 6 AND pos >= 5 THEN avg(y) OVER ({_I} ROWS 5 PRECEDING) END AS y_ma6, y / nullif(lag(y, 1) OVER ({_I}), 0) - 1 AS y_pct_change,
+       CASE WHEN n > 24 THEN slope * pos + base END AS trend, CASE WHEN n > 24 THEN y - (slope * pos + base) END AS y_detrended
+FROM t_smoothed t JOIN (SELECT item_name, regr_slope(y, pos) AS slope, regr_intercept(y, pos) AS base FROM t_smoothed GROUP BY 1) USING (item_name)
+""")
+_SHAPES = ("y_lag1", "y_lag3", "y_ma3", "y_ma6", "y_pct_change", "trend", "y_detrended")
 step("t_split", """
 SELECT *, n - train_n AS test_n, pos < train_n AS is_train FROM (SELECT *, floor(n * (1 - 0.2)::DOUBLE)::BIGINT AS train_n FROM t_by_item)
 WHERE n >= 10 AND train_n >= 5 AND n - train_n >= 3
@@ -963,6 +990,10 @@ ORACLE |= {
     ),
     "interpolate_gaps": _shown("t_edges", {c: _line_between(c) for c in _GAPS}),
     "fill_gaps": _shown("t_edges", {c: f"coalesce({c}, {c}_pv, {c}_nv)" for c in _GAPS}),
+    "repaired_series": _shown(
+        f"(SELECT *, {', '.join(_edges(c) for c in _SHAPES)} FROM t_shaped {_frames})",
+        {c: c for c in _REPAIRED} | {c: f"coalesce({c}, {c}_pv, {c}_nv)" for c in _SHAPES},
+    ),
     "smooth_series": _shown(
         "t_by_item",
         {"y": f"CASE WHEN n > 6 AND pos > 0 AND pos < n - 1 THEN avg(y) OVER ({_I} ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) ELSE y END"},
@@ -1012,10 +1043,13 @@ SELECT *, (year - 1990) * 12 + month - 1 AS t FROM t_series
 step("t_line", "SELECT item_name, regr_slope(y, t) AS slope, regr_intercept(y, t) AS base FROM t_fit GROUP BY 1")
 
 
+Z80 = 1.2815515655446004
+
+
 def trend_sql(mode: str) -> str:
     rest = "y / (base + slope * t)" if mode == "multiplicative" else "y - (base + slope * t)"
     model = "((base + slope * t) * effect)" if mode == "multiplicative" else "((base + slope * t) + effect)"
-    z = 1.2815515655446004
+    z = Z80
     return sql(f"""
 SELECT item_name, strftime(ds, '%Y-%m-%d') AS ds, {r('v', 4)} AS y_pred, {r(f'v - sd * {z}::DOUBLE', 4)} AS lower, {r(f'v + sd * {z}::DOUBLE', 4)} AS upper
 FROM (
@@ -1048,6 +1082,152 @@ def _event(i: int) -> str:
     return f"CASE WHEN {' OR '.join(tests)} THEN 1 ELSE 0 END::BIGINT AS event_{i}"
 
 
+# Trend, months, events and regressors: ridge normal equations, solved by elimination.
+_REG = ("avg_temperature", "total_precipitation", "yoy_price_growth_rate")
+_REG_SIZE = 2 + 12 + len(V.CALENDAR_EVENTS) + len(_REG)
+_reg_flags = ", ".join(_event(i) for i in range(1, len(V.CALENDAR_EVENTS) + 1))
+_reg_scaled = lambda c: f"CASE WHEN sd_{c} > 1e-9::DOUBLE * greatest(1, abs(mean_{c})) THEN ({c} - mean_{c}) / sd_{c} ELSE 0 END"
+_reg_list = (
+    f"[1::DOUBLE, {_reg_scaled('t')}, " + ", ".join(f"(month = {m})::INT::DOUBLE" for m in range(1, 13)) + ", "
+    + ", ".join(f"event_{i}::DOUBLE" for i in range(1, len(V.CALENDAR_EVENTS) + 1)) + ", " + ", ".join(_reg_scaled(c) for c in _REG) + "]"
+)
+step("t_reg_middle", f"SELECT item_name, {', '.join(f'median({c}) AS m_{c}' for c in _REG)} FROM t_series GROUP BY 1")
+step("t_reg_rows", f"""
+SELECT item_name, month, (year - 1990) * 12 + month - 1 AS t, y, {_reg_flags}, {', '.join(f'coalesce({c}, m_{c}, 0)::DOUBLE AS {c}' for c in _REG)}
+FROM (SELECT * REPLACE (ds::DATE AS ds) FROM t_series) JOIN t_reg_middle USING (item_name)
+""")
+step("t_reg_scale", f"""
+SELECT item_name, {', '.join(f'avg({c}) AS mean_{c}, stddev_pop({c}) AS sd_{c}' for c in ('t', *_REG))} FROM t_reg_rows GROUP BY 1
+""")
+step("t_reg_products", f"""
+SELECT item_name, i, j, sum(f[i] * f[j]) AS s
+FROM (SELECT item_name, list_append({_reg_list}, y) AS f FROM t_reg_rows JOIN t_reg_scale USING (item_name)),
+     range(1, {_REG_SIZE + 2}) AS a(i), range(1, {_REG_SIZE + 2}) AS b(j)
+GROUP BY ALL
+""")
+step("t_reg_gram", """
+SELECT item_name, list(line ORDER BY i) AS g FROM (SELECT item_name, i, list(s ORDER BY j) AS line FROM t_reg_products GROUP BY 1, 2) GROUP BY 1
+""")
+_eliminate = (
+    "list_transform(m, lambda line, i: CASE WHEN i = k + 1 THEN list_transform(line, lambda x: x / line[k + 1])"
+    " ELSE list_transform(line, lambda x, j: x - line[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)"
+)
+step("t_reg_solve", f"""
+SELECT item_name, 0 AS k, list_transform(g[1:{_REG_SIZE}], lambda line, i: list_transform(line, lambda x, j:
+  CASE WHEN i = j AND i > 2 THEN x + 0.01::DOUBLE WHEN i = j AND x = 0 THEN 1 ELSE x END)) AS m
+FROM t_reg_gram
+UNION ALL
+SELECT item_name, k + 1, {_eliminate} FROM t_reg_solve WHERE k < {_REG_SIZE}
+""")
+step("t_reg_fit", f"""
+SELECT item_name, c, sqrt(greatest(0, g[{_REG_SIZE + 1}][{_REG_SIZE + 1}] - 2 * list_dot_product(c, g[{_REG_SIZE + 1}][1:{_REG_SIZE}])
+  + list_dot_product(c, list_transform(g[1:{_REG_SIZE}], lambda line: list_dot_product(line[1:{_REG_SIZE}], c)))) / greatest(g[1][1] - 1, 1)) AS sigma
+FROM (SELECT item_name, list_transform(m, lambda line: line[{_REG_SIZE + 1}]) AS c FROM t_reg_solve WHERE k = {_REG_SIZE}) JOIN t_reg_gram USING (item_name)
+""")
+step("t_reg_ahead", f"""
+SELECT a.item_name, ds, month(ds) AS month, (year(ds) - 1990) * 12 + month(ds) - 1 AS t, {_reg_flags},
+       coalesce(temperature, m_avg_temperature, 0) AS avg_temperature, coalesce(rain, m_total_precipitation, 0) AS total_precipitation,
+       coalesce(growth, m_yoy_price_growth_rate, 0) AS yoy_price_growth_rate
+FROM t_ahead a JOIN t_reg_middle USING (item_name)
+LEFT JOIN (SELECT item_name, month, avg(avg_temperature) AS temperature, avg(total_precipitation) AS rain FROM t_series GROUP BY 1, 2) c
+     ON c.item_name = a.item_name AND c.month = month(a.ds)
+LEFT JOIN (SELECT item_name, avg(yoy_price_growth_rate) AS growth FROM t_series GROUP BY 1) l ON l.item_name = a.item_name
+""")
+
+# Autoregression: the nine orders side by side, each solved by elimination, then step by step.
+_AR = "item_name, market, origin"
+step("t_ar_lags", f"""
+SELECT *, {', '.join(f'lag(y0, {k}) OVER (PARTITION BY {_AR} ORDER BY pos) AS y{k}' for k in (1, 2, 3, 12, 13))}
+FROM (SELECT {_AR}, pos, n AS points, mean, y - mean AS y0 FROM (SELECT *, avg(y) OVER (PARTITION BY {_AR}) AS mean FROM t_by_market))
+""")
+step("t_ar_orders", f"""
+SELECT {_AR}, points, mean, unnest(range(9)) AS o,
+       unnest([[1, y1 - y2, y0 - y1], [1, y1 - y2, y2 - y3, y0 - y1], [1, y1, y0], [1, y1, y2, y0], [1, y0 - y1], [1, y1 - 2 * y2 + y3, y0 - 2 * y1 + y2],
+               [1, y1 - y2, y12 - y13, y0 - y1], [1, y12 - y13, y0 - y1], [1, y1, y12, y0]]) AS f
+FROM t_ar_lags WHERE y3 IS NOT NULL AND (points <= 36 OR y13 IS NOT NULL)
+""")
+step("t_ar_gram", f"""
+SELECT {_AR}, points, mean, o, size, list(line ORDER BY i) AS g FROM (
+  SELECT {_AR}, points, mean, o, size, i, list(s ORDER BY j) AS line FROM (
+    SELECT {_AR}, points, mean, o, len(f) AS size, i, j, sum(f[i] * f[j]) AS s
+    FROM t_ar_orders, range(1, 5) AS a(i), range(1, 5) AS b(j)
+    WHERE i <= len(f) AND j <= len(f) AND (o < 6 OR points > 36) GROUP BY ALL)
+  GROUP BY ALL)
+GROUP BY ALL
+""")
+step("t_ar_solve", f"""
+SELECT {_AR}, o, size, 0 AS k, g[1:size - 1] AS m FROM t_ar_gram WHERE g[1][1] > size
+UNION ALL
+SELECT {_AR}, o, size, k + 1, {_eliminate} FROM t_ar_solve WHERE k < size - 1
+""")
+step("t_ar_best", f"""
+SELECT *, [1, 2, 1, 2, 0, 1, 1, 0, 1][o + 1] AS p, [1, 1, 0, 0, 1, 2, 1, 1, 0][o + 1] AS d, o >= 6 AS seasonal,
+       [[1], [1, 2], [1], [1, 2], []::INT[], [1], [1, 12], [12], [1, 12]][o + 1] AS lags, n * ln(rss / n) + 2 * size AS aic, sqrt(rss / (n - size + 1)) AS sigma
+FROM (SELECT *, g[1][1] AS n, greatest(g[size][size] - 2 * list_dot_product(c, g[size][1:size - 1])
+               + list_dot_product(c, list_transform(g[1:size - 1], lambda line: list_dot_product(line[1:size - 1], c))), 1e-12 * greatest(g[size][size], 1)) AS rss
+      FROM (SELECT {_AR}, o, list_transform(m, lambda line: line[size]) AS c FROM t_ar_solve WHERE k = size - 1) JOIN t_ar_gram USING ({_AR}, o))
+QUALIFY row_number() OVER (PARTITION BY {_AR} ORDER BY aic, o) = 1
+""")
+_ar_back = "CASE d WHEN 0 THEN h[-k] WHEN 1 THEN h[-k] - h[-k - 1] ELSE h[-k] - 2 * h[-k - 1] + h[-k - 2] END"
+_ar_next = (
+    lambda h, base: f"list_append({h}, {base} + coalesce(list_sum(list_transform(lags, lambda k, i: c[i + 1] * ({_ar_back.replace('h[', h + '[')}))), 0)"
+    f" + CASE d WHEN 0 THEN 0 WHEN 1 THEN {h}[-1] ELSE 2 * {h}[-1] - {h}[-2] END)"
+)
+step("t_ar_steps", f"""
+SELECT b.*, 0 AS step, h, list_append(list_transform(range(16), lambda x: 0::DOUBLE), 1::DOUBLE) AS e,
+       c[1] + CASE WHEN d = 0 THEN mean * (1 - coalesce(list_sum(c[2:]), 0)) ELSE 0 END AS base
+FROM t_ar_best b JOIN (SELECT {_AR}, list(y ORDER BY pos) AS h FROM t_by_market WHERE pos >= n - 16 GROUP BY ALL) USING ({_AR})
+UNION ALL
+SELECT * REPLACE (step + 1 AS step, {_ar_next('h', 'base')} AS h, {_ar_next('e', '0')} AS e) FROM t_ar_steps WHERE step < 6
+""")
+step("t_ar_values", """
+SELECT *, h[-1] AS v, 1.959963984540054::DOUBLE * sigma * sqrt(list_sum(list_transform(e[17:16 + step], lambda x: x * x))) AS half FROM t_ar_steps WHERE step > 0
+""")
+
+# One regression over the last twelve rows of all series: ridge on standardised features, then step by step.
+_POOL = ("y", "total_quantity_kg", "avg_temperature", "total_precipitation", "seasonal_price_index")
+_POOL_SIZE = 12 * len(_POOL)
+step("t_pool_ranges", f"""
+SELECT {_AR}, {', '.join(f'min(coalesce({c}, 0)::DOUBLE) AS lo_{c}, max(coalesce({c}, 0)::DOUBLE) AS hi_{c}' for c in _POOL)} FROM t_by_market GROUP BY ALL
+""")
+step("t_pool_rows", f"""
+SELECT {_AR}, pos, n, {', '.join(f'(coalesce({c}, 0)::DOUBLE - lo_{c}) / CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE hi_{c} - lo_{c} END AS s_{c}' for c in _POOL)}
+FROM t_by_market JOIN t_pool_ranges USING ({_AR})
+""")
+step("t_pool_windows", f"""
+SELECT *, flatten(list([{', '.join(f's_{c}' for c in _POOL)}]) OVER (PARTITION BY {_AR} ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) AS f FROM t_pool_rows
+""")
+step("t_pool_gram", f"""
+SELECT list(line ORDER BY i) AS g FROM (
+  SELECT i, list(s ORDER BY j) AS line FROM (
+    SELECT i, j, sum(f[i] * f[j]) / count(*) AS s
+    FROM (SELECT list_concat([1::DOUBLE], f, [s_y]) AS f FROM t_pool_windows WHERE pos >= 12), range(1, {_POOL_SIZE + 3}) AS a(i), range(1, {_POOL_SIZE + 3}) AS b(j)
+    GROUP BY ALL)
+  GROUP BY 1)
+""")
+step("t_pool_spread", f"""
+SELECT g, list_transform(range(2, {_POOL_SIZE + 3}), lambda i: sqrt(greatest(g[i][i] - g[1][i] ** 2, 0))) AS sd FROM t_pool_gram
+""")
+step("t_pool_solve", f"""
+SELECT 0 AS k, list_transform(range(1, {_POOL_SIZE + 1}), lambda i: list_transform(range(1, {_POOL_SIZE + 2}), lambda j:
+  CASE WHEN sd[i] = 0 OR sd[j] = 0 THEN 0 ELSE (g[i + 1][j + 1] - g[1][i + 1] * g[1][j + 1]) / (sd[i] * sd[j]) END
+  + CASE WHEN i = j THEN 0.01::DOUBLE / sd[{_POOL_SIZE + 1}] ELSE 0 END)) AS m
+FROM t_pool_spread
+UNION ALL
+SELECT k + 1, {_eliminate} FROM t_pool_solve WHERE k < {_POOL_SIZE}
+""")
+step("t_pool_fit", f"""
+SELECT c, g[1][{_POOL_SIZE + 2}] - list_dot_product(c, g[1][2:{_POOL_SIZE + 1}]) AS base
+FROM (SELECT g, list_transform(m, lambda line, i: CASE WHEN sd[i] = 0 THEN 0 ELSE line[{_POOL_SIZE + 1}] * sd[{_POOL_SIZE + 1}] / sd[i] END) AS c
+      FROM t_pool_solve, t_pool_spread WHERE k = {_POOL_SIZE})
+""")
+step("t_pool_steps", f"""
+SELECT {_AR}, 0 AS step, flatten(list([{', '.join(f's_{c}' for c in _POOL)}] ORDER BY pos)) AS w, NULL::DOUBLE AS v FROM t_pool_rows WHERE n >= 12 AND pos >= n - 12 GROUP BY ALL
+UNION ALL
+SELECT {_AR}, step + 1, list_concat(w[{len(_POOL) + 1}:], [v_next], w[{_POOL_SIZE - len(_POOL) + 2}:]), v_next
+FROM (SELECT *, base + list_dot_product(c, w) AS v_next FROM t_pool_steps, t_pool_fit WHERE step < 6)
+""")
+
 # -- regression features --------------------------------------------------------------
 
 _MARKET_ROWS = "year, month, major_category, sub_category NULLS FIRST, profile_category NULLS FIRST, item_category NULLS FIRST"
@@ -1065,12 +1245,69 @@ FROM (SELECT p.*, s.seasonal_price_index, s.seasonal_quantity_index, s.seasonali
       WHERE p.avg_unit_price_yen > 0 AND p.avg_unit_price_yen < 5000 AND p.total_quantity_kg > 0)
 WINDOW w AS ({_TRAIN_WINDOW})) WHERE price_lag_1m IS NOT NULL
 """)
+step("t_own", """
+SELECT p.*, s.seasonal_price_index, s.seasonal_quantity_index, s.seasonality_level, s.sub_category AS profile_category,
+       i.price_tier, i.vegetable_category, i.seasonality AS item_seasonality, i.avg_unit_price_yen AS item_avg_price,
+       i.sub_category AS item_category
+FROM (SELECT *, strftime(make_date(year, month, 1), '%Y-%m-%d') AS date_key, quarter(make_date(year, month, 1))::BIGINT AS quarter,
+             lag(avg_unit_price_yen, 1) OVER w AS price_lag_1m, lag(avg_unit_price_yen, 3) OVER w AS price_lag_3m,
+             lag(avg_unit_price_yen, 12) OVER w AS price_lag_12m, lag(total_quantity_kg, 1) OVER w AS quantity_lag_1m
+      FROM t_price_weather WHERE avg_unit_price_yen > 0 AND avg_unit_price_yen < 5000 AND total_quantity_kg > 0
+      WINDOW w AS (PARTITION BY item_name, market, origin, major_category, sub_category ORDER BY year, month)) p
+LEFT JOIN t_seasonal s ON p.item_name = s.item_name AND p.month = s.month AND p.sub_category IS NOT DISTINCT FROM s.sub_category
+LEFT JOIN t_dim_item i ON p.item_name = i.item_name AND p.sub_category IS NOT DISTINCT FROM i.sub_category
+WHERE price_lag_1m IS NOT NULL
+""")
+step("t_own_split", """
+SELECT *, row_number() OVER (ORDER BY year, month, item_name, market, origin, major_category, sub_category NULLS FIRST,
+                             profile_category NULLS FIRST, item_category NULLS FIRST)
+            <= floor((SELECT count(*) FROM t_own) * (1 - 0.2)::DOUBLE) AS is_train
+FROM t_own
+""")
+_TEXTS = ("item_name", "market", "origin", "price_tier", "vegetable_category", "item_seasonality", "seasonality_level")
+_NUMBERS = (
+    "price_lag_1m", "price_lag_3m", "price_lag_12m", "quantity_lag_1m", "yoy_price_growth_rate", "mom_price_growth_rate",
+    "price_3month_moving_avg", "price_6month_moving_avg", "avg_temperature", "avg_max_temperature", "avg_min_temperature",
+    "total_precipitation", "avg_wind_speed", "total_sunshine", "seasonal_price_index", "seasonal_quantity_index",
+    "total_quantity_kg", "total_amount_yen", "item_avg_price",
+)
+# Year, month, volatility, two deviations, trend, four quarters and the encoded texts are never NULL.
+step("t_own_complete", f"SELECT * FROM t_own_split WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _NUMBERS)}")
 _TKEYS = "item_name, market, origin, year, month, major_category, sub_category, profile_category, item_category"
 _code = lambda c: f"dense_rank() OVER (ORDER BY coalesce({c}, 'None')) - 1 AS {c}_encoded"
 
+_size = lambda n: f"CASE WHEN {n} < 1000 THEN 'v' || {n} || 'r' WHEN {n} < 100000 THEN 'v' || floor({n} / 100)::BIGINT || 'h' ELSE 'v' || floor({n} / 1000)::BIGINT || 'k' END"
+step("t_batch", f"""
+SELECT item_name || '_' || lower(model_type) || '_' || strftime(d, '%Y%m') || '_ts' AS prediction_id, item_name, model_type,
+       '2001.12_' || {_size('n')} || '_' || code || '_' || item_name AS model_version, strftime(d, '%Y-%m-%d') AS prediction_date,
+       n AS training_data_points, 0.8::DOUBLE AS confidence_interval
+FROM (SELECT item_name, n, (date_trunc('month', last_ds) + to_months(step::INTEGER))::DATE AS d
+      FROM (SELECT item_name, max(ds::DATE) AS last_ds, count(*) AS n FROM t_without_outliers GROUP BY 1), range(1, 7) AS a(step) WHERE n >= 24),
+     (VALUES ('PROPHET', 'PR'), ('ARIMA', 'AR'), ('LSTM', 'LS')) AS m(model_type, code)
+UNION ALL
+SELECT item_name || '_linear_regression_' || strftime(d, '%Y%m') || '_ml', item_name, 'LINEAR_REGRESSION',
+       '2001.12_' || {_size('n')} || '_LR_ML', strftime(d, '%Y-%m-%d'), n, 0.7::DOUBLE
+FROM (SELECT item_name, (make_date(year, month, 1) + to_months(step::INTEGER))::DATE AS d FROM t_newest_price, range(1, 7) AS a(step)),
+     (SELECT count(*) AS n FROM t_own_complete)
+""")
+
 ORACLE |= {
     "forecast_trend_seasonal": trend_sql("additive"),
     "forecast_trend_multiplicative": trend_sql("multiplicative"),
+    "forecast_trend_regressors": sql(f"""
+SELECT item_name, strftime(ds, '%Y-%m-%d') AS ds, {r('v', 4)} AS y_pred, {r(f'v - sigma * {Z80}::DOUBLE', 4)} AS lower, {r(f'v + sigma * {Z80}::DOUBLE', 4)} AS upper
+FROM (SELECT item_name, ds, sigma, list_dot_product(c, {_reg_list}) AS v FROM t_reg_ahead JOIN t_reg_scale USING (item_name) JOIN t_reg_fit USING (item_name))
+"""),
+    "forecast_autoregressive": sql(f"""
+SELECT {_AR}, p::BIGINT AS p, d::BIGINT AS d, seasonal, {r('aic', 4)} AS aic, {r('sigma', 4)} AS sigma, step::BIGINT AS step,
+       {r('v', 4)} AS y_pred, {r('v - half', 4)} AS lower, {r('v + half', 4)} AS upper
+FROM t_ar_values
+"""),
+    "forecast_recursive": sql(f"""
+SELECT {_AR}, strftime((date_trunc('month', last_ds) + to_months(step::INTEGER))::DATE, '%Y-%m-%d') AS ds, {r('v * (hi_y - lo_y) + lo_y', 4)} AS y_pred,
+       NULL::DOUBLE AS lower, NULL::DOUBLE AS upper, 'LSTM' AS model_type
+FROM t_pool_steps JOIN t_pool_ranges USING ({_AR}) JOIN (SELECT {_AR}, max(ds::DATE) AS last_ds FROM t_by_market GROUP BY ALL) USING ({_AR}) WHERE step > 0
+"""),
     "forecast_projection": sql(f"""
 SELECT item_name, step, strftime(d, '%Y-%m-%d') AS prediction_date, {r('p', 2)} AS predicted_price,
        {r('greatest(0, p * 0.85::DOUBLE)', 2)} AS lower_bound, {r('p * 1.15::DOUBLE', 2)} AS upper_bound
@@ -1091,19 +1328,7 @@ LEFT JOIN (SELECT item_name, month, avg(avg_temperature) AS avg_temperature, avg
 """),
     "event_calendar": sql(f"SELECT strftime(ds, '%Y-%m-%d') AS ds, {', '.join(_event(i) for i in (1, 2, 3, 4))} FROM t_days"),
     "training_features": sql("SELECT * FROM t_training"),
-    "training_features_lags_first": sql("""
-SELECT p.*, s.seasonal_price_index, s.seasonal_quantity_index, s.seasonality_level, s.sub_category AS profile_category,
-       i.price_tier, i.vegetable_category, i.seasonality AS item_seasonality, i.avg_unit_price_yen AS item_avg_price,
-       i.sub_category AS item_category
-FROM (SELECT *, strftime(make_date(year, month, 1), '%Y-%m-%d') AS date_key, quarter(make_date(year, month, 1))::BIGINT AS quarter,
-             lag(avg_unit_price_yen, 1) OVER w AS price_lag_1m, lag(avg_unit_price_yen, 3) OVER w AS price_lag_3m,
-             lag(avg_unit_price_yen, 12) OVER w AS price_lag_12m, lag(total_quantity_kg, 1) OVER w AS quantity_lag_1m
-      FROM t_price_weather WHERE avg_unit_price_yen > 0 AND avg_unit_price_yen < 5000 AND total_quantity_kg > 0
-      WINDOW w AS (PARTITION BY item_name, market, origin, major_category, sub_category ORDER BY year, month)) p
-LEFT JOIN t_seasonal s ON p.item_name = s.item_name AND p.month = s.month AND p.sub_category IS NOT DISTINCT FROM s.sub_category
-LEFT JOIN t_dim_item i ON p.item_name = i.item_name AND p.sub_category IS NOT DISTINCT FROM i.sub_category
-WHERE price_lag_1m IS NOT NULL
-"""),
+    "training_features_lags_first": sql("SELECT * FROM t_own"),
     "encode_categories": sql(f"""
 SELECT *, {', '.join(_code(c) for c in ('item_name', 'market', 'origin', 'sub_category'))}
 FROM (SELECT DISTINCT item_name, market, origin, sub_category FROM t_stg)
@@ -1118,6 +1343,47 @@ FROM (SELECT *, coalesce(stddev_samp(avg_unit_price_yen) OVER (w ROWS 2 PRECEDIN
 """),
     "quarter_dummies": sql(f"""
 SELECT {_TKEYS}, quarter, {', '.join(f'(quarter = {i})::BIGINT AS quarter_{i}' for i in (1, 2, 3, 4))} FROM t_training
+"""),
+    "backtest_status": sql(f"""
+SELECT {_AR}, model_type, n AS points, CASE WHEN fit THEN train_n END AS train_points,
+       CASE WHEN NOT fit OR (model_type = 'LSTM' AND n <= 12) THEN 0 WHEN n > 12 THEN n - greatest(train_n, 12) ELSE n - train_n END AS scored_rows,
+       CASE WHEN NOT fit OR (model_type = 'LSTM' AND n <= 12) THEN 'too short' ELSE 'scored' END AS status
+FROM (SELECT *, n >= 10 AND train_n >= 5 AND n - train_n >= 3 AS fit
+      FROM (SELECT DISTINCT {_AR}, n, floor(n * (1 - 0.2)::DOUBLE)::BIGINT AS train_n FROM t_by_market)),
+     (VALUES ('PROPHET'), ('ARIMA'), ('LSTM')) AS m(model_type)
+"""),
+    "prediction_union": sql("SELECT * FROM t_batch"),
+    "batch_metadata": sql("""
+SELECT model_type, count(*) AS predictions, count(DISTINCT item_name) AS items, count(DISTINCT prediction_date) AS months,
+       count(DISTINCT model_version) AS versions, count(DISTINCT prediction_id) AS ids, '200112' AS version, '2001-12-01T00:00:00' AS created_at,
+       (SELECT count(*) FROM t_batch) AS total_predictions, (SELECT string_agg(DISTINCT model_type, ',' ORDER BY model_type) FROM t_batch) AS model_types,
+       (SELECT count(DISTINCT item_name) FROM t_batch) AS items_covered
+FROM t_batch GROUP BY model_type
+"""),
+    "ordered_months": sql(f"""
+SELECT year, month, item_name, market, origin, major_category, sub_category, {r('avg_unit_price_yen', 6)} AS avg_unit_price_yen,
+       row_number() OVER (ORDER BY year, month, item_name NULLS FIRST, market NULLS FIRST, origin NULLS FIRST, major_category NULLS FIRST, sub_category NULLS FIRST) - 1 AS position
+FROM t_monthly
+"""),
+    "calendar_years": sql(time_sql("""
+SELECT year, month FROM (SELECT unnest(range((SELECT min(year) FROM t_trades), (SELECT max(year) FROM t_trades) + 2)) AS year),
+                        (SELECT unnest(range(1, 13)) AS month)""", S.AS_OF)),
+    "load_tasks": sql("""
+SELECT strftime(a, '%Y-%m-%d') AS start_date, strftime(z, '%Y-%m-%d') AS end_date, strftime(greatest(m, a), '%Y-%m-%d') AS slice_start,
+       strftime(least(last_day(m), z), '%Y-%m-%d') AS slice_end, station_id, region
+FROM (SELECT a, z, unnest(generate_series(date_trunc('month', a), z, INTERVAL 1 MONTH))::DATE AS m
+      FROM (SELECT min(observation_date)::DATE AS a, max(observation_date)::DATE AS z FROM t_stg_weather)), t_dim_station
+"""),
+    "series_chosen": sql("""
+SELECT * FROM t_series WHERE item_name = (SELECT min(item_name) FROM t_stg) AND market = (SELECT max(market) FROM t_stg)
+"""),
+    "model_bundle": sql(f"""
+SELECT '200112' AS version, 'linear_regression' AS best_model, {10 + len(_NUMBERS) + len(_TEXTS)}::BIGINT AS features,
+       (SELECT {' + '.join(f"count(DISTINCT coalesce({c}, 'None'))" for c in _TEXTS)} FROM t_own_split WHERE is_train) AS code_rows,
+       count(*) FILTER (is_train) AS train_rows, count(*) FILTER (NOT is_train) AS test_rows,
+       strftime(max(make_date(year, month, 1)) FILTER (is_train), '%Y-%m') AS train_end,
+       strftime(min(make_date(year, month, 1)) FILTER (NOT is_train), '%Y-%m') AS test_start, count(*) FILTER (NOT is_train) AS scored_rows
+FROM t_own_complete
 """),
     "chronological_split": sql(f"""
 SELECT {_TKEYS}, avg_unit_price_yen,

@@ -19,14 +19,16 @@ POOLED_FEATURES = ("y", "total_quantity_kg", "avg_temperature", "total_precipita
 MODELS = {"trend": "PROPHET", "autoregression": "ARIMA", "pooled": "LSTM"}
 SEQUENCE_LENGTH = 12
 MIN_POINTS = 24
+# Training rows that a model needs at least: a line; three lags and as many rows as the smallest order has
+# coefficients, and two; one window and the value behind it.
+LEAST_TRAINING = {"trend": 2, "autoregression": 6, "pooled": SEQUENCE_LENGTH + 1}
 
 
 def clean_series(series: S.Series, fits: bool = True) -> S.Series:
     """Repair outliers, close gaps, smooth."""
     repaired = S.outlier_repair(series, "y", fits=fits)
     gaps = ["avg_temperature", "total_precipitation", "yoy_price_growth_rate", "seasonal_price_index"]
-    filled = S.fill_gaps(S.interpolate_gaps(repaired, gaps), gaps)
-    return S.smooth_centred(filled)
+    return S.smooth_centred(S.close_gaps(repaired, gaps))
 
 
 def prepared(frame: DataFrame, keys: Sequence[str], chunk_rows: int = S.CHUNK_ROWS) -> tuple[S.Series, bool]:
@@ -59,7 +61,8 @@ def pooled_windows(scaled: S.Series, length: int) -> DataFrame:
 def backtest_predictions(split: S.Series, models: Sequence[str] = tuple(MODELS), length: int = SEQUENCE_LENGTH) -> DataFrame:
     """Test rows of a split with every model's value and the naive one.
 
-    Only rows for which every model has a value remain, so that all are scored on the same ones.
+    A model that cannot be fitted to a series does not take part there (``backtest_status`` tells which).
+    Of a series, only rows remain for which all the others have a value, so that these are scored on the same ones.
     """
     keys = list(split.keys)
     base = S.naive_baseline(split).select(*keys, "pos", "year", "month", "y", "y_naive")
@@ -82,9 +85,39 @@ def backtest_predictions(split: S.Series, models: Sequence[str] = tuple(MODELS),
             raise ValueError(f"unknown model {name!r}")
         parts.append(made.withColumn("model_type", F.lit(MODELS[name])))
     # A row of a series has one row per model here.
-    row = Window.partitionBy(*keys, "pos")
-    made = features.merge(parts).filter(F.col("y_pred").isNotNull())
-    return made.withColumn("_made", F.count(F.lit(1)).over(row)).filter(F.col("_made") == len(models)).drop("_made")
+    made = cut_lineage(features.merge(parts).filter(F.col("y_pred").isNotNull()))
+    taking = made.select(*keys, "model_type").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("_taking"))
+    counted = made.withColumn("_made", F.count(F.lit(1)).over(Window.partitionBy(*keys, "pos")))
+    return ranking.join_groups(counted, taking, keys).filter(F.col("_made") == F.col("_taking")).drop("_made", "_taking")
+
+
+def backtest_status(series: S.Series, split: S.Series, rows: DataFrame, models: Sequence[str] = tuple(MODELS)) -> DataFrame:
+    """What became of every (key, model): ``scored``, ``too short`` (no split, or too few rows for the model's
+    lags or windows) or ``not fitted``; with the rows of the series and of its training part."""
+    keys = list(series.keys)
+    every = series.df.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"))
+    cut = split.df.groupBy(*keys).agg(F.max("train_n").alias("train_points"))
+    known = ranking.join_groups(every, cut, keys, "left")
+    tried = known.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+    names = F.create_map(*[F.lit(x) for pair in MODELS.items() for x in pair])
+    tried = tried.withColumn("model_type", F.element_at(names, F.col("model")))
+    scored = rows.groupBy(*keys, "model_type").agg(F.count(F.lit(1)).alias("scored_rows"))
+    both = ranking.join_groups(tried, scored, [*keys, "model_type"], "left")
+    least = F.create_map(*[F.lit(x) for pair in LEAST_TRAINING.items() for x in pair])
+    short = F.col("train_points").isNull() | (F.col("train_points") < F.element_at(least, F.col("model")))
+    status = F.when(F.col("scored_rows") > 0, "scored").when(short, "too short").otherwise("not fitted")
+    return both.select(*keys, "model_type", "points", "train_points", F.coalesce("scored_rows", F.lit(0).cast("bigint")).alias("scored_rows"), status.alias("status"))
+
+
+def backtest_parts(
+    frame: DataFrame, keys: Sequence[str] = features.SERIES, models: Sequence[str] = tuple(MODELS), chunk_rows: int = S.CHUNK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Scored rows of the last fifth of every series, and the status of every series and model."""
+    series, fits = prepared(frame, keys, chunk_rows)
+    split = S.holdout(clean_series(series, fits))
+    split = split.with_df(cut_lineage(split.df))
+    rows = cut_lineage(backtest_predictions(split, models))
+    return rows, backtest_status(series, split, rows, models)
 
 
 def backtest(
@@ -92,10 +125,7 @@ def backtest(
     report_by: Sequence[str] = ("item_name",), chunk_rows: int = S.CHUNK_ROWS,
 ) -> DataFrame:
     """Error measures and grade per ``report_by`` and model on the last fifth of every series."""
-    series, fits = prepared(frame, keys, chunk_rows)
-    split = S.holdout(clean_series(series, fits))
-    split = split.with_df(cut_lineage(split.df))
-    rows = backtest_predictions(split, models)
+    rows, _ = backtest_parts(frame, keys, models, chunk_rows)
     measured = accuracy.metrics(rows, [*report_by, "model_type"])
     return measured.withColumn("grade", accuracy.grade("mase"))
 
@@ -115,8 +145,11 @@ def _steps_to_dates(values: DataFrame, ahead: DataFrame, keys: Sequence[str]) ->
     return ranking.join_groups(values, ahead.select(*keys, "step", "ds"), [*keys, "step"])
 
 
-def forecasts(series: S.Series, months: int, models: Sequence[str] = tuple(MODELS), length: int = SEQUENCE_LENGTH) -> DataFrame:
-    """Values of every model for the months after the last one: key, ``ds``, value, bounds."""
+def forecasts(series: S.Series, months: int, models: Sequence[str] = tuple(MODELS), length: int = SEQUENCE_LENGTH, method: str = "linear") -> DataFrame:
+    """Values of every model for the months after the last one: key, ``ds``, value, bounds.
+
+    ``method`` is that of the pooled regression: ``linear`` or ``boosted``.
+    """
     keys = list(series.keys)
     ahead = forecast.future_months(series.df, keys, months)
     parts = []
@@ -133,7 +166,7 @@ def forecasts(series: S.Series, months: int, models: Sequence[str] = tuple(MODEL
             scaled = pooled_input(whole)
             scaled = scaled.with_df(cut_lineage(scaled.df))
             names = [f"{c}_scaled" for c in POOLED_FEATURES]
-            pooled = forecast.fit_pooled(pooled_windows(scaled, length), names, length)
+            pooled = forecast.fit_pooled(pooled_windows(scaled, length), names, length, method=method)
             values = forecast.recur_pooled(pooled, forecast.last_window(scaled, names, length), keys, months)
             values = _unscale(values, _ranges(whole), keys)
             made = _steps_to_dates(values, ahead, keys).select(
@@ -244,6 +277,13 @@ def run_time_series(frame: DataFrame, generated_at: str, months: int = 6, min_po
 
 
 def merge_predictions(*families: DataFrame) -> DataFrame:
+    """Prediction rows of several families of models as one batch."""
     return features.merge(list(families))
 
 
+def describe(predictions: DataFrame) -> DataFrame:
+    """Rows, items and months per model of a batch, with the versions that it holds."""
+    return predictions.groupBy("model_type").agg(
+        F.count(F.lit(1)).alias("predictions"), F.countDistinct("item_name").alias("items"), F.countDistinct("prediction_date").alias("months"),
+        F.countDistinct("model_version").alias("versions"), F.countDistinct("prediction_id").alias("ids"),
+    )

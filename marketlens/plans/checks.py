@@ -5,13 +5,8 @@ Year bounds depend on the period under analysis and are arguments.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
-from pyspark.sql import DataFrame
-
 from ..functions import vocabulary as V
-from ..operators.quality import Checks, run_checks
+from ..operators.quality import Checks
 
 _MONTH = (1, 12)
 _SEASONS = ["春", "夏", "秋", "冬"]
@@ -24,7 +19,7 @@ _VOLATILITY = ["高変動", "中変動", "低変動", "安定"]
 _FROM_ZERO = (0, None)
 
 
-def declared(first_year: int, last_year: int, stations: DataFrame | None = None) -> dict[str, Checks]:
+def declared(first_year: int, last_year: int) -> dict[str, Checks]:
     """Checks by table name. Columns, lists and bounds."""
     years = (first_year, last_year)
     return {
@@ -82,7 +77,7 @@ def declared(first_year: int, last_year: int, stations: DataFrame | None = None)
             ranges={"observation_month": _MONTH, "observation_day": (1, 31), "avg_humidity": (0, 100),
                     "max_precipitation_1h": _FROM_ZERO, "total_precipitation": _FROM_ZERO, "avg_wind_speed": _FROM_ZERO,
                     "max_wind_speed": _FROM_ZERO, "total_sunshine": _FROM_ZERO},
-            parents={} if stations is None else {"station_key": (stations, "station_key")},
+            parents={"station_key": ("dim_station", "station_key")},
         ),
         "dim_location": Checks(
             unique=("location_key",),
@@ -138,8 +133,3 @@ def declared(first_year: int, last_year: int, stations: DataFrame | None = None)
                     "price_12month_ma": _FROM_ZERO, "price_volatility_12m": _FROM_ZERO},
         ),
     }
-
-
-def run_suite(tables: Mapping[str, DataFrame], checks: Mapping[str, Checks]) -> DataFrame:
-    """Failing rows per table and check, for the tables given."""
-    return reduce(DataFrame.unionByName, [run_checks(df, name, checks[name]) for name, df in tables.items()])

@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "part supplier nation lineitem orders events pages documents".split()
-QUICK = ("price_trend", "stg_weather_dedup", "dim_location", "fact_predictions", "file_links", "run_report", "latest_metadata", "month_slices")
+QUICK = ("price_trend", "stg_weather_dedup", "dim_location", "fact_predictions", "file_links", "run_report", "latest_metadata", "month_slices", "forecast_trend_regressors", "forecast_autoregressive", "model_bundle")
 
 
 def test_registry():
@@ -15,7 +15,7 @@ def test_registry():
     from marketlens.catalog import QUERIES
 
     assert set(QUERIES) - set(oracle) == {
-        "forecast_autoregressive", "forecast_recursive", "backtest", "prediction_batch",
+        "forecast_recursive_boosted", "backtest", "prediction_batch",
         "train_regressors", "feature_importance", "best_model", "regression_batch",
     }
 

@@ -275,3 +275,64 @@ def test_registered_regressors_have_the_default_sizes(spark, monkeypatch):
         forest, boost = seen["random_forest"], seen["gradient_boosting"]
         assert (forest.getNumTrees(), forest.getMaxDepth(), boost.getMaxIter(), boost.getMaxDepth()) == (100, 15, 100, 6)
         assert ("linear_regression" in seen) == (name != "feature_importance")
+
+
+def test_every_order_from_one_matrix_of_lag_products(spark):
+    """Coefficients, AIC and choice equal a fit per order and series; no row is repeated."""
+    rng = np.random.default_rng(11)
+    values = {"walk": 50 + rng.normal(size=80).cumsum(), "short": 9 + rng.normal(size=25)}
+    season = 20 + 5 * np.sin(np.arange(90) * 2 * np.pi / 12) + 0.2 * rng.normal(size=90)
+    values["season"] = season
+    df = series(spark, values["walk"], "walk").union(series(spark, values["short"], "short")).union(series(spark, season, "season"))
+    s = S.index_series(df, ["item"], ["year", "month"], fits=True)
+    plan = forecast.fit_autoregression(s)
+    assert "Generate" not in plan._jdf.queryExecution().executedPlan().toString()
+    for row in plan.collect():
+        y = values[row["item"]]
+        long = len(y) > forecast.SEASONAL_MIN_ROWS
+        orders = [o for o in forecast.ORDERS if long or not o.seasonal]
+        first = max(k + o.d for o in orders for k in (0, *o.lags))
+        fits = []
+        for o in orders:
+            z = np.diff(y - y.mean(), o.d)
+            at = np.arange(first, len(y)) - o.d
+            x = np.column_stack([np.ones(len(at)), *[z[at - k] for k in o.lags]])
+            coef, rss, *_ = np.linalg.lstsq(x, z[at], rcond=None)
+            fits.append((len(at) * np.log(rss[0] / len(at)) + 2 * (x.shape[1] + 1), o, coef))
+        aic, order, coef = min(fits, key=lambda f: f[0])
+        assert (row["p"], row["d"], row["seasonal"]) == (order.p, order.d, order.seasonal)
+        assert row["aic"] == pytest.approx(aic, rel=1e-6)
+        np.testing.assert_allclose(row["coef"][1:], coef[1:], atol=1e-6)
+
+
+@pytest.mark.parametrize("method", ["linear", "boosted"])
+def test_recursion_equals_scoring_step_by_step(spark, method):
+    rng = np.random.default_rng(2)
+    data = []
+    for name in "abcde":
+        y = 0.5 + 0.3 * np.sin(np.arange(60) / 3 + ord(name)) + 0.02 * rng.normal(size=60)
+        data += [(name, yr, m, dt.date(yr, m, 1), float(v), float(v * v)) for (yr, m), v in zip(months(60), y)]
+    df = spark.createDataFrame(data, "item string, year bigint, month bigint, ds date, y double, z double")
+    s = S.index_series(df, ["item"], ["year", "month"], fits=True)
+    pooled = forecast.fit_pooled(S.sequences(s, ["y", "z"], "y", 6), ["y", "z"], 6, method=method, rounds=8, depth=4)
+    last = forecast.last_window(s, ["y", "z"], 6)
+    got = {(r["item"], r["step"]): r["y_scaled_pred"] for r in forecast.recur_pooled(pooled, last, ["item"], 5).collect()}
+    window = {r["item"]: [(w["y"], w["z"]) for w in r["window"]] for r in last.collect()}
+    for step in range(1, 6):
+        now = spark.createDataFrame(list(window.items()), "item string, window array<struct<y: double, z: double>>")
+        for r in pooled.score(now).collect():
+            assert got[r["item"], step] == pytest.approx(r["y_scaled_pred"], abs=1e-12)
+            window[r["item"]] = [*window[r["item"]][1:], (r["y_scaled_pred"], window[r["item"]][-1][1])]
+    assert len(got) == 25
+
+
+def test_ensemble_of_single_leaves(spark):
+    """Constant targets give trees without a split."""
+    rows = spark.createDataFrame([("a", i // 12 + 2000, i % 12 + 1, dt.date(i // 12 + 2000, i % 12 + 1, 1), 3.0) for i in range(30)], "item string, year bigint, month bigint, ds date, y double")
+    s = S.index_series(rows, ["item"], ["year", "month"], fits=True)
+    pooled = forecast.fit_pooled(S.sequences(s, ["y"], "y", 4), ["y"], 4, method="boosted", rounds=3, depth=3)
+    assert forecast.read_ensemble(pooled.model).depth == 0
+    got = forecast.recur_pooled(pooled, forecast.last_window(s, ["y"], 4), ["item"], 3).collect()
+    assert [r["y_scaled_pred"] for r in got] == [3.0] * 3
+    with pytest.raises(ValueError):
+        forecast.fit_pooled(S.sequences(s, ["y"], "y", 4), ["y"], 4, method="other")

@@ -37,3 +37,27 @@ def test_content_score(spark):
 def test_every_table_is_declared():
     names = set(checks.declared(2020, 2030))
     assert len(names) == 14 and {"price_movement", "mart_dashboard", "dim_time"} <= names
+
+
+def test_suite_reads_each_table_once_and_finds_orphans(spark, tmp_path):
+    """Later tables are built from saved ones; all key checks are one count."""
+    spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("z", -1)], "k string, v long").write.parquet(str(tmp_path / "t"))
+    built = []
+
+    def child(saved):
+        built.append(sorted(saved))
+        return saved["t"].withColumn("k", F.when(F.col("k") == "z", "missing").otherwise(F.col("k")))
+
+    suite = {"t": lambda _: spark.read.parquet(str(tmp_path / "t")), "parent": lambda saved: saved["t"].select("k"), "child": child, "none": lambda saved: saved["t"].limit(0)}
+    rules = {
+        "t": Q.Checks(unique=("k", "v"), ranges={"v": (0, None)}, not_null=("k",)),
+        "child": Q.Checks(unique=("k",), parents={"k": ("parent", "k")}),
+        "none": Q.Checks(unique=("k",), not_null=("k",), parents={"k": ("parent", "k")}),
+    }
+    got = {(r["table_name"], r["check"], r["column_name"]): r["failures"] for r in Q.run_suite(suite, rules).collect()}
+    assert built == [["parent", "t"]]
+    assert got == {
+        ("t", "unique", "k"): 1, ("t", "unique", "v"): 0, ("t", "accepted_range", "v"): 1, ("t", "not_null", "k"): 1,
+        ("child", "unique", "k"): 1, ("child", "relationships", "k"): 1,
+        ("none", "unique", "k"): 0, ("none", "not_null", "k"): 0, ("none", "relationships", "k"): 0,
+    }

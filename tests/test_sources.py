@@ -160,3 +160,38 @@ def test_links_in_all_quote_forms(spark):
     html = "<a href='/f/y2020&amp;x'>one</a> <a class=b href=/f/y2021&x>two</a> <a href=\"/f/y2022&x\">three</a>"
     found = links.extract_links(spark.createDataFrame([(html,)], "html string"), r"/f/(y)(\d{4})(\d{2})?&x", "http://h")
     assert {(r["year"], r["url"]) for r in found.collect()} == {(2020, "http://h/f/y2020&x"), (2021, "http://h/f/y2021&x"), (2022, "http://h/f/y2022&x")}
+
+
+@pytest.mark.parametrize(("count", "files", "share"), [(3, 512, 1 / 4), (4, 256, 2 / 5)])
+def test_filters_on_any_cluster_column_skip_files(spark, tmp_path, count, files, share):
+    """A filter for one value of any of the columns is admitted by a small share of the files. With 2 ** k
+    files, each of c columns is halved about k / c times; files do not end at the halves exactly."""
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    columns = ["item", "market", "day", "price"]
+    df = spark.range(60_000, numPartitions=4).selectExpr(
+        "concat('i', lpad(cast(rand(1) * 97 as int), 3, '0')) AS item", "concat('m', cast(rand(2) * 60 as int)) AS market",
+        "date_add(date'1999-01-01', cast(rand(3) * 900 as int)) AS day", "IF(rand(5) < 0.01, NULL, rand(4) * rand(6) * 900) AS price",
+    )
+    df.write.parquet(str(tmp_path / "raw"))
+    saved = spark.read.parquet(str(tmp_path / "raw"))
+    sinks.write_clustered(saved, str(tmp_path / "out"), columns[:count], files=files)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.columns == saved.columns and out.exceptAll(saved).count() == 0 and out.count() == 60_000
+    found = [pq.read_metadata(f) for f in pathlib.Path(tmp_path, "out").glob("*.parquet")]
+    assert len(found) > 0.8 * files
+    for i, name in enumerate(columns[:count]):
+        stats = [m.row_group(g).column(i).statistics for m in found for g in range(m.num_row_groups)]
+        values = [r[0] for r in saved.filter(f"{name} IS NOT NULL").select(name).sample(0.002, 3).collect()]
+        admitted = [sum(s.has_min_max and s.min <= v <= s.max for s in stats) for v in values]
+        assert sum(admitted) / len(admitted) <= len(found) * share, name
+
+
+def test_cluster_columns_with_few_values(spark, tmp_path):
+    df = spark.createDataFrame([(None, "x"), (None, "x"), (1, "x")], "a int, b string")
+    sinks.write_clustered(df, str(tmp_path / "t"), ["a", "b"], files=4)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    sinks.write_clustered(df.limit(0), str(tmp_path / "e"), ["a", "b"], files=4)
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "e")).count() == 0
