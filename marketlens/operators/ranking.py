@@ -1,13 +1,14 @@
 """Latest rows, ranks and row numbers that stay spread over many tasks.
 
-Plain windows put one group in one task. That is fine while a group is known to be
-small, so the size is measured first; beyond the limit the rows are sorted by range over
-all tasks and numbered from per-partition offsets, which gives the same numbers.
+Ranks by a value are counted: a group's counts per value and their running sums tell how
+many rows are in front. Other row numbers use a window while a group is small, which is
+measured; beyond the limit the rows are sorted by range over all tasks and numbered from
+per-partition offsets, which gives the same numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -115,28 +116,34 @@ def row_number_over(
     )
 
 
-def rank_over(
-    df: DataFrame,
-    name: str,
-    partition: Sequence[str],
-    value: str,
-    descending: bool,
-    tie_keys: Sequence[str],
-    limit: int = MAX_GROUP_ROWS,
-    fits: bool | None = None,
+def _before(source: DataFrame, partition: Sequence[str], order: Sequence[Column], value: Sequence[str]) -> DataFrame:
+    """Rows of a group in front of each distinct ``value``, from the group's counts per value."""
+    counts = source.groupBy(*partition, *value).agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))).drop("_rows")
+
+
+def number_by_value(
+    df: DataFrame, name: str, partition: Sequence[str], value: Mapping[str, Column], ties: Sequence[Column], source: DataFrame | None = None
 ) -> DataFrame:
-    """``RANK`` by one value, with gaps. NULL counts as the smallest value."""
+    """``ROW_NUMBER`` by the leading columns ``value`` (column: its order), then ``ties``, which must settle the rest.
+
+    Rows in front of a value are a running sum over counts per value, so only the distinct values of a
+    group are ordered together, two numbers each; rows are ordered among those of equal value. ``source`` is
+    a saved table with the same rows, if counting ``df`` would make it twice.
+    """
+    keys = [*partition, *value]
+    before = _before(df if source is None else source, partition, list(value.values()), list(value))
+    own = Window.partitionBy(*keys).orderBy(*ties)
+    out = join_groups(df, before, keys)
+    return out.withColumn(name, (F.col("_before") + F.row_number().over(own)).cast("bigint")).drop("_before")
+
+
+def rank_over(df: DataFrame, name: str, partition: Sequence[str], value: str, descending: bool, source: DataFrame | None = None) -> DataFrame:
+    """``RANK`` by one value, with gaps: one more than the rows with a value in front. NULL counts as the smallest."""
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    if fits is None:
-        fits = groups_fit(df, partition, limit)
-    if fits:
-        window = Window.partitionBy(*partition).orderBy(order)
-        return df.withColumn(name, F.rank().over(window).cast("bigint"))
-    keys = [F.col(k).asc() for k in partition]
-    indexed = global_index(df, [*keys, order, *[F.col(k) for k in tie_keys]], "_idx")
-    indexed = _first_index(indexed, partition, "_idx", "_first")
-    indexed = _first_index(indexed, [*partition, value], "_idx", "_first_tie")
-    return indexed.withColumn(name, F.col("_first_tie") - F.col("_first") + 1).drop("_idx", "_first", "_first_tie")
+    out = join_groups(df, _before(df if source is None else source, partition, [order], [value]), [*partition, value])
+    return out.withColumn(name, (F.col("_before") + 1).cast("bigint")).drop("_before")
 
 
 def dense_key(df: DataFrame, name: str, order: Sequence[str], limit: int = MAX_GROUP_ROWS) -> DataFrame:

@@ -131,7 +131,6 @@ def fact_price_movement(
     start_year: int = 2020,
     low: float = 1,
     high: float = 10000,
-    max_group_rows: int = ranking.MAX_GROUP_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Monthly price statistics per series with movement measures, ranks and a row key.
@@ -144,18 +143,12 @@ def fact_price_movement(
     price = F.col("avg_unit_price_yen")
     ties = [F.col(c) for c in (*SERIES, *CATEGORIES)]
     shown = base.filter(F.col("year") >= start_year)
-    month_fits = ranking.groups_fit(shown, ["year", "month"], max_group_rows)
-    ranked = ranking.row_number_over(
-        rows, "monthly_price_rank_within_item", ["item_name", "year", "month"],
-        [price.desc(), *ties[1:]], fits=month_fits,
-    )
-    ranked = ranking.row_number_over(
-        ranked, "monthly_overall_price_rank", ["year", "month"], [price.desc(), *ties], fits=month_fits
-    )
-    keyed = ranking.row_number_over(
-        ranked, "price_movement_key", [], [F.col("year"), F.col("month"), *ties],
-        fits=ranking.groups_fit(shown, [], max_group_rows),
-    )
+    by_price = {"avg_unit_price_yen": price.desc()}
+    ranked = ranking.number_by_value(rows, "monthly_price_rank_within_item", ["item_name", "year", "month"], by_price, ties[1:], source=shown)
+    ranked = ranking.number_by_value(ranked, "monthly_overall_price_rank", ["year", "month"], by_price, ties, source=shown)
+    # Months are counted first, so only the rows of one month are ordered together.
+    months = {"year": F.col("year").asc(), "month": F.col("month").asc()}
+    keyed = ranking.number_by_value(ranked, "price_movement_key", [], months, ties, source=shown)
     spread = F.col("max_unit_price_yen") - F.col("min_unit_price_yen")
     return keyed.select(
         "price_movement_key",

@@ -56,17 +56,15 @@ def mart_price_weather(
     weather_daily: DataFrame,
     stations: DataFrame,
     station_names: Sequence[str] = WEATHER_STATIONS,
-    max_group_rows: int = ranking.MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Monthly series with growth, moving means, rank in the month, and the month's weather.
 
     ``cube`` is a saved ``price_cube``.
     """
     base = from_cube(cube)
-    fits = ranking.groups_fit(base, ["year", "month"], max_group_rows)
-    ranked = ranking.row_number_over(
-        price_trend(base), "monthly_price_rank", ["year", "month"],
-        [F.col("avg_unit_price_yen").desc(), *[F.col(c) for c in (*SERIES, *CATEGORIES)]], fits=fits,
+    ranked = ranking.number_by_value(
+        price_trend(base), "monthly_price_rank", ["year", "month"], {"avg_unit_price_yen": F.col("avg_unit_price_yen").desc()},
+        [F.col(c) for c in (*SERIES, *CATEGORIES)], source=base,
     )
     # The weather has one row per calendar month, so it is sent to every task; a month that
     # holds very many prices is then not gathered in one of them.
@@ -292,7 +290,6 @@ def mart_dashboard(
     start_year: int = 2020,
     min_score: float = 0.5,
     min_points: int = 12,
-    max_group_rows: int = ranking.MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Newest predictions of the coming year with last year's price, consensus and ranks.
 
@@ -309,11 +306,8 @@ def mart_dashboard(
     # An item has one row per date and model, so this window is bounded by the calendar.
     by_item = Window.partitionBy("item_name").orderBy(F.col("avg_mae").asc_nulls_first())
     ranked = joined.withColumn("model_accuracy_rank", F.rank().over(by_item).cast("bigint"))
-    ranked = ranking.rank_over(
-        ranked, "monthly_price_rank", ["prediction_month"], "predicted_price", True,
-        ["item_name", "prediction_date", "model_type"],
-        fits=ranking.groups_fit(summary, ["prediction_month"], max_group_rows),
-    )
+    ranked = cut_lineage(ranked)
+    ranked = ranking.rank_over(ranked, "monthly_price_rank", ["prediction_month"], "predicted_price", True)
     price, score = F.col("predicted_price"), F.col("data_quality_score")
     trusted = F.col("prediction_reliability")
     return ranked.select(

@@ -124,6 +124,23 @@ def empty_text(month: int, status: str, model_available: bool) -> str:
     return f"*{name}の野菜価格予測データが準備できていません*\n\n予測処理の完了をお待ちください。"
 
 
+# Texts of the message.
+MESSAGE = {
+    "error": " | 予測誤差 ",
+    "yen": "円",
+    "good": " (良好)",
+    "place": "位: ",
+    "price": "円/kg\n　予測精度: ",
+    "model": "\n*予測モデル情報*\nバージョン: ",
+    "items": " | 対象品目: ",
+    "updated": "品目 | 更新: ",
+    "header": "AI予測による{}の野菜価格ランキング（安い順）\n\n",
+    "title": "{}の安い野菜TOP10",
+    "movers": "*{}によく変動する野菜*: ",
+    "comma": "、",
+}
+
+
 def _whole(value: str) -> Column:
     return F.col(value).cast("bigint").cast("string")
 
@@ -139,13 +156,13 @@ def message(
     error = F.when(
         F.col("model_mae") != NO_MAE,
         F.concat(
-            F.lit(" | 予測誤差 "), F.col("model_mae").cast("string"), F.lit("円"),
-            F.when(F.col("model_mae") < 50, F.lit(" (良好)")).otherwise(""),
+            F.lit(MESSAGE["error"]), F.col("model_mae").cast("string"), F.lit(MESSAGE["yen"]),
+            F.when(F.col("model_mae") < 50, F.lit(MESSAGE["good"])).otherwise(""),
         ),
     ).otherwise("")
     line = F.concat(
-        F.lit("**"), F.col("place").cast("string"), F.lit("位: "), "item_name", F.lit("** - "), _whole("predicted_price"),
-        F.lit("円/kg\n　予測精度: "), _whole("confidence_pct"), F.lit("% | "), "model_type", error, F.lit("\n\n"),
+        F.lit("**"), F.col("place").cast("string"), F.lit(MESSAGE["place"]), "item_name", F.lit("** - "), _whole("predicted_price"),
+        F.lit(MESSAGE["price"]), _whole("confidence_pct"), F.lit("% | "), "model_type", error, F.lit("\n\n"),
     )
     joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda s: s["t"]), "")
     ranking = placed.agg(
@@ -158,29 +175,29 @@ def message(
                 F.sort_array(F.collect_list(F.struct((-F.col("price_volatility")).alias("v"), "item_name"))),
                 lambda s: s["item_name"],
             ),
-            "、",
+            MESSAGE["comma"],
         )
     )
     model = metadata.agg(
         F.max(
             F.concat(
-                F.lit("\n*予測モデル情報*\nバージョン: "), "version", F.lit(" | 対象品目: "), F.col("items_covered").cast("string"),
-                F.lit("品目 | 更新: "), F.substring("created_at", 1, 10),
+                F.lit(MESSAGE["model"]), "version", F.lit(MESSAGE["items"]), F.col("items_covered").cast("string"),
+                F.lit(MESSAGE["updated"]), F.substring("created_at", 1, 10),
             )
         )
     )
     parts = ranking.select(
         "items", "lines", names.scalar().alias("names"), model.scalar().alias("model_text")
     )
-    full = F.concat(F.lit(f"AI予測による{name}の野菜価格ランキング（安い順）\n\n"), "lines")
+    full = F.concat(F.lit(MESSAGE["header"].format(name)), "lines")
     missing = F.when(
         F.col("model_text").isNull(), F.lit(empty_text(month, status, False))
     ).otherwise(F.lit(empty_text(month, status, True)))
     return parts.select(
-        F.lit(f"{name}の安い野菜TOP10").alias("title"),
+        F.lit(MESSAGE["title"].format(name)).alias("title"),
         "items",
         F.when(F.col("items") > 0, full).otherwise(missing).alias("ranking_text"),
-        F.when(F.col("names") != "", F.concat(F.lit(f"*{name}によく変動する野菜*: "), "names")).otherwise("").alias("seasonal_text"),
+        F.when(F.col("names") != "", F.concat(F.lit(MESSAGE["movers"].format(name)), "names")).otherwise("").alias("seasonal_text"),
         F.coalesce("model_text", F.lit("")).alias("model_text"),
     )
 

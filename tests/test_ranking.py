@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators import ranking
@@ -32,11 +33,22 @@ def test_row_number_same_on_both_paths(sales, rows, partition):
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_same_on_both_paths(sales, rows, descending):
+def test_rank_equals_a_window(sales, rows, descending):
     data = sales.withColumn("price", F.when(F.col("id") % 7 != 0, F.col("price")))
-    small = ranking.rank_over(data, "rk", ["g"], "price", descending, ["id"])
-    large = ranking.rank_over(data, "rk", ["g"], "price", descending, ["id"], limit=10)
-    assert rows(small.select("id", "rk"), "id") == rows(large.select("id", "rk"), "id")
+    order = F.col("price").desc_nulls_last() if descending else F.col("price").asc_nulls_first()
+    window = data.withColumn("rk", F.rank().over(Window.partitionBy("g").orderBy(order)))
+    assert rows(ranking.rank_over(data, "rk", ["g"], "price", descending).select("id", "rk"), "id") == rows(window.select("id", "rk"), "id")
+
+
+@pytest.mark.parametrize("partition", [["g"], []])
+def test_number_by_value_equals_a_window(sales, rows, partition):
+    """Ties in the value, NULL groups and NULL values."""
+    data = sales.withColumns({"price": F.when(F.col("id") % 7 != 0, F.col("price")), "day": F.col("id") % 3})
+    value = {"price": F.col("price").desc(), "day": F.col("day").asc()}
+    window = Window.partitionBy(*partition).orderBy(*value.values(), F.col("id").desc())
+    got = ranking.number_by_value(data, "rn", partition, value, [F.col("id").desc()])
+    assert rows(got.select("id", "rn"), "id") == rows(data.select("id", F.row_number().over(window).alias("rn")), "id")
+    assert got.columns == [*data.columns, "rn"]
 
 
 def test_groups_fit(sales):

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators import aggregates
@@ -54,10 +55,10 @@ def test_price_bounds_apply_to_movement_only(staged):
     assert aggregates.monthly_trades(staged).filter("item_name = 'なす' and sub_category is null").count() == 1
 
 
-def test_movement_same_with_tiny_limits(staged):
+def test_movement_same_with_tiny_chunks(staged):
     columns = None
     results = []
-    for limits in ({}, {"max_group_rows": 2, "chunk_rows": 13}):
+    for limits in ({}, {"chunk_rows": 13}):
         df = facts.fact_price_movement(staged, start_year=2020, **limits)
         columns = df.columns
         results.append(sorted(map(tuple, df.collect())))
@@ -83,7 +84,7 @@ def test_one_row_series(spark):
     assert (row["price_trend_direction"], row["price_anomaly_status"], row["data_quality_level"]) == ("横這い", "正常範囲", "INSUFFICIENT")
 
 
-def test_price_weather_rank_same_with_tiny_limit(spark, staged):
+def test_price_weather_rank_equals_a_window(spark, staged):
     cube = aggregates.price_cube(staged)
     observed = staging.stg_weather(
         spark.createDataFrame(
@@ -94,13 +95,15 @@ def test_price_weather_rank_same_with_tiny_limit(spark, staged):
     )
     stations = dims.dim_station(observed)
     daily = facts.fact_weather_daily(observed, stations)
-    a, b = (marts.mart_price_weather(cube, daily, stations, max_group_rows=n) for n in (10**6, 1))
+    made = marts.mart_price_weather(cube, daily, stations)
+    order = [F.desc("avg_unit_price_yen"), "item_name", "market", "origin", "major_category", "sub_category"]
+    windowed = made.withColumn("_rank", F.row_number().over(Window.partitionBy("year", "month").orderBy(*order)))
+    assert windowed.filter("monthly_price_rank <> _rank").count() == 0 and made.agg(F.max("monthly_price_rank")).first()[0] > 1
     key = ["item_name", "market", "origin", "sub_category", "year", "month"]
     pick = lambda df: {tuple(r[:6]): r[6:] for r in map(tuple, df.select(*key, "monthly_price_rank", "weather_data_quality", "precipitation_category").collect())}
-    assert pick(a) == pick(b)
-    january = [v for k, v in pick(a).items() if k[4:] == (2020, 1)]
+    january = [v for k, v in pick(made).items() if k[4:] == (2020, 1)]
     assert {v[1:] for v in january} == {("COMPLETE", "多雨")}
-    assert {v[1:] for k, v in pick(a).items() if k[4:] == (2020, 2)} == {("INSUFFICIENT", "不明")}
+    assert {v[1:] for k, v in pick(made).items() if k[4:] == (2020, 2)} == {("INSUFFICIENT", "不明")}
 
 
 def test_seasonal_drops_null_category_and_orders_peaks(staged):
@@ -178,12 +181,12 @@ def test_prediction_defaults_and_trend(spark):
     assert fact[None]["predicted_price_trend"] == "PRICE_STABLE" and fact[None]["prediction_reliability"] == "VERY_LOW"
 
 
-def test_dashboard_ranks_same_with_tiny_limit(spark, staged):
+def test_dashboard_ranks(spark, staged):
     changes = [{"prediction_id": f"{i}{m}", "item_name": f"i{i}", "model_type": m, "predicted_price": str(100 + i % 3), "model_mae": float(i + len(m))}
                for i in range(6) for m in ("LSTM", "ARIMA", "PROPHET")]
     fact = facts.fact_predictions(staged_predictions(spark, *changes), "2021-05-10")
     prices = aggregates.monthly_trades(staged)
-    a, b = (marts.mart_dashboard(fact, prices, "2021-05-10", max_group_rows=n) for n in (10**6, 2))
+    made = marts.mart_dashboard(fact, prices, "2021-05-10")
     pick = lambda df: sorted(map(tuple, df.select("item_name", "model_type", "model_accuracy_rank", "monthly_price_rank", "total_models_for_item").collect()))
-    assert pick(a) == pick(b) and len(pick(a)) == 18
-    assert {r[3] for r in pick(a)} == {1, 7, 13} and {r[4] for r in pick(a)} == {3}
+    assert len(pick(made)) == 18
+    assert {r[3] for r in pick(made)} == {1, 7, 13} and {r[4] for r in pick(made)} == {3}
