@@ -6,7 +6,9 @@ numbers by mod 97, and card or phone like numbers announced by a context word) a
 score limit on and where they do not overlap an earlier span. All steps are built-in expressions.
 
 Places come from the pattern alone: splitting a text by a pattern gives the gaps between its
-matches, so running sums of the lengths of gaps and matches are the places, in code points.
+matches, so running sums of the lengths of gaps and matches are the places, in code points. The sums are
+kept by blocks, context is read from the gaps around a match, and overlaps are looked up by halving, so a
+text of very many matches takes time in proportion to them.
 Patterns use possessive repeats and may only begin where a run of their characters begins (or where
 the match before ended), which finds the same leftmost matches in time linear in the text.
 
@@ -16,6 +18,10 @@ table gives an empty table; other columns pass through, and those named like a r
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +54,10 @@ BONUS = 0.2
 BONUS_NUMBER = 0.4
 LIMIT = 0.5
 NEAR = 40
+#: A gap and its match have three characters at least, so ``NEAR`` characters lie in so many of them.
+BACK = 14
+#: Numbers that are summed one after the other in a block of running sums.
+SUMS = 64
 
 
 def digits(text: Column) -> Column:
@@ -103,31 +113,36 @@ def confirmed(kind: str, text: Column) -> Column:
 
 
 def _matches(df: DataFrame, kind: str) -> DataFrame:
-    """Add ``_kind``: confirmed matches (``from``, ``to``, ``score``), or an empty array."""
+    """Add ``_kind``: confirmed matches (``from``, ``to``, ``score``) in order, or an empty array."""
     pattern, text, name = PATTERNS[kind], F.col("_text"), f"_{kind}"
     wanted = text.rlike(NEEDS[kind])
     df = df.withColumn("_m", F.when(wanted, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     # Only texts with matches are split, and only by the pattern that matched.
     df = df.withColumn("_g", F.when(F.size("_m") > 0, F.split(text, pattern, -1)))
-    pairs = F.zip_with("_m", F.slice("_g", F.lit(1), F.size("_m")), lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"), m.alias("text")))
-    df = df.withColumn("_m", pairs).drop("_g")
-    lengths = F.transform("_m", lambda x: x["gap"] + x["n"])
-    df = df.withColumn("_ends", _running(lengths))
-    spans = F.zip_with("_m", "_ends", lambda m, e: F.struct((e - m["n"]).alias("from"), e.alias("to"), m["text"].alias("text")))
-    df = df.withColumn("_m", F.filter(spans, lambda x: confirmed(kind, x["text"]))).drop("_ends")
+    df = df.withColumn("_n", F.zip_with("_m", F.slice("_g", F.lit(1), F.size("_m")), lambda m, g: F.length(g) + F.length(m)))
+    df, end = _running(df, "_n")
+    spans = F.transform("_m", lambda m, i: F.struct(i.alias("i"), (end(i) - F.length(m)).alias("from"), end(i).alias("to"), m.alias("text")))
+    df = df.withColumn("_s", F.filter(spans, lambda x: confirmed(kind, x["text"])))
+
+    def before(i: Column) -> Column:
+        """The last ``NEAR`` characters before match i, from the gaps and matches before it."""
+        some = F.sequence(F.greatest(i - BACK, F.lit(0)), i)
+        parts = F.transform(some, lambda j: F.concat(F.when(j > 0, F.get("_m", j - 1)).otherwise(""), F.get("_g", j)))
+        return F.right(F.array_join(parts, ""), F.lit(NEAR))
 
     def score(x: Column) -> Column:
-        first = F.greatest(x["from"] - NEAR, F.lit(0))
-        before = F.substring(text, first + 1, x["from"] - first)
         bonus = BONUS_NUMBER if kind == "number" else BONUS
-        return F.lit(START[kind]) + F.when(before.rlike(CONTEXT[kind]), bonus).otherwise(0.0)
+        return F.lit(START[kind]) + F.when(before(x["i"]).rlike(CONTEXT[kind]), bonus).otherwise(0.0)
 
-    scored = F.transform("_m", lambda x: F.struct(x["from"].alias("from"), x["to"].alias("to"), score(x).alias("score")))
+    scored = F.transform("_s", lambda x: F.struct(x["from"].alias("from"), x["to"].alias("to"), score(x).alias("score")))
     empty = F.array().cast("array<struct<from:int,to:int,score:double>>")
-    return df.withColumn(name, F.coalesce(scored, empty)).drop("_m")
+    return df.withColumn(name, F.coalesce(scored, empty)).drop("_m", "_g", "_n", "_s", *_LEVELS)
+
 
+_LEVELS = ("_r1", "_r2", "_r3")
 
-def _running(lengths: Column) -> Column:
+
+def _sums(lengths: Column) -> Column:
     """Running sums of a short array."""
     start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
     return F.aggregate(
@@ -138,6 +153,53 @@ def _running(lengths: Column) -> Column:
     )
 
 
+def _running(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """Running sums of an array column: columns that hold them, and the sum up to an index.
+
+    Sums are kept per block of ``SUMS`` numbers, per block of blocks, and over these, so an array of n
+    numbers costs n times a constant, not its square.
+    """
+    def blocks(values: str, of: Callable[[Column], Column]) -> Column:
+        last = F.floor((F.size(values) - 1) / SUMS).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), last), lambda b: _sums(F.transform(F.slice(values, b * SUMS + 1, F.lit(SUMS)), of)))
+        return F.when(F.size(values) > 0, cut)
+
+    total = lambda block: F.element_at(block, -1)
+    df = df.withColumn("_r1", blocks(name, lambda x: x))
+    df = df.withColumn("_r2", blocks("_r1", total))
+    df = df.withColumn("_r3", _sums(F.transform("_r2", total)))
+
+    def block(i: Column) -> Column:
+        return F.floor(i / SUMS).cast("int")
+
+    def of_blocks(i: Column) -> Column:
+        """Sum of the blocks up to i."""
+        higher = F.when(block(i) > 0, F.get("_r3", block(i) - 1)).otherwise(0)
+        return F.get(F.get("_r2", block(i)), i % SUMS) + higher
+
+    def upto(i: Column) -> Column:
+        return F.get(F.get("_r1", block(i)), i % SUMS) + F.when(block(i) > 0, of_blocks(block(i) - 1)).otherwise(0)
+
+    return df, upto
+
+
+def _clear(x: Column, spans: str) -> Column:
+    """No span of a sorted array without overlaps meets ``x``, by halving."""
+    array = F.col(spans)
+    start = F.struct(F.lit(0).alias("low"), F.size(array).alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        open_ = s["low"] < s["high"]
+        right = F.get(array, middle)["from"] < x["to"]
+        return F.struct(
+            F.when(open_ & right, middle + 1).otherwise(s["low"]).alias("low"), F.when(open_ & ~right, middle).otherwise(s["high"]).alias("high")
+        )
+
+    before = F.aggregate(F.sequence(F.lit(1), F.lit(31)), start, halve, lambda s: s["low"])
+    return F.size(array).eqNullSafe(0) | ~F.coalesce(F.get(array, before - 1)["to"] > x["from"], F.lit(False))
+
+
 def _labelled(kind: str, order: int) -> Column:
     return F.transform(
         F.col(f"_{kind}"),
@@ -147,19 +209,27 @@ def _labelled(kind: str, order: int) -> Column:
     )
 
 
+def _added(earlier: Sequence[str]) -> Callable[[Column], Column]:
+    """Sure enough, and meeting no span of the ``earlier`` kinds."""
+    kinds = [f"_{k}" for k in earlier]
+    return lambda x: reduce(and_, [_clear(x, k) for k in kinds], x["score"] >= LIMIT)
+
+
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``base_spans`` and ``all_spans``: arrays of (from, order, to, kind, score), sorted."""
     df = docs.drop("base_spans", "all_spans").withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     for kind in PATTERNS:
         df = _matches(df, kind)
-    base = F.sort_array(F.flatten(F.array(*[_labelled(k, i) for i, k in enumerate(BASE)])))
-    df = df.withColumn("base_spans", base)
-    df = df.withColumn("all_spans", F.col("base_spans"))
-    for i, kind in enumerate(PATTERNS):
+    # An added kind gives way to the base kinds and to the kinds added before it.
+    earlier = list(BASE)
+    for kind in PATTERNS:
         if kind not in BASE:
-            clear = lambda x: ~F.exists("all_spans", lambda b: (b["from"] < x["to"]) & (x["from"] < b["to"]))
-            added = F.filter(_labelled(kind, i), lambda x: (x["score"] >= LIMIT) & clear(x))
-            df = df.withColumn("all_spans", F.when(F.size(f"_{kind}") > 0, F.sort_array(F.concat("all_spans", added))).otherwise(F.col("all_spans")))
+            df = df.withColumn(f"_{kind}", F.when(F.size(f"_{kind}") > 0, F.filter(f"_{kind}", _added(earlier))).otherwise(F.col(f"_{kind}")))
+            earlier.append(kind)
+    every = {k: _labelled(k, i) for i, k in enumerate(PATTERNS)}
+    df = df.withColumn("base_spans", F.sort_array(F.flatten(F.array(*[every[k] for k in BASE]))))
+    added = F.flatten(F.array(*[every[k] for k in PATTERNS if k not in BASE]))
+    df = df.withColumn("all_spans", F.when(F.size(added) > 0, F.sort_array(F.concat("base_spans", added))).otherwise(F.col("base_spans")))
     return df.drop("_text", *[f"_{k}" for k in PATTERNS])
 
 
