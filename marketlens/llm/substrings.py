@@ -1,11 +1,11 @@
 """Substring dedup by level-wise doubling.
 
 A run of ``length`` words that occurs in two documents has all its parts in both. So first short
-windows (half the length) are compared: of each long window only the part with the smallest hash is
-taken, which is the same part wherever the window occurs, and only parts that occur in two documents
-survive. Survivors alone are extended to twice their length (never beyond ``length``) and compared
-again, until the length is reached; with none left it ends early. A word is removed when a window of
-the full length covers it that also starts in a document with a smaller doc_id.
+windows (``START`` words at most) are compared: of each window of twice the length only the part with the
+smallest hash is taken, which is the same part wherever the window occurs, and only parts that occur in two
+documents survive. Windows whose part has survived are extended to twice their length (never beyond
+``length``) and compared again, until the length is reached; when none survive it ends early. A word is
+removed when a window of the full length covers it that also starts in a document with a smaller doc_id.
 
 Rows with equal texts are one text for all comparisons: the first keeps its place, the others lose
 every word that some window covers. Short windows are compared by 64-bit hashes, which only proposes;
@@ -31,14 +31,23 @@ from .common import LAST_ID, documents, lookup
 from .hashing import each_text, windows
 
 LENGTH = 13
+#: Most words of the first windows.
+START = 7
+#: Windows that a task holds together.
+SLICE = 1 << 20
 
 
 def _levels(length: int) -> list[int]:
-    """Half of ``length`` (rounded up) and its double, not beyond ``length``."""
+    """A short length and its doubles, the last cut to ``length``."""
     if length < 2:
         raise ValueError("windows need at least two words")
     first = (length + 1) // 2
-    return [first, min(2 * first, length)]
+    while first > START:
+        first = (first + 1) // 2
+    levels = [first]
+    while levels[-1] < length:
+        levels.append(min(2 * levels[-1], length))
+    return levels
 
 
 def _digest(words: list[bytes]) -> str:
@@ -70,24 +79,45 @@ def _smallest(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return at, np.unique(at)
 
 
-def _parts(length: int, short: int) -> Callable:
-    """Hashes of the short windows that stand for the long ones of each row."""
+def _alive(hashes: np.ndarray, length: int, short: int, parts: pa.Scalar) -> np.ndarray:
+    """Starts of the windows of ``length`` whose part of ``short`` words is among ``parts``."""
+    known = np.asarray(parts.values if parts.is_valid else [], np.int64).view(np.uint64)
+    part = windows(hashes, short)
+    return np.flatnonzero(np.isin(part[_smallest(part, length - short + 1)[0]], known))
+
+
+def _joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *arrays])
+
+
+def _parts(length: int, short: int, before: int | None) -> Callable:
+    """Hashes of the short windows that stand for the long ones of each row; of windows whose own part of
+    ``before`` words has survived, if there was a level before."""
+
+    def made(out: list[np.ndarray], rows: list[int]) -> pa.RecordBatch:
+        places = np.repeat(np.array(rows, np.int64), [len(x) for x in out])
+        return pa.RecordBatch.from_pydict({"part": pa.array(_joined(out, np.uint64).view(np.int64)), "place": pa.array(places)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column("place").to_numpy()
             out: list[np.ndarray] = []
             rows: list[int] = []
+            held = 0
             for i, hashes in each_text(batch.column("text")):
-                if len(hashes) >= length:
-                    part = windows(hashes, short)
-                    out.append(np.unique(part[_smallest(part, length - short + 1)[1]]))
-                    rows.append(i)
-            sizes = [len(x) for x in out]
-            every = np.concatenate([np.zeros(0, np.uint64), *out])
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array(every.view(np.int64)), "place": pa.array(np.repeat(places[rows], sizes).astype(np.int64))}
-            )
+                if len(hashes) < length:
+                    continue
+                part = windows(hashes, short)
+                chosen = _smallest(part, length - short + 1)[1]
+                if before is not None:
+                    chosen = np.intersect1d(chosen, _alive(hashes, short, before, batch.column("parts")[i]))
+                out.append(np.unique(part[chosen]))
+                rows.append(places[i])
+                held += len(out[-1])
+                if held > SLICE:
+                    yield made(out, rows)
+                    out, rows, held = [], [], 0
+            yield made(out, rows)
 
     return run
 
@@ -95,28 +125,29 @@ def _parts(length: int, short: int) -> Callable:
 def _longs(length: int, short: int) -> Callable:
     """Two hashes and the start of every long window whose part survived."""
 
+    def made(found: list[tuple[np.ndarray, ...]], places: list[int], texts: list[int]) -> pa.RecordBatch:
+        sizes = [len(f[0]) for f in found]
+        spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), sizes))
+        hashes = lambda k: pa.array(_joined([f[k] for f in found], np.uint64).view(np.int64))
+        return pa.RecordBatch.from_pydict(
+            {"one": hashes(0), "two": hashes(1), "place": spread(places), "_t": spread(texts), "start": pa.array(_joined([f[2] for f in found], np.int64).astype(np.int32))}
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, texts = batch.column("place").to_numpy(), batch.column("_t").to_numpy()
-            parts = batch.column("parts")
-            one, two, at = [], [], []
+            every = [batch.column(c).to_numpy() for c in ("place", "_t")]
+            found: list[tuple[np.ndarray, ...]] = []
+            rows: list[tuple[int, int]] = []
+            held = 0
             for i, hashes in each_text(batch.column("text")):
-                alive = np.asarray(parts[i].values if parts[i].is_valid else [], np.int64).view(np.uint64)
-                part = windows(hashes, short)
-                where, _ = _smallest(part, length - short + 1)
-                starts = np.flatnonzero(np.isin(part[where], alive))
-                one.append(windows(hashes, length)[starts])
-                two.append(windows(hashes, length, seed=7)[starts])
-                at.append(starts)
-            sizes = [len(x) for x in at]
-            join = lambda x: np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "one": pa.array(join(one)), "two": pa.array(join(two)),
-                    "place": pa.array(np.repeat(places[: len(at)], sizes)), "_t": pa.array(np.repeat(texts[: len(at)], sizes)),
-                    "start": pa.array(np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int32)),
-                }
-            )
+                starts = _alive(hashes, length, short, batch.column("parts")[i])
+                found.append((windows(hashes, length)[starts], windows(hashes, length, seed=7)[starts], starts))
+                rows.append((every[0][i], every[1][i]))
+                held += len(starts)
+                if held > SLICE:
+                    yield made(found, [r[0] for r in rows], [r[1] for r in rows])
+                    found, rows, held = [], [], 0
+            yield made(found, [r[0] for r in rows], [r[1] for r in rows])
 
     return run
 
@@ -152,7 +183,8 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     # Null ids come last; no other row is on the last place.
     place = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), place.alias("place"), text.alias("text"), F.xxhash64(text).alias("_t"))
-    short, full = _levels(length)
+    levels = _levels(length)
+    full = levels[-1]
 
     profile = rows.mapInArrow(_profiler, "place bigint, _t bigint, n_words bigint, digest string, doc_id bigint")
     profile = cut_lineage(profile)
@@ -163,13 +195,19 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fal
     copies = cut_lineage(profile.filter("copy").select("place", "_t").distinct())
     compared = lookup(rows, copies, ["place", "_t"], "left_anti")
 
-    parts = compared.select("place", "text").mapInArrow(_parts(full, short), "part bigint, place bigint")
-    twice = parts.groupBy("part").agg(F.min("place").alias("_low"), F.max("place").alias("_high")).filter("_low < _high").select("part")
-    alive = cut_lineage(parts.join(twice, "part").groupBy("place").agg(F.collect_set("part").alias("parts")))
-    chosen = lookup(compared.select("place", "_t", "text"), cut_lineage(alive.select("place")), ["place"], "left_semi")
-    chosen = cut_lineage(chosen)
+    chosen, alive, before = compared.select("place", "_t", "text"), None, None
+    for short, longer in zip(levels, levels[1:]):
+        read = chosen if alive is None else chosen.join(alive, "place")
+        made = _parts(longer, short, before)
+        parts = read.select("place", "text", *(["parts"] if alive is not None else [])).mapInArrow(made, "part bigint, place bigint")
+        twice = parts.groupBy("part").agg(F.min("place").alias("_low"), F.max("place").alias("_high")).filter("_low < _high").select("part")
+        alive = cut_lineage(parts.join(twice, "part").groupBy("place").agg(F.collect_set("part").alias("parts")))
+        chosen = cut_lineage(lookup(chosen, cut_lineage(alive.select("place")), ["place"], "left_semi"))
+        before = short
+        if not alive.limit(1).count():
+            break
     extended = chosen.join(alive, "place").select("place", "_t", "text", "parts")
-    longs = cut_lineage(extended.mapInArrow(_longs(full, short), "one bigint, two bigint, place bigint, _t bigint, start int"))
+    longs = cut_lineage(extended.mapInArrow(_longs(full, before), "one bigint, two bigint, place bigint, _t bigint, start int"))
     # Of each window the smallest place keeps it.
     first = longs.groupBy("one", "two").agg(F.min("place").alias("_first"), F.max("place").alias("_last")).filter("_first < _last")
     hit = longs.join(first.select("one", "two", "_first"), ["one", "two"]).filter(F.col("place") > F.col("_first"))
