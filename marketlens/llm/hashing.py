@@ -6,7 +6,8 @@ so memory follows the slice (or the longest single text), not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +114,32 @@ def each_text(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, np.n
         hashes, bounds = word_hashes(raw[at[0] : at[-1]], at - at[0], lower)
         for i in range(first, last):
             yield i, hashes[bounds[i - first] : bounds[i - first + 1]]
+
+
+def parities(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """``words`` words of 64 bits for every set: bits that an odd number of its elements fall on. Two sets
+    differ in as many elements at least as in bits."""
+    size = 64 * words
+    owner = np.repeat(np.arange(len(sets)) * size, [len(s) for s in sets])
+    at = owner + (np.concatenate([np.zeros(0, np.uint64), *sets]) % np.uint64(size)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(sets) * size) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sets), size), axis=1).view(np.int64)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, giving back what memory it has freed when a task ends: workers serve later stages too, and
+    the pages of freed arrays would otherwise stay with them."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task

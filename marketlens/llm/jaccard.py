@@ -4,8 +4,8 @@ The join is a sparse product of the document by n-gram incidence with its transp
 equal sets are one row of it. Columns are put in one order, rare n-grams first; two sets can only be
 similar if they share an n-gram among the first few of both (a quarter and one, for 0.75), so only
 those entries are multiplied, and a product is dropped at once if the sizes, or the places of the
-shared n-gram among those that other sets have too, or the bits in which sketches of the first entries
-differ, bound the overlap below what the similarity needs. Then the overlap of the first entries is
+shared n-gram among those that other sets have too, or the parity bits in which the whole sets differ,
+bound the overlap below what the similarity needs. Then the overlap of the first entries is
 counted, which bounds the rest, and for what is left that of the whole sets.
 
 Products are made in blocks. First each n-gram's rows meet a few rows of it that a hash picks, which
@@ -13,8 +13,8 @@ links nearly all members of a group of near copies; then, per n-gram, rows of ot
 all rows. Pairs inside one component need no product, so a group of copies costs as many products as
 it has members, not their square, and no link between components is lost.
 
-Frequent n-grams are found by counting what recurs within each batch of rows, over all rows; the
-``FREQUENT`` most common are put last in the order. Any order gives the same links.
+Frequent n-grams are found by counting what recurs within each slice of rows, over all rows; up to
+``FREQUENT`` of the most common are put last in the order. Any order gives the same links.
 
 Defined cases: a null or empty text has no set and is linked with nothing; a text with fewer words
 than n is one n-gram; a null doc_id is linked as any other and is no candidate for the smallest id
@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import documents, lookup
+from .common import documents, lookup, ship
 from .graph import components
-from .hashing import each_text, mix, windows
+from .hashing import each_text, mix, parities, released, windows
 
 N = 5
 #: Similarity as a fraction, in whole numbers.
@@ -44,8 +44,11 @@ FREQUENT = 200_000
 FREQUENT_USES = 4
 #: Rows of an n-gram that its other rows meet first are picked by so many hashes.
 PICKS = 8
-#: Words of 64 bits in the sketch of a set's first entries.
-SKETCH = 4
+#: Words of 64 bits in which a bit tells whether an odd number of a set's n-grams fall on it.
+PARITY = 16
+#: N-grams that are held together in a task.
+SLICE = 1 << 20
+_PARITY = [f"w{k}" for k in range(PARITY)]
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
@@ -68,36 +71,44 @@ def _sets(batch: pa.RecordBatch, n: int, seed: int) -> Iterator[tuple[int, np.nd
         yield i, grams, _class(grams, seed)
 
 
-def _column(values, kind: pa.DataType) -> pa.Array:
-    return pa.array(values, kind)
+_PROFILE = "doc_id bigint, t bigint, n bigint, cls bigint, check bigint, gram bigint, uses bigint, " + ", ".join(f"{c} bigint" for c in _PARITY)
+_PREFIX = "gram bigint, cls bigint, n bigint, pos int"
 
 
-_PROFILE = "doc_id bigint, n bigint, cls bigint, check bigint, gram bigint, uses bigint"
-_PREFIX = "gram bigint, cls bigint, n bigint, pos int"
+def _sliced(sets: Iterator[tuple[int, np.ndarray, tuple[int, int]]]) -> Iterator[list[tuple[int, np.ndarray, tuple[int, int]]]]:
+    """Sets of consecutive rows, about ``SLICE`` n-grams at a time."""
+    some, held = [], 0
+    for row in sets:
+        some.append(row)
+        held += len(row[1]) + 1
+        if held >= SLICE:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
 
 
 def _profiler(n: int, seed: int) -> Callable:
-    """Size and class of every row; and n-grams that recur in the batch, with their uses."""
+    """Size and class of every row; and n-grams that recur in the slice, with their uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, seen = [], {}
-            for _, grams, (cls, check) in _sets(batch, n, seed):
-                rows.append((len(grams), cls, check))
-                seen[cls] = grams
-            every, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
-            every, uses = every[uses > 1].view(np.int64), uses[uses > 1]
-            more = len(every)
-            cell = lambda k: _column([r[k] for r in rows] + [None] * more, pa.int64())  # noqa: E731, B023
-            nothing = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": pa.concat_arrays([batch.column("doc_id").cast(pa.int64()), pa.nulls(more, pa.int64())]),
-                    "n": cell(0), "cls": cell(1), "check": cell(2),
-                    "gram": pa.concat_arrays([nothing, pa.array(every)]),
-                    "uses": pa.concat_arrays([nothing, pa.array(uses.astype(np.int64))]),
-                }
-            )
+            for some in _sliced(_sets(batch, n, seed)):
+                seen = {cls: grams for _, grams, (cls, _) in some}
+                bits = dict(zip(seen, parities(list(seen.values()), PARITY), strict=True))
+                every, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
+                every, uses = every[uses > 1].view(np.int64), uses[uses > 1]
+                more, rows = len(every), slice(some[0][0], some[-1][0] + 1)
+                padded = lambda values: pa.concat_arrays([values.cast(pa.int64()), pa.nulls(more, pa.int64())])  # noqa: E731, B023
+                own = lambda values: padded(pa.array(values, pa.int64()))  # noqa: E731, B023
+                words = np.array([bits[cls] for _, _, (cls, _) in some])
+                nothing = pa.nulls(len(some), pa.int64())
+                columns = {
+                    "doc_id": padded(batch.column("doc_id")[rows]), "t": padded(batch.column("t")[rows]), "n": own([len(g) for _, g, _ in some]),
+                    "cls": own([c for _, _, (c, _) in some]), "check": own([c for _, _, (_, c) in some]),
+                    "gram": pa.concat_arrays([nothing, pa.array(every)]), "uses": pa.concat_arrays([nothing, pa.array(uses.astype(np.int64))]),
+                }
+                yield pa.RecordBatch.from_pydict(columns | {c: own(words[:, k]) for k, c in enumerate(_PARITY)})
 
     return run
 
@@ -106,38 +117,33 @@ def _prefixer(n: int, seed: int, frequent: np.ndarray, rank: np.ndarray, similar
     """First entries of every set in the order: rare n-grams by hash, then frequent ones."""
     part, whole = similarity
 
+    def first_entries(grams: np.ndarray) -> np.ndarray:
+        take = len(grams) - -(-part * len(grams) // whole) + 1
+        if not len(frequent):
+            return grams[:take]
+        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
+        common = frequent[at] == grams
+        first = grams[~common][:take]
+        if len(first) == take:
+            return first
+        last = grams[common][np.argsort(rank[at[common]])]
+        return np.concatenate([first, last[: take - len(first)]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[int] = set()
-            out: list[tuple[np.ndarray, int, int]] = []
-            for _, grams, (cls, _) in _sets(batch, n, seed):
-                size = len(grams)
-                if not size or cls in seen:
-                    continue
-                seen.add(cls)
-                take = size - -(-part * size // whole) + 1
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-                    common = frequent[at] == grams
-                    first = grams[~common][:take]
-                    if len(first) < take:
-                        last = grams[common][np.argsort(rank[at[common]])]
-                        first = np.concatenate([first, last[: take - len(first)]])
-                else:
-                    first = grams[:take]
-                out.append((first, cls, size))
-            lengths = np.array([len(x[0]) for x in out], np.int64)
-            grams = np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in out]])
-            starts = np.cumsum(lengths) - lengths
-            spread = lambda k: np.repeat(np.array([x[k] for x in out], np.int64), lengths)  # noqa: E731, B023
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "gram": pa.array(grams.view(np.int64)),
-                    "cls": pa.array(spread(1)),
-                    "n": pa.array(spread(2)),
-                    "pos": pa.array((np.arange(len(grams)) - np.repeat(starts, lengths)).astype(np.int32)),
-                }
-            )
+            for some in _sliced(_sets(batch, n, seed)):
+                distinct = {cls: grams for _, grams, (cls, _) in some if len(grams)}
+                heads = [first_entries(grams) for grams in distinct.values()]
+                lengths = np.array([len(x) for x in heads], np.int64)
+                grams = np.concatenate([np.zeros(0, np.uint64), *heads])
+                starts = np.cumsum(lengths) - lengths
+                spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), lengths))  # noqa: E731, B023
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "gram": pa.array(grams.view(np.int64)), "cls": spread(list(distinct)), "n": spread([len(g) for g in distinct.values()]),
+                        "pos": pa.array((np.arange(len(grams)) - np.repeat(starts, lengths)).astype(np.int32)),
+                    }
+                )
 
     return run
 
@@ -147,10 +153,11 @@ def _setter(n: int, seed: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [(cls, grams.view(np.int64)) for _, grams, (cls, _) in _sets(batch, n, seed)]
-            yield pa.RecordBatch.from_pydict(
-                {"cls": _column([c for c, _ in made], pa.int64()), "grams": _column([g for _, g in made], pa.list_(pa.int64()))}
-            )
+            for some in _sliced(_sets(batch, n, seed)):
+                sets = [grams.view(np.int64) for _, grams, _ in some]
+                yield pa.RecordBatch.from_pydict(
+                    {"cls": pa.array([c for _, _, (c, _) in some], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
+                )
 
     return run
 
@@ -159,9 +166,10 @@ def _profile(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int]:
     """Saved profile rows, one row per class, and the seed under which no two sets share a class."""
     seed = 0
     while True:
-        made = cut_lineage(rows.mapInArrow(_profiler(n, seed), _PROFILE))
+        made = cut_lineage(rows.mapInArrow(released(_profiler(n, seed)), _PROFILE))
         classes = made.filter("n IS NOT NULL").groupBy("cls").agg(
-            F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("check").alias("_low"), F.max("check").alias("_high")
+            F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("check").alias("_low"), F.max("check").alias("_high"),
+            *[F.first(c).alias(c) for c in _PARITY],
         )
         classes = cut_lineage(classes)
         if not classes.filter("_low <> _high").limit(1).count():
@@ -169,6 +177,29 @@ def _profile(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int]:
         seed += 1
 
 
+def _frequent(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent n-grams in the order of their hashes, and their places from the most frequent on, which come
+    last. Only n-grams over a bound of uses reach the driver; it is taken from a count of n-grams by their
+    uses, in steps of an eighth of a doubling."""
+    counted = cut_lineage(profile.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("uses").alias("uses")).filter(F.col("uses") >= FREQUENT_USES))
+    step = F.floor(F.log2("uses") * 8)
+    steps = counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    total, least = 0, None
+    for row in steps:
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        least = row["step"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    top = counted.filter(step >= least).select("gram", "uses").toArrow()
+    grams, uses = top.column("gram").to_numpy().view(np.uint64), top.column("uses").to_numpy()
+    place = np.empty(len(grams), np.int64)
+    place[np.lexsort((grams, uses))] = np.arange(len(grams))
+    order = np.argsort(grams)
+    return grams[order], place[order]
+
+
 def _enough(a: Column, b: Column, overlap: Column, similarity: tuple[int, int]) -> Column:
     """The overlap of sets of sizes ``a`` and ``b`` reaches the similarity."""
     part, whole = similarity
@@ -185,20 +216,11 @@ def _possible(similarity: tuple[int, int]) -> Column:
     return _enough(a, b, F.least(a, b), similarity) & _enough(a, b, by_place, similarity) & _enough(a, b, by_count, similarity)
 
 
-def _sketch() -> list[Column]:
-    """Aggregates over the entries of a set: bits that an odd number of them have."""
-    bit = F.expr("shiftleft(1L, cast(pmod(gram, 64) as int))")
-    word = F.pmod(F.shiftright("gram", 6), F.lit(SKETCH))
-    return [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"s{i}") for i in range(SKETCH)]
-
-
-def _sketched(similarity: tuple[int, int]) -> Column:
-    """What the sketches allow: every bit that differs is an entry that only one of the two has."""
+def _differ(similarity: tuple[int, int]) -> Column:
+    """What the parities of whole sets allow: every bit that differs is an n-gram that only one of the two has."""
     part, whole = similarity
-    apart = sum((F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SKETCH)), F.lit(0))
-    shared = F.floor((F.col("x.e") + F.col("y.e") - apart) / 2)
-    rest = lambda n: F.floor((F.col(n) * part + (whole - 1)) / whole) - 1
-    return _enough(F.col("x.n"), F.col("y.n"), shared + F.greatest(rest("x.n"), rest("y.n")), similarity)
+    apart = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in _PARITY), F.lit(0))
+    return apart * (whole + part) <= (F.col("x.n") + F.col("y.n")) * (whole - part)
 
 
 def _pairs(x: DataFrame, y: DataFrame, differ: Column, similarity: tuple[int, int]) -> DataFrame:
@@ -227,7 +249,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, see
     used = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     ids = cut_lineage(used.join(classes, "cls").select(F.col("first_id").alias("doc_id")).distinct())
     chosen = lookup(rows, ids, ["doc_id"], "left_semi")
-    sets = cut_lineage(chosen.mapInArrow(_setter(n, seed), "cls bigint, grams array<bigint>"))
+    sets = cut_lineage(chosen.mapInArrow(released(_setter(n, seed)), "cls bigint, grams array<bigint>"))
     x = sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga"))
     y = sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(x, "a").join(y, "b")
@@ -237,16 +259,17 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, see
 
 def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return row_components(docs, n, similarity).select("doc_id", "n_shingles", "component_id")
+
+
+def row_components(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """The same with ``t``, the hash of the text that names a row beside its doc_id, and ``component``, a
+    number of the component that is known even where no row of it has an id (null: no set)."""
+    ship(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("t"))
     profile, classes, seed = _profile(rows, n)
-    counted = profile.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("uses").alias("uses"))
-    top = counted.filter(F.col("uses") >= FREQUENT_USES).orderBy(F.desc("uses"), "gram").limit(FREQUENT).select("gram").toArrow()
-    frequent = top.column("gram").to_numpy().view(np.uint64)
-    order = np.argsort(frequent)
-    # The most frequent comes last.
-    rank = (len(frequent) - np.arange(len(frequent)))[order]
-    prefix = rows.mapInArrow(_prefixer(n, seed, frequent[order], rank, similarity), _PREFIX)
+    frequent, rank = _frequent(profile)
+    prefix = rows.mapInArrow(released(_prefixer(n, seed, frequent, rank, similarity)), _PREFIX)
     # One exchange serves both: a class has an n-gram once, so no n-gram outweighs the others.
     same = Window.partitionBy("gram")
     shared = prefix.withColumns({"_low": F.min("cls").over(same), "_high": F.max("cls").over(same)}).filter("_low <> _high")
@@ -254,7 +277,7 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
     own_order, own = Window.partitionBy("cls").orderBy("pos"), Window.partitionBy("cls")
     entries = shared.drop("_low", "_high").distinct()
     entries = cut_lineage(entries.withColumns({"sp": F.row_number().over(own_order) - 1, "e": F.count("*").over(own)}))
-    heads = cut_lineage(entries.groupBy("cls").agg(F.collect_list("gram").alias("head"), *_sketch()))
+    heads = cut_lineage(entries.groupBy("cls").agg(F.collect_list("gram").alias("head")))
 
     pick = F.xxhash64("cls", F.pmod("gram", F.lit(PICKS)))
     leaders = entries.groupBy("gram").agg(F.min(F.struct(pick.alias("p"), "cls", "n", "pos", "sp", "e")).alias("l")).select("gram", "l.cls", "l.n", "l.pos", "l.sp", "l.e")
@@ -268,8 +291,8 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
     sizes = placed.groupBy("gram", "comp").count()
     main = sizes.groupBy("gram").agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
     mixed = placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram")
-    mixed = cut_lineage(mixed.join(heads.drop("head"), "cls"))
-    outer = (F.col("x.comp") != F.col("y.comp")) & _sketched(similarity)
+    mixed = cut_lineage(mixed.join(classes.select("cls", *_PARITY), "cls"))
+    outer = (F.col("x.comp") != F.col("y.comp")) & _differ(similarity)
     rest = _pairs(mixed.filter("comp <> main"), mixed, outer, similarity)
     rest = cut_lineage(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     if rest.limit(1).count():
@@ -278,11 +301,11 @@ def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int]
 
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls"))
     smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    # Only classes with more than one row or with links differ from their rows' own id.
-    found = cut_lineage(named.join(smallest, "comp").select("cls", "component_id"))
-    out = lookup(profile.filter("n IS NOT NULL").select("doc_id", "n", "cls"), found, ["cls"])
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    found = cut_lineage(named.join(smallest, "comp").select("cls", "component_id", F.col("comp").alias("component")))
+    out = lookup(profile.filter("n IS NOT NULL").select("doc_id", "t", "n", "cls"), found, ["cls"])
+    some = F.col("n") > 0
+    component = F.when(some, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "t", F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(some, F.col("component")).alias("component"))
 
 
 def op1_jaccard(spark: SparkSession, folder: str) -> DataFrame:

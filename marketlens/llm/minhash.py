@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import documents, lookup, ship
 from .graph import components
-from .hashing import each_text, mix, windows
+from .hashing import each_text, mix, parities, windows
 
 N = 5
 #: Similarity as a fraction, in whole numbers.
@@ -114,16 +114,6 @@ def _planes(sketch: np.ndarray) -> np.ndarray:
     return np.concatenate(planes, axis=1)
 
 
-def parities(sets: list[np.ndarray]) -> np.ndarray:
-    """Bits that an odd number of a set's elements fall on: two sets differ in as many elements at least
-    as in bits."""
-    size = 64 * PARITY
-    owner = np.repeat(np.arange(len(sets)) * size, [len(s) for s in sets])
-    at = owner + (np.concatenate([np.zeros(0, np.uint64), *sets]) % np.uint64(size)).astype(np.int64)
-    odd = (np.bincount(at, minlength=len(sets) * size) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(len(sets), size), axis=1).view(np.int64)
-
-
 def most_apart(similarity: tuple[int, int], miss: float = MISS, size: int = COORDINATES) -> int:
     """Bins whose two bits may differ: a pair of the asked similarity has more with chance ``miss`` at most."""
     p = 0.75 * (1 - similarity[0] / similarity[1])
@@ -156,7 +146,7 @@ def _profiler(n: int, seed: int) -> Callable:
         names = [c for c, grams in distinct.items() if len(grams)]
         sketch = sketches([distinct[c] for c in names], seed)
         keys = band_keys(sketch).view(np.int64)
-        planes = np.concatenate([_planes(sketch), parities([distinct[c] for c in names])], axis=1)
+        planes = np.concatenate([_planes(sketch), parities([distinct[c] for c in names], PARITY)], axis=1)
         place = {c: k for k, c in enumerate(names)}
         at = pa.array([place.get(r[1]) if r[0] else None for r in rows], pa.int64())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))

@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from marketlens.llm import minhash
+from marketlens.llm import hashing, minhash
 
 
 def shingles_of(text, n=5):
@@ -95,7 +95,7 @@ def test_parities_bound_the_difference():
     for apart in (0, 3, 40, 900):
         common = rng.integers(0, 2**63, 400, dtype=np.uint64)
         more = rng.integers(0, 2**63, apart, dtype=np.uint64)
-        x, y = minhash.parities([common, np.concatenate([common, more])])
+        x, y = hashing.parities([common, np.concatenate([common, more])], 8)
         bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
         assert bits <= apart and (apart or not bits)
         assert bits % 2 == apart % 2
