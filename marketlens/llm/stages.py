@@ -32,12 +32,25 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component one document stays: that of the smallest doc_id."""
-    ship(spark)
-    found = jaccard.jaccard_components(docs)
-    # Documents of a component that are not its smallest id go; null ids stay.
-    gone = cut_lineage(found.filter(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct())
-    return lookup(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    """Of every component one row stays: that of the smallest doc_id (null last), then text hash.
+
+    A row is named by doc_id and text, so two texts of one doc_id are judged each by itself, and of rows
+    that share both one stays. Rows without words are in no component and all stay.
+    """
+    named = packed(docs, "doc_id", "text")
+    found = cut_lineage(jaccard.row_components(named).filter("component IS NOT NULL"))
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
+    first = found.groupBy("component").agg(F.min(name).alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    members = found.join(first, "component")
+    first_row = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("t") == F.col("first.t"))
+    gone = cut_lineage(members.filter(~first_row).select("doc_id", "t").distinct())
+    again = cut_lineage(members.filter(first_row).groupBy("doc_id", "t").count().filter("count > 1").select("doc_id", "t"))
+    rows = named.withColumn("t", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    kept = lookup(rows, gone, ["doc_id", "t"], "left_anti")
+    if again.limit(1).count():
+        once = lookup(kept, again, ["doc_id", "t"], "left_semi").dropDuplicates(["doc_id", "t"])
+        kept = lookup(kept, again, ["doc_id", "t"], "left_anti").unionByName(once)
+    return unpacked(kept, docs.columns, "doc_id", "text")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
