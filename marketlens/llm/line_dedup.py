@@ -10,9 +10,11 @@ only blocks of hot lines (in more documents) are left. Every such block is made
 hot lines, as few as reach ``MIN_CHARS`` from their first line on or back from their last. A run pairs
 each document with the first one that has it. Where a run stays after that (it crosses other shared
 lines there), the other holders before the document are tried too, in rounds that double, one of each
-class of documents whose shared lines are the same in the same order: these align alike. So the result
-is that of aligning each document with all earlier ones, while a line in a third of all documents
-gives about one pair each.
+class of documents whose hot lines are the same in the same order with gaps at the same places. A
+document that shares no rare line with these aligns alike with all of them; where it shares one with the
+member that stands for the class, and so is aligned with it anyway, the next member stands in. So the
+result is that of aligning each document with all earlier ones, while a line in a third of all documents
+gives about one pair each. What remains is a pair per document and order of hot lines that crosses it.
 Documents with equal lines are one document for all this; the later ones lose every line.
 
 Only hashes and lengths of lines are joined and aligned; texts stay where they are until their lines
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.ranking import global_index
 from ..session import cut_lineage
 from .common import GAP_CHARS, LAST_ID, documents, lookup, packed, ship, unpacked
+from .hashing import released
 
 MIN_CHARS = 40
 RARE = 8
@@ -154,14 +157,14 @@ def _windows(sizes: Sequence[int], open_: Sequence[bool], least: int) -> set[tup
 
 
 def _runner(least: int):
-    """Runs of hot lines of a document, and a hash of its shared lines in their order."""
+    """Runs of hot lines of a document, and a hash of its hot lines in their order and of the gaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*_KEY, "lines", "sizes", "hot", "shared")]
+            columns = [batch.column(c).to_pylist() for c in (*_KEY, "lines", "sizes", "hot")]
             rows: list[tuple[int, ...]] = []
-            for place, text, lines, sizes, hot, shared in zip(*columns, strict=True):
-                hot, shared = set(hot), set(shared)
+            for place, text, lines, sizes, hot in zip(*columns, strict=True):
+                hot = set(hot)
                 found = _windows(sizes, [n == 0 or x in hot for x, n in zip(lines, sizes)], least)
                 if not found:
                     continue
@@ -169,8 +172,8 @@ def _runner(least: int):
                 for x, n in zip(lines, sizes):
                     sums.append((sums[-1] * _BASE + x) % _PRIME)
                     powers.append(powers[-1] * _BASE % _PRIME)
-                    # Lines of no other document only part their neighbours.
-                    own = n > 0 and x not in shared
+                    # Other lines only part their neighbours.
+                    own = n > 0 and x not in hot
                     if not (own and gap):
                         form = (form * _BASE + (1 if own else x)) % _PRIME
                     gap = own
@@ -189,7 +192,7 @@ def _aligned(pairs: DataFrame, single: DataFrame, least: int) -> DataFrame:
     """``place``, ``_t``, ``gone`` of the documents of ``pairs`` that lose lines to ``p``, ``t``."""
     others = single.select(F.col("place").alias("p"), F.col("_t").alias("t"), F.col("lines").alias("others"))
     both = pairs.join(others, ["p", "t"]).join(single, _KEY)
-    found = both.select(*_KEY, "lines", "sizes", "others").mapInArrow(_aligner(least), "place bigint, _t bigint, gone array<int>")
+    found = both.select(*_KEY, "lines", "sizes", "others").mapInArrow(released(_aligner(least)), "place bigint, _t bigint, gone array<int>")
     return cut_lineage(found.filter(F.size("gone") > 0).select(*_KEY, F.explode("gone").alias("g")).groupBy(*_KEY).agg(F.collect_set("g").alias("gone")))
 
 
@@ -200,6 +203,20 @@ def _left(runs: DataFrame, gone: DataFrame) -> DataFrame:
     return runs.join(gone, _KEY, "left").filter(~whole).drop("gone")
 
 
+def _stood_in(tried: DataFrame, members: DataFrame, rare_pairs: DataFrame) -> DataFrame:
+    """Pairs ``place``, ``_t``, ``p``, ``t`` of ``tried`` (with ``run``, ``form``). A pair that shares a rare line
+    says nothing of the other members of the class: the first of these that shares none is taken instead."""
+    pair = [*_KEY, "p", "t"]
+    met = cut_lineage(tried.join(rare_pairs, pair, "left_semi").select(*_KEY, "run", "form").distinct())
+    free = tried.select(*pair)
+    if not met.limit(1).count():
+        return free
+    others = members.select("run", "form", F.col("place").alias("p"), F.col("_t").alias("t"))
+    standing = met.join(others, ["run", "form"]).filter(F.col("p") < F.col("place")).join(rare_pairs, pair, "left_anti")
+    first = standing.groupBy(*_KEY, "run", "form").agg(F.min(F.struct("p", "t")).alias("first")).select(*_KEY, "first.p", "first.t")
+    return free.unionByName(first)
+
+
 def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b).groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
 
@@ -231,16 +248,17 @@ def repeated_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) ->
     keys = cut_lineage(keys.join(shared, "h"))
     x, y = keys.filter(F.col("docs") <= rare).alias("x"), keys.filter(F.col("docs") <= rare).alias("y")
     close = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("y.place") < F.col("x.place")))
-    pairs = close.select("x.place", "x._t", F.col("y.place").alias("p"), F.col("y._t").alias("t"))
-    marks = keys.groupBy(*_KEY).agg(F.collect_list(F.when(F.col("docs") > rare, F.col("h"))).alias("hot"), F.collect_list("h").alias("shared"))
-    hot = single.join(marks.filter(F.size("hot") > 0), _KEY)
-    runs = hot.select(*_KEY, "lines", "sizes", "hot", "shared").mapInArrow(_runner(least), "place bigint, _t bigint, run bigint, form bigint, i int, j int")
+    rare_pairs = cut_lineage(close.select("x.place", "x._t", F.col("y.place").alias("p"), F.col("y._t").alias("t")).distinct())
+    marks = keys.filter(F.col("docs") > rare).groupBy(*_KEY).agg(F.collect_list("h").alias("hot"))
+    hot = single.join(marks, _KEY)
+    runs = hot.select(*_KEY, "lines", "sizes", "hot").mapInArrow(released(_runner(least)), "place bigint, _t bigint, run bigint, form bigint, i int, j int")
     runs = cut_lineage(runs)
-    forms = cut_lineage(runs.groupBy("run", "form").agg(F.min(F.struct(*_KEY)).alias("holder")))
-    firsts = forms.groupBy("run").agg(F.min("holder").alias("first"), F.count("*").alias("forms"))
-    runs = cut_lineage(runs.join(firsts, "run").filter(F.col("first.place") < F.col("place")))
-    star = runs.select(*_KEY, F.col("first.place").alias("p"), F.col("first._t").alias("t"))
-    pairs = cut_lineage(pairs.unionByName(star).distinct())
+    members = runs.select("run", "form", *_KEY).distinct()
+    forms = cut_lineage(members.groupBy("run", "form").agg(F.min(F.struct(*_KEY)).alias("holder")))
+    firsts = forms.groupBy("run").agg(F.min(F.struct("holder", "form")).alias("first"), F.count("*").alias("forms"))
+    runs = cut_lineage(runs.join(firsts, "run").filter(F.col("first.holder.place") < F.col("place")))
+    star = runs.select(*_KEY, "run", F.col("first.form").alias("form"), F.col("first.holder.place").alias("p"), F.col("first.holder._t").alias("t"))
+    pairs = cut_lineage(rare_pairs.unionByName(_stood_in(star, members, rare_pairs)).distinct())
     gone = _aligned(pairs, single, least)
     # Runs that stay although other holders are left to try.
     runs = cut_lineage(_left(runs.filter("forms > 1").drop("form", "first", "forms"), gone))
@@ -258,7 +276,8 @@ def repeated_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) ->
             if not runs.limit(1).count():
                 break
             tried = runs.join(ahead.filter(F.col("rank") < low + step), earlier)
-            tried = tried.select(*_KEY, F.col("holder.place").alias("p"), F.col("holder._t").alias("t"))
+            tried = tried.select(*_KEY, "run", "form", F.col("holder.place").alias("p"), F.col("holder._t").alias("t"))
+            tried = _stood_in(cut_lineage(tried.distinct()), members, rare_pairs)
             more = _aligned(cut_lineage(tried.distinct().join(pairs, [*_KEY, "p", "t"], "left_anti")), single, least)
             gone = cut_lineage(_merged(gone, more))
             runs = _left(runs, gone)
@@ -275,6 +294,7 @@ def _named(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, rare: int = RARE) -> DataFrame:
     """Rows of ``docs`` (``doc_id``, ``text``, others) with repeated blocks deleted from ``text``, and
     ``n_lines``, ``n_removed``."""
+    ship(docs.sparkSession)
     named = _named(packed(docs, "doc_id", "text"))
     gone = cut_lineage(repeated_lines(named, least, rare))
     df = lookup(named, gone, _KEY).withColumn("_l", _split(F.col("text")))
