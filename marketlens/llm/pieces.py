@@ -29,13 +29,15 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, ship
+from .hashing import released
 
 SPACE = "▁"
 #: A run of spaces with the word behind it, a line break, or what stands between such.
 UNIT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-#: Units in each of two generations kept per worker, and the longest that is kept.
-KEPT_UNITS = 250_000
+#: Units in each of two generations kept per worker, parts kept, and the longest that is kept.
+KEPT_UNITS = 150_000
+KEPT_PARTS = 50_000
 #: Rows encoded and returned at a time.
 SLICE_ROWS = 500
 KEPT_LENGTH = 40
@@ -196,13 +198,13 @@ class Pieces:
             ids = self.encode(text)
             known = ",".join(map(str, ids)), self.decode(ids)
             if len(text) <= KEPT_LENGTH:
-                if len(self.parts) >= KEPT_UNITS:
+                if len(self.parts) >= KEPT_PARTS:
                     self.parts.clear()
                 self.parts[text] = known
         return known
 
-    def unit(self, text: str) -> tuple[str, str]:
-        """Ids of a unit as decimal text, and the unit decoded from them."""
+    def unit(self, text: str) -> tuple[str, str | None]:
+        """Ids of a unit as decimal text, and the unit decoded from them if that is another text."""
         known = self.older.get(text)
         if known is None:
             body = text[1:] if text[0] == SPACE else text
@@ -215,7 +217,7 @@ class Pieces:
             if len(self.units) >= KEPT_UNITS:
                 self.units, self.older = {}, self.units
             self.units[text] = known
-        return known, text.replace(SPACE, " ")
+        return known, None
 
     def whole(self, text: str) -> tuple[str, str]:
         """Ids of a text as decimal text with commas, and the text decoded from them."""
@@ -224,11 +226,16 @@ class Pieces:
         marked = SPACE + text.replace(" ", SPACE)
         units = UNIT.findall(marked)
         ids = [*map(self.units.get, units)]
-        if None not in ids:
+        odd = {}
+        if None in ids:
+            for i, known in enumerate(ids):
+                if known is None:
+                    ids[i], decoded = self.unit(units[i])
+                    if decoded is not None:
+                        odd[i] = decoded
+        if not odd:
             return ",".join(ids), marked.replace(SPACE, " ").removeprefix(" ")
-        pairs = [(known, None) if known is not None else self.unit(u) for known, u in zip(ids, units)]
-        decoded = [u.replace(SPACE, " ") if d is None else d for (_, d), u in zip(pairs, units)]
-        return ",".join([p[0] for p in pairs]), "".join(decoded).removeprefix(" ")
+        return ",".join(ids), "".join([odd[i] if i in odd else u.replace(SPACE, " ") for i, u in enumerate(units)]).removeprefix(" ")
 
 
 def _utf8(run: bytearray) -> str:
@@ -279,8 +286,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep_ids: bool = Fals
     ``path`` names the model file, which every executor must have.
     """
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_encoder(path, keep_ids), schema)
+    return rows.mapInArrow(released(_encoder(path, keep_ids)), schema)
 
 
 def decode_ids(ids: Column | str, path: str) -> Column:
