@@ -53,8 +53,10 @@ def pieces(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), CUT), "")
 
 
-def vectors(df: DataFrame, texts: dict[str, str], key: str) -> DataFrame:
-    """One row per ``key`` with a vector for each text column of ``texts`` (column: name).
+def vectors(df: DataFrame, texts: dict[str, str], *keys: str) -> DataFrame:
+    """One row per ``keys`` with a vector for each text column of ``texts`` (column: name).
+
+    Where ``df`` is already dealt by one of the keys, the sums need no other exchange.
 
     No lane carries into the next: Spark holds a text's pieces in one array, of fewer bytes than 2^31
     at 8 and more a piece.
@@ -65,16 +67,16 @@ def vectors(df: DataFrame, texts: dict[str, str], key: str) -> DataFrame:
     both = F.concat(*[marked(i, t) for i, t in enumerate(texts)])
     # A piece of length 0 keeps texts without pieces in the result.
     none = F.array(*[F.struct(F.lit(i).alias("i"), F.lit("").alias("p")) for i in range(len(texts))])
-    rows = df.select(key, F.explode(F.concat(none, both)).alias("_p"))
-    rows = rows.select(key, F.col("_p.i").alias("_i"), (F.col("_p.p") != "").alias("_some"), *[F.xxhash64("_p.p", F.lit(i)).alias(f"_h{i}") for i in range(HASHES)])
+    rows = df.select(*keys, F.explode(F.concat(none, both)).alias("_p"))
+    rows = rows.select(*keys, F.col("_p.i").alias("_i"), (F.col("_p.p") != "").alias("_some"), *[F.xxhash64("_p.p", F.lit(i)).alias(f"_h{i}") for i in range(HASHES)])
     rows = rows.withColumns({f"_h{i}": F.when(F.col("_some"), F.col(f"_h{i}")).otherwise(F.lit(0).cast("bigint")) for i in range(HASHES)})
     low = F.lit((1 << 30) - 1)
     sums = [F.sum(F.col("_some").cast("bigint")), F.sum(F.col("_h0").bitwiseAND(low)), F.sum(F.shiftrightunsigned("_h0", 34))]
     sums += [F.sum(F.shiftrightunsigned(f"_h{i}", k).bitwiseAND(F.lit(_LANES))) for i in range(HASHES) for k in range(SHIFTS)]
-    summed = rows.groupBy(key, "_i").agg(*[x.alias(f"_s{k}") for k, x in enumerate(sums)])
+    summed = rows.groupBy(*keys, "_i").agg(*[x.alias(f"_s{k}") for k, x in enumerate(sums)])
     vector = F.array(*[_mod(F.col(f"_s{k}")) for k in range(WIDTH)])
-    summed = summed.select(key, "_i", vector.alias("_v"))
-    return summed.groupBy(key).agg(*[F.first(F.when(F.col("_i") == i, F.col("_v")), True).alias(name) for i, name in enumerate(texts.values())])
+    summed = summed.select(*keys, "_i", vector.alias("_v"))
+    return summed.groupBy(*keys).agg(*[F.first(F.when(F.col("_i") == i, F.col("_v")), True).alias(name) for i, name in enumerate(texts.values())])
 
 
 def combine(a: Column, b: Column) -> Column:
@@ -113,7 +115,7 @@ def likeness(df: DataFrame, name: str, a: str, b: str) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (``doc_id``, ``text``) with ``next_text``, in the order of doc_id.
+    """Rows (``doc_id``, ``text``) with ``next_text`` and ``_group``, in the order of doc_id.
 
     Texts are dealt once, to groups of consecutive ids; the first row of each group is sent to the
     group before it as well. Group bounds come from a quantile summary: at most ``MAX_GROUPS``
@@ -133,7 +135,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = ids.withColumn("_group", group).groupBy("_group").agg(F.min(F.struct("_place", "_t")).alias("_first"))
     heads = [(r["_group"], r["_first"]["_place"], r["_first"]["_t"]) for r in firsts.orderBy("_group").collect()]
     if not heads:
-        return df.select("doc_id", "text", "_place", "_t").withColumn("next_text", F.lit(""))
+        return df.select("doc_id", "text", "_place", "_t").withColumns({"next_text": F.lit(""), "_group": F.lit(0)})
     spark = docs.sparkSession
     before = [(heads[i - 1][0], *heads[i][1:]) for i in range(len(heads))]
     sent = spark.createDataFrame(before, "_to int, _place bigint, _t bigint")
@@ -142,7 +144,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     copies = copies.dropDuplicates(["_group"])
     rows = df.select("doc_id", "text", "_place", "_t", group.alias("_group"), F.lit(0).alias("_guest")).unionByName(copies)
     order = Window.partitionBy("_group").orderBy("_guest", "_place", "_t", "text")
-    return rows.withColumn("next_text", F.lead("text").over(order)).filter("_guest = 0").drop("_group", "_guest")
+    return rows.withColumn("next_text", F.lead("text").over(order)).filter("_guest = 0").drop("_guest")
 
 
 def _bucket(edges: list[int]) -> Column:
@@ -172,9 +174,10 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (n - half).cast("int")), F.substring("next_text", F.lit(1), half))
     df = df.withColumns({"n_chars": n, "edited": edited, "edited_sha256": F.sha2(edited, 256)})
-    # What the result needs of a row goes along as one key column with its number.
+    # What the result needs of a row goes along as one key column with its number; rows stay in the task
+    # of their neighbour group, so their pieces are summed there.
     row = F.struct(F.monotonically_increasing_id().alias("id"), "doc_id", "n_chars", "edited_sha256")
-    df = vectors(df.withColumn("_row", row), {"text": "v", "edited": "e", "next_text": "x"}, "_row")
+    df = vectors(df.withColumn("_row", row), {"text": "v", "edited": "e", "next_text": "x"}, "_group", "_row")
     df = df.select("_row.*", "v", "e", "x")
     for name in ("v", "e", "x"):
         df = df.withColumn(f"{name}_c", centred(F.col(name)))
