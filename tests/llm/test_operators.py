@@ -62,21 +62,26 @@ def test_jaccard_links_large_groups_without_products_inside(spark):
     assert {got[k] for k in range(60)} == {0} and all(got[100 + k] == 100 + k for k in range(30))
 
 
-def test_substrings_equal_brute_force(corpus, empty):
+@pytest.mark.parametrize("length", [13, 2, 3, 29])
+def test_substrings_equal_brute_force(corpus, empty, length):
     rows = [(LAST if i is None else i, i, WORD.findall(t or "")) for i, t, _ in documents(corpus)]
     first = {}
     for place, _, words in rows:
-        for k in range(len(words) - 12):
-            run = tuple(words[k : k + 13])
+        for k in range(len(words) - length + 1):
+            run = tuple(words[k : k + length])
             first[run] = min(first.get(run, place), place)
     want = []
     for place, i, words in rows:
-        gone = {j for k in range(len(words) - 12) if first[tuple(words[k : k + 13])] < place for j in range(k, k + 13)}
+        gone = {j for k in range(len(words) - length + 1) if first[tuple(words[k : k + length])] < place for j in range(k, k + length)}
         kept = " ".join(w for j, w in enumerate(words) if j not in gone)
         want.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    got = table(substrings.substring_dedup(corpus), "doc_id", "n_words", "n_removed", "kept_sha256")
+    got = table(substrings.substring_dedup(corpus, length), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert Counter(got) == Counter(want)
-    assert substrings.substring_dedup(empty).count() == 0
+    assert substrings.substring_dedup(empty, length).count() == 0
+
+
+def test_substring_levels_double():
+    assert [substrings._levels(n) for n in (2, 3, 13, 14, 29, 50)] == [[1, 2], [2, 3], [7, 13], [7, 14], [4, 8, 16, 29], [7, 14, 28, 50]]
 
 
 def test_quality_measures(corpus, empty):
@@ -359,3 +364,97 @@ def test_likeness_of_texts_of_many_pieces(spark):
     near = {r["id"]: r["near"] for r in fingerprints.likeness(df, "near", "v", "w").collect()}
     # Half of the pieces: cosine 0.71. One lane in twelve is the deviation of an estimate.
     assert near[1] < 0.35 and 0.5 < near[2] < 0.9 and near[3] < 0.35 and near[4] > 0.99
+
+
+@pytest.mark.parametrize("n", [30, 90])
+def test_crossing_runs_make_few_pairs(spark, monkeypatch, n):
+    """Two hot lines in either order, and a rare line that each document shares with one other: the pairs
+    follow the documents, not their square."""
+    a, b = ("a hot line of more than forty characters " + x for x in "ab")
+    texts = []
+    for k in range(2 * n):
+        mark = f"a mark of documents {k % n}"
+        texts.append((k, "\n".join([a, mark, b] if (k // 2) % 2 else [b, mark, a])))
+    made = []
+    aligned = line_dedup._aligned
+    monkeypatch.setattr(line_dedup, "_aligned", lambda pairs, *rest: made.append(pairs.count()) or aligned(pairs, *rest))
+    same_as_all_pairs(spark, texts)
+    assert sum(made) <= 20 * n
+
+
+def test_personal_data_of_very_many_numbers(spark):
+    """Time follows the numbers of one text; places and context are those of short texts."""
+    import time
+
+    line = "call 4155550100, host 10.0.0.7, card 4111 1111 1111 1111; ref 20240131x "
+    texts = [(1, line * 5_000), (2, " ".join(str(10**9 + 7919 * k) for k in range(200_000))), (3, "x " * 50 + line)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    start = time.time()
+    spans = {r["doc_id"]: r["all_spans"] for r in personal_data.find(df).collect()}
+    assert time.time() - start < 60
+    one = [(s["from"] - 100, s["to"] - 100, s["kind"], s["score"]) for s in spans[3]]
+    assert {k for _, _, k, _ in one} == {"ip", "card", "number"}
+    first = [(s["from"], s["to"], s["kind"], s["score"]) for s in spans[1][: len(one)]]
+    assert [x[:3] for x in first] == [x[:3] for x in one]
+    last = [(s["from"] - 4_999 * len(line), s["to"] - 4_999 * len(line), s["kind"]) for s in spans[1][-len(one) :]]
+    assert last == [x[:3] for x in one] and len(spans[1]) == 5_000 * len(one)
+
+
+def test_join_stage_decides_by_row(spark):
+    """Two texts of one id are judged each by itself; of repeated rows one stays; rows without words stay."""
+    from marketlens.llm import stages
+
+    a, z = (" ".join(f"{c}{k}" for k in range(40)) for c in "az")
+    near = a + " more"
+    rows = [(1, a, "s"), (5, a, "t"), (5, z, "u"), (None, a, "v"), (None, a, "v"), (7, near, "w"), (8, "", "x"), (None, None, "y"), (9, "", "x"), (9, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    out = stages.jaccard_join(spark, docs, "")
+    assert out.columns == docs.columns
+    want = [(1, a, "s"), (5, z, "u"), (8, "", "x"), (None, None, "y"), (9, "", "x"), (9, "", "x")]
+    assert Counter(map(tuple, out.collect())) == Counter(want)
+    only = spark.createDataFrame([(None, a, "v"), (None, near, "w"), (3, z, "u"), (3, z, "u")], docs.schema)
+    kept = [tuple(r) for r in stages.jaccard_join(spark, only, "").collect()]
+    assert sorted(r[1] for r in kept) in ([a, z], [near, z])
+
+
+def test_fingerprint_query_equals_brute_force(spark):
+    """Edited texts, fingerprints and likeness of every document, in plain Python."""
+    import numpy as np
+    import regex
+    import xxhash
+
+    folder = "/root/testdata/sf0.001"
+    rows = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    cut = regex.compile(r"(?V1)(?<=\n)|(?<=[^\p{L}\p{N} \t\n\x0B\f\r] )")
+
+    def vector(text):
+        counts, head = np.zeros((3, 24, 2), np.int64), [0, 0, 0]
+        for piece in [p for p in cut.split(text) if p]:
+            first = xxhash.xxh64_intdigest(piece.encode(), 42)
+            hashes = [xxhash.xxh64_intdigest(i.to_bytes(4, "little"), first) for i in range(3)]
+            head[0] += 1
+            head[1] += hashes[0] & ((1 << 30) - 1)
+            head[2] += hashes[0] >> 34
+            for i, h in enumerate(hashes):
+                for k in range(24):
+                    counts[i, k, 0] += (h >> k) & 1
+                    counts[i, k, 1] += (h >> (k + 30)) & 1
+        words = [x % 2**60 for x in head] + [(int(b) << 30) + int(a) for a, b in counts.reshape(-1, 2)]
+        return "".join(f"{w:015x}" for w in words), (2 * counts - head[0]).ravel().astype(float)
+
+    def likeness(a, b):
+        if a[0] == b[0]:
+            return 1.0
+        size = np.sqrt((a[1] @ a[1]) * (b[1] @ b[1]))
+        return min(1.0, max(0.0, a[1] @ b[1] / size)) if size else 0.0
+
+    made = {r.doc_id: r for r in fingerprints.op6_fingerprints(spark, folder).collect()}
+    assert len(made) == len(rows)
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        v, e, x = vector(text), vector(edited), vector(after)
+        r = made[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (v[0], e[0])
+        assert abs(r.near_edited - likeness(v, e)) < 1e-9 and abs(r.near_next - likeness(v, x)) < 1e-9
