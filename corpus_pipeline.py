@@ -14,7 +14,7 @@ STAGES = [
     ("mixing sources to target weights", stages.mix_sources),
     ("sentencepiece encoding and decoding", stages.encode_pieces),
 ]
-#: The last stages have no SQL form (piece ids of a model file); tests compare with brute force.
+#: The last stage has no SQL form (piece ids of a model file); tests compare the stages one by one.
 ORACLE_SQL = None
 
 
