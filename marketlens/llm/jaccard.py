@@ -10,8 +10,9 @@ counted, which bounds the rest, and for what is left that of the whole sets.
 
 Products are made in blocks. First each n-gram's rows meet a few rows of it that a hash picks, which
 links nearly all members of a group of near copies; then, per n-gram, rows of other components meet
-all rows. Pairs inside one component need no product, so a group of copies costs as many products as
-it has members, not their square, and no link between components is lost.
+a few rows of the largest one, and what is still outside meets all rows. Pairs inside one component need
+no product, so a group of copies costs as many products as it has members, not their square, and no link
+between components is lost.
 
 Frequent n-grams are found by counting what recurs within each slice of rows, over all rows; up to
 ``FREQUENT`` of the most common are put last in the order. Any order gives the same links.
@@ -42,7 +43,8 @@ SIMILARITY = (75, 100)
 #: Most n-grams in the list of frequent ones (8 bytes each), and uses from which one is listed.
 FREQUENT = 200_000
 FREQUENT_USES = 4
-#: Rows of an n-gram that its other rows meet first are picked by so many hashes.
+#: Rows of an n-gram that its other rows meet first are picked by so many hashes; rows outside its largest
+#: component then meet so many of that.
 PICKS = 8
 #: Words of 64 bits in which a bit tells whether an odd number of a set's n-grams fall on it.
 PARITY = 16
@@ -257,6 +259,28 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, see
     return both.filter(_enough(F.col("na"), F.col("nb"), overlap, similarity)).select("a", "b").distinct()
 
 
+def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries of n-grams that rows of several components have, with their component (``comp``) and the
+    one that has most rows of the n-gram (``main``)."""
+    placed = entries.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
+    placed = cut_lineage(placed)
+    sizes = placed.groupBy("gram", "comp").count()
+    main = sizes.groupBy("gram").agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
+    return placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram")
+
+
+def _some(mixed: DataFrame) -> DataFrame:
+    """Up to ``PICKS`` rows of every n-gram's largest component, others for each n-gram."""
+    row = F.struct(F.xxhash64("cls", "gram").alias("p"), *[c for c in mixed.columns if c != "gram"])
+    slot = F.pmod(F.xxhash64("gram", "cls"), F.lit(PICKS))
+    picked = mixed.filter("comp = main").groupBy("gram", slot.alias("_slot")).agg(F.min(row).alias("r"))
+    return picked.select("gram", "r.*").drop("p")
+
+
+def _all(mixed: DataFrame) -> DataFrame:
+    return mixed
+
+
 def jaccard_components(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
     return row_components(docs, n, similarity).select("doc_id", "n_shingles", "component_id")
@@ -285,19 +309,19 @@ def row_components(docs: DataFrame, n: int = N, similarity: tuple[int, int] = SI
     links = cut_lineage(_verified(_bounded(tried, heads, similarity), rows, classes, n, seed, similarity))
     labels = cut_lineage(components(links))
 
-    # What is left: rows of an n-gram outside its largest component meet all its rows.
-    placed = entries.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls")).drop("label")
-    placed = cut_lineage(placed)
-    sizes = placed.groupBy("gram", "comp").count()
-    main = sizes.groupBy("gram").agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = placed.join(main.select("gram", F.col("m.comp").alias("main")), "gram")
-    mixed = cut_lineage(mixed.join(classes.select("cls", *_PARITY), "cls"))
+    # What is left: rows of an n-gram outside its largest component meet a few rows of that, then all rows.
+    mixed = cut_lineage(_mixed(entries, labels).join(classes.select("cls", *_PARITY), "cls"))
     outer = (F.col("x.comp") != F.col("y.comp")) & _differ(similarity)
-    rest = _pairs(mixed.filter("comp <> main"), mixed, outer, similarity)
-    rest = cut_lineage(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-    if rest.limit(1).count():
-        more = _verified(_bounded(rest, heads, similarity), rows, classes, n, seed, similarity)
-        labels = cut_lineage(components(cut_lineage(links.unionByName(more))))
+    for others in (_some, _all):
+        rest = _pairs(mixed.filter("comp <> main"), others(mixed), outer, similarity)
+        rest = cut_lineage(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        if rest.limit(1).count():
+            more = _verified(_bounded(rest, heads, similarity), rows, classes, n, seed, similarity)
+            links = cut_lineage(links.unionByName(more))
+            labels = cut_lineage(components(links))
+            tried = tried.unionByName(rest)
+            if others is _some:
+                mixed = cut_lineage(_mixed(mixed.drop("comp", "main"), labels))
 
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("label", "cls"))
     smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))

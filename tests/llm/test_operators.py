@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from marketlens.llm import fingerprints, fixity, host_rules, jaccard, line_dedup, mixing, personal_data, pieces, substrings, toxicity
+from marketlens.llm import fingerprints, fixity, graph, host_rules, jaccard, line_dedup, mixing, personal_data, pieces, substrings, toxicity
 from marketlens.session import cut_lineage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,6 +62,35 @@ def test_jaccard_links_large_groups_without_products_inside(spark):
     assert {got[k] for k in range(60)} == {0} and all(got[100 + k] == 100 + k for k in range(30))
 
 
+def test_rows_outside_a_large_group_meet_few_of_its_rows(spark):
+    rows = [(gram, cls, 1 if cls < 500 else cls, 1) for gram in (1, 2) for cls in range(520)]
+    mixed = spark.createDataFrame(rows, "gram bigint, cls bigint, comp bigint, main bigint")
+    picked = table(jaccard._some(mixed), "gram", "cls", "comp", "main")
+    assert set(picked) <= set(rows) and all(comp == main for _, _, comp, main in picked)
+    per_gram = {gram: {cls for g, cls, _, _ in picked if g == gram} for gram in (1, 2)}
+    assert all(len(some) == jaccard.PICKS for some in per_gram.values()) and per_gram[1] != per_gram[2]
+
+
+def test_components_contract_groups_and_chains(spark, monkeypatch):
+    random.seed(8)
+    chain = [(k, k + 1) for k in range(100, 160)]
+    zigzag = [(200 + min(k, 60 - k) * 2 + (k > 30), 200 + min(k + 1, 59 - k) * 2 + (k + 1 > 30)) for k in range(60)]
+    group = [(a, b) for a in range(400, 440) for b in range(a + 1, 440)]
+    some = [(random.randrange(600, 700), random.randrange(600, 700)) for _ in range(60)]
+    edges = [(a, b) for a, b in chain + zigzag + group + some if a != b]
+    read = []
+    saved = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: (out := saved(df), read.append((out.columns, out.count())))[0])
+    label = {x: x for e in edges for x in e}
+    for _ in range(200):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert dict(table(graph.components(spark.createDataFrame(edges, "a bigint, b bigint")), "node", "label")) == label
+    # The edges are there once; what later rounds read is less than an edge for two nodes.
+    sizes = [n for columns, n in read if columns == ["a", "b"]]
+    assert sizes[0] == len(set(edges)) and all(n <= len(label) // 2 for n in sizes[1:]) and sizes[-1] == 0
+
+
 @pytest.mark.parametrize("length", [13, 2, 3, 29])
 def test_substrings_equal_brute_force(corpus, empty, length):
     rows = [(LAST if i is None else i, i, WORD.findall(t or "")) for i, t, _ in documents(corpus)]
