@@ -7,8 +7,9 @@ merging the two alone must leave them as they are. The ids are then read backwar
 The time is linear in the text, also for one very long word.
 
 Texts are cut before each run of spaces and around line breaks; no token of the model may span such
-a cut, which is checked. Units are cut further between characters that stand side by side in no token.
-Units and parts recur, so their ids are kept in bounded tables per worker.
+a cut, which is checked. Units are cut further where letters meet other characters, if the two stand side
+by side in no token, so a word is known with any sign behind it. Units and parts recur, so their ids are
+kept in one bounded table per worker.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; characters that the
 model lacks are encoded as their UTF-8 bytes; repeated rows each get their own result; an empty table
@@ -35,9 +36,10 @@ from .hashing import released
 SPACE = "▁"
 #: A run of spaces with the word behind it, a line break, or what stands between such.
 UNIT = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-#: Units in each of two generations kept per worker, parts kept, and the longest that is kept.
+#: A run of letters with the space before it, or of other characters.
+RUN = re.compile(rf"{SPACE}?[^\W\d_]+|[\W\d_]+")
+#: Units and parts in each of two generations kept per worker, and the longest that is kept.
 KEPT_UNITS = 150_000
-KEPT_PARTS = 50_000
 #: Rows encoded and returned at a time.
 SLICE_ROWS = 500
 KEPT_LENGTH = 40
@@ -74,10 +76,9 @@ class Pieces:
         self.inside = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
         self.fits: dict[str, dict[str, bool]] = {}
         self.n_fits = 0
-        #: Ids, as decimal text, of units that decode to themselves: the younger and the older half.
+        #: Ids, as decimal text, of units and parts that decode to themselves: the younger and the older half.
         self.units: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.parts: dict[str, tuple[str, str]] = {}
         self.text = [p.replace(SPACE, " ") for p in self.piece]
 
     def _merge(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
@@ -139,23 +140,22 @@ class Pieces:
         """Tokens of a text; a character that the model lacks stands alone."""
         n, right, fits = len(text), self.right, self.fits
         last: list[str | None] = [None] * (n + 1)
+        last[0] = ""
         nothing: dict[str, bool] = {}
         for end, (size, piece) in self.automaton.iter(text):
             end += 1
             if last[end] is not None:
                 continue
-            before = last[end - size] if end > size else ""
+            before = last[end - size]
             if before is None:
                 # The prefix before ends with a character that the model lacks.
                 before = text[end - size - 1]
-            if before in right:
-                fit = fits.get(before, nothing).get(piece)
-                if fit is None:
-                    fit = self.compatible(before, piece)
-                    fits = self.fits
-                if not fit:
-                    continue
-            last[end] = piece
+            fit = fits.get(before, nothing).get(piece)
+            if fit is None and before in right:
+                fit = self.compatible(before, piece)
+                fits = self.fits
+            if fit is not False:
+                last[end] = piece
         out = []
         while n:
             piece = last[n] or text[n - 1]
@@ -191,32 +191,52 @@ class Pieces:
             out.append(_utf8(run))
         return "".join(out)
 
-    def part(self, text: str) -> tuple[str, str]:
-        """Ids of a part of a unit as decimal text, and the part decoded from them."""
-        known = self.parts.get(text)
-        if known is None:
-            ids = self.encode(text)
-            known = ",".join(map(str, ids)), self.decode(ids)
-            if len(text) <= KEPT_LENGTH:
-                if len(self.parts) >= KEPT_PARTS:
-                    self.parts.clear()
-                self.parts[text] = known
-        return known
+    def part(self, text: str) -> tuple[str, str | None]:
+        """Ids of a part of a unit as decimal text, and the part decoded from them if that is another text."""
+        ids = self.encode(text)
+        known, decoded = ",".join(map(str, ids)), self.decode(ids)
+        if decoded != text.replace(SPACE, " "):
+            return known, decoded
+        self._keep(text, known)
+        return known, None
 
-    def unit(self, text: str) -> tuple[str, str | None]:
-        """Ids of a unit as decimal text, and the unit decoded from them if that is another text."""
-        known = self.older.get(text)
-        if known is None:
-            body = text[1:] if text[0] == SPACE else text
-            cuts = [] if body.isalpha() else [k for k in range(1, len(text)) if text[k - 1 : k + 1] not in self.inside]
-            parts = [self.part(text[i:j]) for i, j in zip([0, *cuts], [*cuts, len(text)])]
-            known, decoded = parts[0] if not cuts else (",".join([p[0] for p in parts]), "".join([p[1] for p in parts]))
-            if decoded != text.replace(SPACE, " "):
-                return known, decoded
+    def _keep(self, text: str, known: str) -> None:
         if len(text) <= KEPT_LENGTH:
             if len(self.units) >= KEPT_UNITS:
                 self.units, self.older = {}, self.units
             self.units[text] = known
+
+    def _cut(self, text: str) -> list[str]:
+        """Parts of a unit: its runs of letters and of other characters, where no piece spans the cut."""
+        if (text[1:] if text[0] == SPACE else text).isalpha():
+            return [text]
+        parts: list[str] = []
+        for run in RUN.findall(text):
+            if parts and parts[-1][-1] + run[0] in self.inside:
+                parts[-1] += run
+            else:
+                parts.append(run)
+        return parts
+
+    def unit(self, text: str) -> tuple[str, str | None]:
+        """Ids of a unit as decimal text, and the unit decoded from them if that is another text."""
+        known = self.older.get(text)
+        if known is None:
+            parts = self._cut(text)
+            if len(parts) == 1:
+                return self.part(text)
+            ids, odd = [], {}
+            for i, part in enumerate(parts):
+                known = self.units.get(part) or self.older.get(part)
+                if known is None:
+                    known, decoded = self.part(part)
+                    if decoded is not None:
+                        odd[i] = decoded
+                ids.append(known)
+            known = ",".join(ids)
+            if odd:
+                return known, "".join([odd[i] if i in odd else p.replace(SPACE, " ") for i, p in enumerate(parts)])
+        self._keep(text, known)
         return known, None
 
     def whole(self, text: str) -> tuple[str, str]:
@@ -227,12 +247,15 @@ class Pieces:
         units = UNIT.findall(marked)
         ids = [*map(self.units.get, units)]
         odd = {}
-        if None in ids:
-            for i, known in enumerate(ids):
-                if known is None:
-                    ids[i], decoded = self.unit(units[i])
-                    if decoded is not None:
-                        odd[i] = decoded
+        missed = [i for i, known in enumerate(ids) if known is None] if None in ids else ()
+        for i in missed:
+            # An earlier miss may have been the same unit.
+            known = self.units.get(units[i])
+            if known is None:
+                known, decoded = self.unit(units[i])
+                if decoded is not None:
+                    odd[i] = decoded
+            ids[i] = known
         if not odd:
             return ",".join(ids), marked.replace(SPACE, " ").removeprefix(" ")
         return ",".join(ids), "".join([odd[i] if i in odd else u.replace(SPACE, " ") for i, u in enumerate(units)]).removeprefix(" ")

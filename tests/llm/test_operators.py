@@ -208,6 +208,20 @@ def test_pieces_equal_the_library(spark, corpus, empty):
     assert pieces.encode(empty, path).count() == 0
 
 
+def test_pieces_of_a_word_are_made_once_whatever_follows_it(monkeypatch):
+    random.seed(9)
+    made = pieces.Pieces(pieces.model_path())
+    words = sorted({"".join(random.choices("aeinrst", k=8)) for _ in range(60_000)})
+    calls = []
+    tokens = made.tokens
+    monkeypatch.setattr(made, "tokens", lambda text: calls.append(text) or tokens(text))
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    for text in (" ".join(words), " ".join(f"{w}." for w in words), " ".join(f"({w}%%%" for w in words[:500])):
+        ids = library.encode(text)
+        assert made.whole(text) == (",".join(map(str, ids)), library.decode(ids))
+    assert len(calls) <= len(words) + 600
+
+
 def test_toxicity(spark, corpus, empty):
     draw = random.Random(1)
     filler = [f"word{i}" for i in range(300)]
