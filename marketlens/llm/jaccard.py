@@ -48,8 +48,9 @@ FREQUENT_USES = 4
 PICKS = 8
 #: Words of 64 bits in which a bit tells whether an odd number of a set's n-grams fall on it.
 PARITY = 16
-#: N-grams that are held together in a task.
+#: N-grams that are held together in a task, and for how many of them a row counts besides its own.
 SLICE = 1 << 20
+ROW = 64
 _PARITY = [f"w{k}" for k in range(PARITY)]
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -67,22 +68,28 @@ def _class(grams: np.ndarray, seed: int) -> tuple[int, int]:
     return int(one.view(np.int64)[0]), int(two.view(np.int64)[0])
 
 
-def _sets(batch: pa.RecordBatch, n: int, seed: int) -> Iterator[tuple[int, np.ndarray, tuple[int, int]]]:
-    for i, hashes in each_text(batch.column("text"), lower=True):
-        grams = _set(hashes, n)
-        yield i, grams, _class(grams, seed)
+#: A row's doc_id and ``t``, its n-grams, and the two hashes of them.
+_Row = tuple[tuple[int | None, int], np.ndarray, tuple[int, int]]
+
+
+def _sets(batches: Iterator[pa.RecordBatch], n: int, seed: int) -> Iterator[_Row]:
+    for batch in batches:
+        names = list(zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), strict=True))
+        for i, hashes in each_text(batch.column("text"), lower=True):
+            grams = _set(hashes, n)
+            yield names[i], grams, _class(grams, seed)
 
 
 _PROFILE = "doc_id bigint, t bigint, n bigint, cls bigint, check bigint, gram bigint, uses bigint, " + ", ".join(f"{c} bigint" for c in _PARITY)
 _PREFIX = "gram bigint, cls bigint, n bigint, pos int"
 
 
-def _sliced(sets: Iterator[tuple[int, np.ndarray, tuple[int, int]]]) -> Iterator[list[tuple[int, np.ndarray, tuple[int, int]]]]:
-    """Sets of consecutive rows, about ``SLICE`` n-grams at a time."""
+def _sliced(sets: Iterator[_Row]) -> Iterator[list[_Row]]:
+    """Sets of consecutive rows, about ``SLICE`` n-grams at a time, however the rows came in batches."""
     some, held = [], 0
     for row in sets:
         some.append(row)
-        held += len(row[1]) + 1
+        held += len(row[1]) + ROW
         if held >= SLICE:
             yield some
             some, held = [], 0
@@ -94,23 +101,21 @@ def _profiler(n: int, seed: int) -> Callable:
     """Size and class of every row; and n-grams that recur in the slice, with their uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in _sliced(_sets(batch, n, seed)):
-                seen = {cls: grams for _, grams, (cls, _) in some}
-                bits = dict(zip(seen, parities(list(seen.values()), PARITY), strict=True))
-                every, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
-                every, uses = every[uses > 1].view(np.int64), uses[uses > 1]
-                more, rows = len(every), slice(some[0][0], some[-1][0] + 1)
-                padded = lambda values: pa.concat_arrays([values.cast(pa.int64()), pa.nulls(more, pa.int64())])  # noqa: E731, B023
-                own = lambda values: padded(pa.array(values, pa.int64()))  # noqa: E731, B023
-                words = np.array([bits[cls] for _, _, (cls, _) in some])
-                nothing = pa.nulls(len(some), pa.int64())
-                columns = {
-                    "doc_id": padded(batch.column("doc_id")[rows]), "t": padded(batch.column("t")[rows]), "n": own([len(g) for _, g, _ in some]),
-                    "cls": own([c for _, _, (c, _) in some]), "check": own([c for _, _, (_, c) in some]),
-                    "gram": pa.concat_arrays([nothing, pa.array(every)]), "uses": pa.concat_arrays([nothing, pa.array(uses.astype(np.int64))]),
-                }
-                yield pa.RecordBatch.from_pydict(columns | {c: own(words[:, k]) for k, c in enumerate(_PARITY)})
+        for some in _sliced(_sets(batches, n, seed)):
+            seen = {cls: grams for _, grams, (cls, _) in some}
+            bits = dict(zip(seen, parities(list(seen.values()), PARITY), strict=True))
+            every, uses = np.unique(np.concatenate([np.zeros(0, np.uint64), *seen.values()]), return_counts=True)
+            every, uses = every[uses > 1].view(np.int64), uses[uses > 1]
+            more = len(every)
+            own = lambda values: pa.concat_arrays([pa.array(values, pa.int64()), pa.nulls(more, pa.int64())])  # noqa: E731, B023
+            words = np.array([bits[cls] for _, _, (cls, _) in some])
+            nothing = pa.nulls(len(some), pa.int64())
+            columns = {
+                "doc_id": own([i for (i, _), _, _ in some]), "t": own([t for (_, t), _, _ in some]), "n": own([len(g) for _, g, _ in some]),
+                "cls": own([c for _, _, (c, _) in some]), "check": own([c for _, _, (_, c) in some]),
+                "gram": pa.concat_arrays([nothing, pa.array(every)]), "uses": pa.concat_arrays([nothing, pa.array(uses.astype(np.int64))]),
+            }
+            yield pa.RecordBatch.from_pydict(columns | {c: own(words[:, k]) for k, c in enumerate(_PARITY)})
 
     return run
 
@@ -132,20 +137,19 @@ def _prefixer(n: int, seed: int, frequent: np.ndarray, rank: np.ndarray, similar
         return np.concatenate([first, last[: take - len(first)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in _sliced(_sets(batch, n, seed)):
-                distinct = {cls: grams for _, grams, (cls, _) in some if len(grams)}
-                heads = [first_entries(grams) for grams in distinct.values()]
-                lengths = np.array([len(x) for x in heads], np.int64)
-                grams = np.concatenate([np.zeros(0, np.uint64), *heads])
-                starts = np.cumsum(lengths) - lengths
-                spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), lengths))  # noqa: E731, B023
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "gram": pa.array(grams.view(np.int64)), "cls": spread(list(distinct)), "n": spread([len(g) for g in distinct.values()]),
-                        "pos": pa.array((np.arange(len(grams)) - np.repeat(starts, lengths)).astype(np.int32)),
-                    }
-                )
+        for some in _sliced(_sets(batches, n, seed)):
+            distinct = {cls: grams for _, grams, (cls, _) in some if len(grams)}
+            heads = [first_entries(grams) for grams in distinct.values()]
+            lengths = np.array([len(x) for x in heads], np.int64)
+            grams = np.concatenate([np.zeros(0, np.uint64), *heads])
+            starts = np.cumsum(lengths) - lengths
+            spread = lambda values: pa.array(np.repeat(np.array(values, np.int64), lengths))  # noqa: E731, B023
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "gram": pa.array(grams.view(np.int64)), "cls": spread(list(distinct)), "n": spread([len(g) for g in distinct.values()]),
+                    "pos": pa.array((np.arange(len(grams)) - np.repeat(starts, lengths)).astype(np.int32)),
+                }
+            )
 
     return run
 
@@ -154,12 +158,11 @@ def _setter(n: int, seed: int) -> Callable:
     """Whole set of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in _sliced(_sets(batch, n, seed)):
-                sets = [grams.view(np.int64) for _, grams, _ in some]
-                yield pa.RecordBatch.from_pydict(
-                    {"cls": pa.array([c for _, _, (c, _) in some], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
-                )
+        for some in _sliced(_sets(batches, n, seed)):
+            sets = [grams.view(np.int64) for _, grams, _ in some]
+            yield pa.RecordBatch.from_pydict(
+                {"cls": pa.array([c for _, _, (c, _) in some], pa.int64()), "grams": pa.array(sets, pa.list_(pa.int64()))}
+            )
 
     return run
 

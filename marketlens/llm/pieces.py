@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, ship
-from .hashing import released
+from .hashing import released, tables_of
 
 SPACE = "▁"
 #: A run of spaces with the word behind it, a line break, or what stands between such.
@@ -267,10 +267,13 @@ def _utf8(run: bytearray) -> str:
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Pieces:
-    """Tables of a model file, made once per worker."""
+    """Tables of a model file, made once per worker as long as it encodes."""
     return Pieces(path)
 
 
+tables_of[__name__] = load.cache_clear
+
+
 def _encoder(path: str, keep_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)

@@ -1,6 +1,7 @@
 """MinHash near-dedup against all pairs of whole sets."""
 
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -113,3 +114,17 @@ def test_query_equals_sql(spark, folder):
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.op13_near_dedup(spark, folder).collect()}
     assert got == set(con.sql(f"SELECT doc_id, n_shingles, component_id, kept FROM ({minhash.SQL})").fetchall())
+
+
+def test_parities_hold_few_counters(monkeypatch):
+    sets = [hashing.mix(np.arange(k, k + k % 7, dtype=np.uint64)) for k in range(4000)]
+    tracemalloc.start()
+    found = hashing.parities(sets, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16_000_000
+    monkeypatch.setattr(hashing, "COUNTERS", 3 * 64 * 16)
+    assert (hashing.parities(sets, 16) == found).all() and hashing.parities([], 16).shape == (0, 16)
+    for k in (0, 6, 3999):
+        bits = np.bincount((sets[k] % np.uint64(1024)).astype(np.int64), minlength=1024) % 2
+        assert (np.packbits(bits.astype(np.uint8)).view(np.int64) == found[k]).all()

@@ -3,11 +3,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from marketlens.llm import fingerprints, fixity, graph, host_rules, jaccard, line_dedup, mixing, personal_data, pieces, substrings, toxicity
+from marketlens.llm import fingerprints, fixity, graph, hashing, host_rules, jaccard, line_dedup, mixing, personal_data, pieces, substrings, toxicity
+from marketlens.llm.common import BATCH_BYTES, ship
 from marketlens.session import cut_lineage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -501,3 +503,33 @@ def test_fingerprint_query_equals_brute_force(spark):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert (r.fingerprint, r.edited_fingerprint) == (v[0], e[0])
         assert abs(r.near_edited - likeness(v, e)) < 1e-9 and abs(r.near_next - likeness(v, x)) < 1e-9
+
+
+def test_batches_to_python_functions_are_bounded_by_bytes(spark):
+    ship(spark)
+    texts = spark.range(0, 2_000, 1, 1).select(F.rpad(F.col("id").cast("string"), 10_000, "x").alias("text"))
+    sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n bigint").collect()
+    assert sum(r.n for r in sizes) >= 20_000_000 and max(r.n for r in sizes) < 2 * BATCH_BYTES
+
+
+def test_recurring_ngrams_are_found_across_batches():
+    texts = ["a b c d e f", "a b c d e g", "z"]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "t": [i + 5], "text": [t]}) for i, t in enumerate(texts)]
+    rows = [r for b in jaccard._profiler(5, 0)(iter(batches)) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["t"], r["n"]) for r in rows if r["n"] is not None] == [(0, 5, 2), (1, 6, 2), (2, 7, 1)]
+    assert [r["uses"] for r in rows if r["n"] is None] == [2]
+
+
+def test_slices_of_short_rows_hold_few_rows(monkeypatch):
+    monkeypatch.setattr(jaccard, "SLICE", 10 * (jaccard.ROW + 1))
+    row = ((1, 2), [3], (4, 5))
+    assert [len(s) for s in jaccard._sliced(iter([row] * 25))] == [10, 10, 5]
+
+
+def test_workers_forget_the_model_when_another_operator_comes():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "t": [2], "text": ["some words"]})
+    for _ in range(2):
+        list(hashing.released(pieces._encoder(pieces.model_path(), False))(iter([batch])))
+        assert pieces.load.cache_info().currsize == 1
+    list(hashing.released(jaccard._setter(5, 0))(iter([batch])))
+    assert pieces.load.cache_info().currsize == 0
